@@ -146,3 +146,196 @@ SELECT *, avg(total_revenue) OVER (PARTITION BY state_id) AS state_mean_revenue,
        AS revenue_vs_state_pct,
   rank() OVER (PARTITION BY state_id ORDER BY total_revenue DESC, store_id) AS rank_in_state
 FROM ({_gold_sql('gold_store_performance')})""")
+
+# --- KPIs ----------------------------------------------------------------------------
+
+ORACLE["kpi_totals"] = with_base("""
+SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(sum(sales) AS BIGINT) AS total_units_sold,
+       CASE WHEN sum(sales) > 0 THEN CAST(sum(revenue_cents) AS DOUBLE) / sum(sales) ELSE 0.0 END / 100.0
+         AS average_selling_price,
+       count(DISTINCT item_id) AS active_products, count(DISTINCT store_id) AS active_stores
+FROM fact_item""")
+ORACLE["kpi_wow_growth"] = with_base("""
+SELECT m AS max_date, CAST(l AS DOUBLE) / 100.0 AS last_7_revenue, CAST(p AS DOUBLE) / 100.0 AS prev_7_revenue,
+       CASE WHEN p > 0 THEN CAST(l - p AS DOUBLE) / p * 100.0 ELSE 0.0 END AS growth_rate_wow
+FROM (SELECT m, coalesce(sum(revenue_cents) FILTER (WHERE date > m - 7), 0) AS l,
+             coalesce(sum(revenue_cents) FILTER (WHERE date <= m - 7), 0) AS p
+      FROM fact_item, (SELECT max(date) AS m FROM fact_item) WHERE date > m - 14 GROUP BY m)""")
+ORACLE["kpi_filtered"] = with_base("""
+SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS Total_Revenue, CAST(sum(sales) AS BIGINT) AS Total_Units_Sold,
+       count(id) AS Record_Count
+FROM fact_item WHERE state_id = 'AMERICA' AND cat_id = 'PROMO'""")
+ORACLE["daily_trend"] = with_base(
+    "SELECT date, CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS Daily_Revenue FROM fact_item GROUP BY date")
+ORACLE["category_share"] = with_base("""
+SELECT cat_id, CAST(sum(sales) AS BIGINT) AS total_units, CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue,
+       CAST(sum(revenue_cents) AS DOUBLE) / (SELECT sum(revenue_cents) FROM fact_item) * 100.0 AS share_pct
+FROM fact_item GROUP BY cat_id""")
+ORACLE["store_ranking"] = with_base(
+    f"SELECT *, rank() OVER (ORDER BY total_revenue DESC, store_id) AS revenue_rank "
+    f"FROM ({_gold_sql('gold_store_performance')})")
+_PROD = _gold_sql("gold_product_performance")
+ORACLE["top_products_5"] = with_base(f"SELECT * FROM ({_PROD}) ORDER BY total_revenue DESC, item_id LIMIT 5")
+ORACLE["worst_products_5"] = with_base(f"SELECT * FROM ({_PROD}) ORDER BY total_revenue ASC, item_id DESC LIMIT 5")
+ORACLE["top_products_10"] = with_base(f"SELECT * FROM ({_PROD}) ORDER BY total_revenue DESC, item_id LIMIT 10")
+
+# --- forecasting ---------------------------------------------------------------------
+
+RULE = ("0.4::DOUBLE * coalesce(h[24], 0) + 0.2::DOUBLE * coalesce(h[17], 0) + 0.1::DOUBLE * coalesce(h[3], 0)"
+        " + 0.2::DOUBLE * coalesce(list_avg(h[24:30]), 0) + 0.1::DOUBLE * coalesce(list_avg(h), 0)")
+
+
+def _recursion(p: str, as_of: str) -> str:
+    """Recursive CTE ``{p}`` = rule forecast for 30 calendar days after ``as_of``
+    (an expression over ``{p}_last.m``), carrying the 30-day state as a list."""
+    return f"""
+{p}_last AS (SELECT {as_of} AS m FROM (SELECT max(date) AS m FROM fact_category)),
+{p}_hz AS (
+  SELECT row_number() OVER (ORDER BY date) AS k, * FROM (
+    SELECT c.date, c.wday, c.month, c.year, CAST(c.wday IN (1, 2) AS INTEGER) AS is_weekend,
+           CAST(coalesce(c.event_name_1, '') <> '' AS INTEGER) AS is_holiday, c.snap_CA, c.snap_TX, c.snap_WI
+    FROM cal c, {p}_last l WHERE c.date > l.m ORDER BY c.date LIMIT 30)),
+{p}_ser AS (
+  SELECT id, item_id, dept_id, cat_id, store_id, state_id, arg_max(sell_price, date) AS sell_price
+  FROM fact_category, {p}_last l WHERE date <= l.m GROUP BY ALL),
+{p}_init AS (
+  SELECT s.id, list(CAST(f.sales AS DOUBLE) ORDER BY g.i) AS h
+  FROM {p}_ser s CROSS JOIN range(1, 31) g(i) CROSS JOIN {p}_last l
+  LEFT JOIN fact_category f ON f.id = s.id AND f.date = l.m - 30 + CAST(g.i AS INTEGER)
+  GROUP BY s.id),
+{p}_rec(id, k, h, date, y) AS (
+  SELECT id, 0, h, CAST(NULL AS DATE), CAST(NULL AS DOUBLE) FROM {p}_init
+  UNION ALL
+  SELECT id, k, list_concat(h[2:30], [y]), date, y FROM (
+    SELECT id, k, h, date, round_even(greatest({RULE}, 0), 0) AS y
+    FROM (SELECT r.id, r.k + 1 AS k, r.h, z.date FROM {p}_rec r JOIN {p}_hz z ON z.k = r.k + 1))),
+{p} AS (
+  SELECT r.id, r.date, s.item_id, s.dept_id, s.cat_id, s.store_id, s.state_id, s.sell_price,
+         CAST(r.y AS INTEGER) AS sales,
+         CAST(CAST(r.y AS BIGINT) * CAST(round(s.sell_price * 100) AS BIGINT) AS DOUBLE) / 100.0 AS revenue,
+         CAST(r.y AS BIGINT) * CAST(round(s.sell_price * 100) AS BIGINT) AS revenue_cents
+  FROM {p}_rec r JOIN {p}_ser s USING (id) WHERE r.k > 0)"""
+
+
+FC = _recursion("fc", "m")
+
+
+def with_fc(sql: str, extra: str = "") -> str:
+    return with_base(sql, extra=FC + ("," + extra if extra else ""), recursive=True)
+
+
+ORACLE["series_directory"] = with_base(f"SELECT DISTINCT {KEYS} FROM fact_category")
+ORACLE["last_price"] = with_base("SELECT id, arg_max(sell_price, date) AS last_price FROM fact_category GROUP BY id")
+ORACLE["forecast_horizon"] = with_fc("SELECT * EXCLUDE (k) FROM fc_hz")
+ORACLE["chrono_split"] = with_base("""
+SELECT CASE WHEN date <= m - 30 THEN 'train' ELSE 'validation' END AS split, count(*) AS rows
+FROM fact_category, (SELECT max(date) AS m FROM fact_category) GROUP BY 1""")
+ORACLE["forecast_recursive_rule"] = with_fc("SELECT * EXCLUDE (revenue_cents) FROM fc")
+_FC_DAILY = ("SELECT date, CAST(sum(sales) AS BIGINT) AS total_units, "
+             "CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue FROM fc GROUP BY date")
+ORACLE["forecast_daily"] = with_fc(_FC_DAILY)
+ORACLE["forecast_totals"] = with_fc("""
+SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS forecast_revenue, CAST(sum(sales) AS BIGINT) AS forecast_units,
+       count(DISTINCT date) AS forecast_days,
+       CASE WHEN count(DISTINCT date) > 0 THEN CAST(sum(sales) AS DOUBLE) / count(DISTINCT date) ELSE 0.0 END
+         AS mean_daily_units
+FROM fc""")
+ORACLE["forecast_band"] = with_fc(
+    f"SELECT *, total_units * 0.9::DOUBLE AS band_low, total_units * 1.1::DOUBLE AS band_high FROM ({_FC_DAILY})")
+ORACLE["forecast_points"] = with_fc(f"""
+SELECT date, 'Historical' AS type, CAST(total_units AS DOUBLE) AS sales, total_revenue AS revenue
+FROM ({_gold_sql('gold_daily_sales', 'fact_category')}) WHERE date >= (SELECT max(date) FROM fact_category) - 90
+UNION ALL
+SELECT date, 'Forecasted' AS type, CAST(total_units AS DOUBLE) AS sales, total_revenue AS revenue FROM ({_FC_DAILY})""")
+ORACLE["history_vs_forecast"] = with_fc("""
+SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Actual' AS type FROM fact_category GROUP BY date
+UNION ALL
+SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Forecast' AS type FROM fc GROUP BY date""")
+ORACLE["forecast_by_dimension"] = with_fc("""
+SELECT 'cat_id' AS dimension, cat_id AS key, date, CAST(sum(sales) AS BIGINT) AS total_units,
+       CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue FROM fc GROUP BY cat_id, date
+UNION ALL
+SELECT 'store_id', store_id, date, CAST(sum(sales) AS BIGINT), CAST(sum(revenue_cents) AS DOUBLE) / 100.0
+FROM fc GROUP BY store_id, date
+UNION ALL
+SELECT 'state_id', state_id, date, CAST(sum(sales) AS BIGINT), CAST(sum(revenue_cents) AS DOUBLE) / 100.0
+FROM fc GROUP BY state_id, date""")
+ORACLE["forecast_metrics_rule"] = with_base("""
+SELECT count(*) AS rows, round(sqrt(sum(e * e) / count(*)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+       round(CASE WHEN sum(y * y) - sum(y) * sum(y) / count(*) > 0
+             THEN 1.0 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*)) END, 6) AS r2
+FROM (SELECT greatest(0.4::DOUBLE * lag_7 + 0.2::DOUBLE * lag_14 + 0.1::DOUBLE * lag_28
+                      + 0.2::DOUBLE * rolling_7_avg + 0.1::DOUBLE * rolling_30_avg, 0) - sales AS e,
+             CAST(sales AS DOUBLE) AS y
+      FROM feats WHERE date > (SELECT max(date) FROM feats) - 30)""", extra="""
+feats AS (
+  SELECT * FROM (
+    SELECT date, sales,
+      CAST(lag(sales, 7) OVER w AS DOUBLE) AS lag_7, CAST(lag(sales, 14) OVER w AS DOUBLE) AS lag_14,
+      CAST(lag(sales, 28) OVER w AS DOUBLE) AS lag_28,
+      avg(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7_avg,
+      avg(sales) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_30_avg
+    FROM fact_category WINDOW w AS (PARTITION BY id ORDER BY date))
+  WHERE lag_28 IS NOT NULL AND lag_14 IS NOT NULL AND lag_7 IS NOT NULL
+    AND rolling_7_avg IS NOT NULL AND rolling_30_avg IS NOT NULL)""")
+ORACLE["backtest_metrics"] = with_base("""
+SELECT CAST(date_diff('day', (SELECT m FROM bt_last), b.date) AS INTEGER) AS step, b.date, count(*) AS rows,
+       CAST(sum(coalesce(a.sales, 0)) AS BIGINT) AS actual_units, CAST(sum(b.sales) AS BIGINT) AS forecast_units,
+       round(sqrt(avg(CAST((b.sales - coalesce(a.sales, 0)) AS DOUBLE) ^ 2)), 6) AS rmse,
+       round(avg(abs(CAST(b.sales - coalesce(a.sales, 0) AS DOUBLE))), 6) AS mae
+FROM bt b LEFT JOIN fact_category a ON a.id = b.id AND a.date = b.date
+GROUP BY b.date""", extra=_recursion("bt", "m - 30"), recursive=True)
+
+
+def _fmt_summary(fc_name: str) -> str:
+    return f"""
+summ AS (
+  SELECT t.total_revenue, t.total_units, tc.cat_id AS top_category, ts.store_id AS top_store,
+         ts.state_id AS top_store_state, tt.state_id AS top_state,
+         f.forecast_revenue, f.forecast_units, f.forecast_days,
+         CASE WHEN f.forecast_days > 0 THEN CAST(f.forecast_units AS DOUBLE) / f.forecast_days ELSE 0.0 END
+           AS mean_daily_units
+  FROM (SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue, CAST(sum(sales) AS BIGINT) AS total_units
+        FROM fact_category) t,
+       (SELECT cat_id FROM fact_category GROUP BY cat_id ORDER BY sum(revenue_cents) DESC, cat_id LIMIT 1) tc,
+       (SELECT store_id, state_id FROM fact_category GROUP BY store_id, state_id
+        ORDER BY sum(revenue_cents) DESC, store_id LIMIT 1) ts,
+       (SELECT state_id FROM fact_category GROUP BY state_id ORDER BY sum(revenue_cents) DESC, state_id LIMIT 1) tt,
+       (SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS forecast_revenue,
+               CAST(sum(sales) AS BIGINT) AS forecast_units, count(DISTINCT date) AS forecast_days FROM {fc_name}) f),
+summary AS (
+  SELECT *, 'HISTORICAL GENERAL METRICS:' || chr(10)
+    || '- Total Revenue: $' || format('{{:,.2f}}', total_revenue) || chr(10)
+    || '- Total Units Sold: ' || format('{{:,}}', total_units) || chr(10)
+    || '- Top Category: ' || top_category || chr(10)
+    || '- Top Performing Store: ' || top_store || ' (located in state ' || top_store_state || ')' || chr(10)
+    || '- Top Performing State: ' || top_state || chr(10) || chr(10)
+    || 'FUTURE 30-DAY FORECAST METRICS:' || chr(10)
+    || '- Forecasted Total Revenue: $' || format('{{:,.2f}}', forecast_revenue) || chr(10)
+    || '- Forecasted Units Sold: ' || format('{{:,}}', forecast_units) || chr(10)
+    || '- Average Forecasted Daily Sales: ' || format('{{:.1f}}', mean_daily_units) || ' units' || chr(10)
+    AS summary
+  FROM summ)"""
+
+
+ORACLE["kpi_summary"] = with_fc("SELECT * FROM summary", extra=_fmt_summary("fc"))
+_TOP = ("SELECT string_agg(item_id, ', ' ORDER BY total_revenue DESC, item_id) FROM "
+        f"(SELECT * FROM ({_PROD}) ORDER BY total_revenue DESC, item_id LIMIT 5)")
+_WORST = ("SELECT string_agg(item_id, ', ' ORDER BY total_revenue DESC, item_id) FROM "
+          f"(SELECT * FROM ({_PROD}) ORDER BY total_revenue ASC, item_id DESC LIMIT 5)")
+ORACLE["kpi_summary_lists"] = with_fc(f"""
+SELECT *, summary || '- Top Products: ' || top_products || chr(10) || '- Worst Products: ' || worst_products
+          || chr(10) || '- Categories: ' || categories || chr(10) AS summary_lists
+FROM (SELECT *, ({_TOP.replace('fact_item', 'fact_category')}) AS top_products,
+             ({_WORST.replace('fact_item', 'fact_category')}) AS worst_products,
+             (SELECT string_agg(cat_id, ', ' ORDER BY cat_id) FROM (SELECT DISTINCT cat_id FROM fact_category))
+               AS categories
+      FROM summary)""", extra=_fmt_summary("fc"))
+_RULE_LINE = "=" * 51
+ORACLE["question_context"] = with_fc(f"""
+SELECT q.conv_id, q.turn,
+  'Here is the Gold Layer Business KPI and Forecasting Summary for our stores:' || chr(10)
+  || '{_RULE_LINE}' || chr(10) || s.summary || chr(10) || '{_RULE_LINE}' || chr(10) || chr(10)
+  || 'User Question: ' || q.text || chr(10) || 'Assistant Response:' AS prompt
+FROM conversations q, summary s WHERE q.role = 'user'""", extra=_fmt_summary("fc"))

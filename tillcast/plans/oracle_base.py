@@ -86,7 +86,7 @@ cal AS (
 """
 
 
-def with_base(sql: str, extra: str = "") -> str:
+def with_base(sql: str, extra: str = "", recursive: bool = False) -> str:
     """``WITH <base>[, extra] <sql>``."""
     ctes = BASE.rstrip() + ("," + extra if extra else "")
-    return f"WITH {ctes}\n{sql}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{sql}"

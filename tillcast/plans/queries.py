@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.operators import clean, features, marts, reshape
+from tillcast.operators import clean, features, forecast, kpi, marts, reshape
 from tillcast.plans import base
 from tillcast.schemas import SERIES_KEYS
 from tillcast.sources.driver_tables import table
@@ -174,3 +174,154 @@ def product_growth(spark, sf):
 @query
 def store_vs_state(spark, sf):
     return marts.store_vs_state(base.fact(spark, sf))
+
+
+# --- KPIs over the item fact ----------------------------------------------------------
+
+KPI_STATE, KPI_CATEGORY = "AMERICA", "PROMO"
+
+
+@query
+def kpi_totals(spark, sf):
+    return kpi.kpi_totals(base.fact(spark, sf))
+
+
+@query
+def kpi_wow_growth(spark, sf):
+    return kpi.kpi_wow_growth(base.fact(spark, sf))
+
+
+@query
+def kpi_filtered(spark, sf):
+    return kpi.kpi_filtered(base.fact(spark, sf), KPI_STATE, KPI_CATEGORY)
+
+
+@query
+def daily_trend(spark, sf):
+    return kpi.daily_trend(base.fact(spark, sf))
+
+
+@query
+def category_share(spark, sf):
+    return kpi.category_share(base.fact(spark, sf))
+
+
+@query
+def store_ranking(spark, sf):
+    return kpi.store_ranking(base.fact(spark, sf))
+
+
+@query
+def top_products_5(spark, sf):
+    return kpi.top_products(base.fact(spark, sf), 5)
+
+
+@query
+def worst_products_5(spark, sf):
+    return kpi.top_products(base.fact(spark, sf), 5, worst=True)
+
+
+@query
+def top_products_10(spark, sf):
+    return kpi.top_products(base.fact(spark, sf), 10)
+
+
+# --- forecasting over the category × store series --------------------------------------
+
+def _cat(spark, sf):
+    ri = base.inputs(spark, sf, "category")
+    return base.fact(spark, sf, "category"), clean.clean_calendar(ri.calendar)
+
+
+def _rule_forecast(spark, sf):
+    fact, cal = _cat(spark, sf)
+    return forecast.recursive_forecast(fact, cal, forecast.weighted_lag_rule)
+
+
+@query
+def series_directory(spark, sf):
+    return base.fact(spark, sf, "category").select(*SERIES_KEYS).distinct()
+
+
+@query
+def last_price(spark, sf):
+    fact = base.fact(spark, sf, "category")
+    return fact.groupBy("id").agg(F.max_by("sell_price", "date").alias("last_price"))
+
+
+@query
+def forecast_horizon(spark, sf):
+    fact, cal = _cat(spark, sf)
+    return forecast.horizon(cal, forecast.last_date(fact))
+
+
+@query
+def chrono_split(spark, sf):
+    return forecast.chrono_split(base.fact(spark, sf, "category")).groupBy("split").agg(
+        F.count("*").alias("rows"))
+
+
+@query
+def forecast_recursive_rule(spark, sf):
+    return _rule_forecast(spark, sf)
+
+
+@query
+def forecast_metrics_rule(spark, sf):
+    feats = features.lag_rolling_features(base.fact(spark, sf, "category"))
+    return forecast.holdout_rule_metrics(feats)
+
+
+@query
+def forecast_daily(spark, sf):
+    return kpi.forecast_daily(_rule_forecast(spark, sf))
+
+
+@query
+def forecast_totals(spark, sf):
+    return kpi.forecast_totals(_rule_forecast(spark, sf))
+
+
+@query
+def forecast_band(spark, sf):
+    return kpi.forecast_band(_rule_forecast(spark, sf))
+
+
+@query
+def forecast_points(spark, sf):
+    fact = base.fact(spark, sf, "category")
+    return kpi.forecast_points(marts.gold_table(fact, "gold_daily_sales"), _rule_forecast(spark, sf))
+
+
+@query
+def history_vs_forecast(spark, sf):
+    return kpi.history_vs_forecast(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+
+
+@query
+def forecast_by_dimension(spark, sf):
+    return kpi.forecast_by_dimension(_rule_forecast(spark, sf))
+
+
+@query
+def backtest_metrics(spark, sf):
+    fact, cal = _cat(spark, sf)
+    return forecast.backtest(fact, cal, forecast.weighted_lag_rule)
+
+
+@query
+def kpi_summary(spark, sf):
+    return kpi.kpi_summary(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+
+
+@query
+def kpi_summary_lists(spark, sf):
+    return kpi.kpi_summary_lists(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+
+
+@query
+def question_context(spark, sf):
+    questions = table(spark, sf, "conversations").filter(F.col("role") == "user").select(
+        "conv_id", "turn", "text")
+    summary = kpi.kpi_summary(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+    return kpi.question_context(questions, summary).select("conv_id", "turn", "prompt")
