@@ -339,3 +339,33 @@ SELECT q.conv_id, q.turn,
   || '{_RULE_LINE}' || chr(10) || s.summary || chr(10) || '{_RULE_LINE}' || chr(10) || chr(10)
   || 'User Question: ' || q.text || chr(10) || 'Assistant Response:' AS prompt
 FROM conversations q, summary s WHERE q.role = 'user'""", extra=_fmt_summary("fc"))
+
+# --- data quality ----------------------------------------------------------------------
+
+_PROFILE_COLUMNS = ["id", "item_id", "store_id", "state_id", "cat_id", "date", "sales", "wm_yr_wk",
+                    "price_cents", "revenue_cents"]
+ORACLE["profile_table"] = with_base("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"count(DISTINCT {c}) AS \"distinct\", CAST(min({c}) AS VARCHAR) AS \"min\", "
+    f"CAST(max({c}) AS VARCHAR) AS \"max\" FROM fact_item" for c in _PROFILE_COLUMNS))
+_CHECKS = {
+    "sales_outside_calendar": "SELECT count(*) FROM daily_item s WHERE NOT EXISTS "
+                              "(SELECT 1 FROM cal c WHERE c.date = s.date)",
+    "sales_without_price": "SELECT count(*) FROM daily_item s LEFT JOIN cal c ON c.date = s.date WHERE NOT EXISTS "
+                           "(SELECT 1 FROM prices_item p WHERE p.store_id = s.store_id AND p.item_id = s.item_id "
+                           "AND p.wm_yr_wk = c.wm_yr_wk)",
+    "duplicate_series_day": "SELECT count(*) FROM (SELECT id, date FROM daily_item GROUP BY ALL HAVING count(*) > 1)",
+    "null_sales": "SELECT count(*) FROM daily_item WHERE sales IS NULL",
+    "negative_sales": "SELECT count(*) FROM daily_item WHERE sales < 0",
+    "nonpositive_or_null_price": "SELECT count(*) FROM prices_item WHERE NOT (coalesce(sell_price, 0) > 0)",
+    "duplicate_price_key": "SELECT count(*) FROM (SELECT store_id, item_id, wm_yr_wk FROM prices_item "
+                           "GROUP BY ALL HAVING count(*) > 1)",
+    "duplicate_calendar_day": "SELECT count(*) FROM (SELECT date FROM cal GROUP BY date HAVING count(*) > 1)",
+    "lineitem_unknown_part": "SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)",
+    "lineitem_unknown_supplier": "SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN "
+                                 "(SELECT s_suppkey FROM supplier)",
+    "lineitem_duplicate_key": "SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem "
+                              "GROUP BY ALL HAVING count(*) > 1)",
+}
+ORACLE["quality_report"] = with_base("\nUNION ALL\n".join(
+    f"SELECT '{k}' AS \"check\", ({v}) AS failed_rows" for k, v in _CHECKS.items()))

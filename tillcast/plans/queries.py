@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.operators import clean, features, forecast, kpi, marts, reshape
-from tillcast.plans import base
+from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape
+from tillcast.plans import base, pipeline
 from tillcast.schemas import SERIES_KEYS
 from tillcast.sources.driver_tables import table
 
@@ -325,3 +325,59 @@ def question_context(spark, sf):
         "conv_id", "turn", "text")
     summary = kpi.kpi_summary(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
     return kpi.question_context(questions, summary).select("conv_id", "turn", "prompt")
+
+
+# --- learned forecaster (rows-only checks: no SQL equivalent of tree training) ---------
+
+GBT_QUERY_PARAMS = dict(maxIter=20)   # the job's default is the full 150 trees
+
+
+@query
+def forecast_gbt(spark, sf):
+    fact, cal = _cat(spark, sf)
+    training = features.lag_rolling_features(fact)
+    fitted = model.fit(training, **GBT_QUERY_PARAMS)
+    return forecast.recursive_forecast(fact, cal, fitted)
+
+
+@query
+def forecast_gbt_metrics(spark, sf):
+    training = features.lag_rolling_features(base.fact(spark, sf, "category"))
+    return model.holdout_metrics(training, **GBT_QUERY_PARAMS)
+
+
+# --- data quality ----------------------------------------------------------------------
+
+PROFILE_COLUMNS = ["id", "item_id", "store_id", "state_id", "cat_id", "date", "sales", "wm_yr_wk",
+                   "price_cents", "revenue_cents"]
+
+
+@query
+def profile_table(spark, sf):
+    return quality.profile(base.fact(spark, sf), PROFILE_COLUMNS)
+
+
+@query
+def quality_report(spark, sf):
+    ri = base.inputs(spark, sf)
+    li = table(spark, sf, "lineitem")
+    extra = {
+        "lineitem_unknown_part": li.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"),
+                                         "left_anti"),
+        "lineitem_unknown_supplier": li.join(table(spark, sf, "supplier"),
+                                             F.col("l_suppkey") == F.col("s_suppkey"), "left_anti"),
+        "lineitem_duplicate_key": li.groupBy("l_orderkey", "l_linenumber").count().filter(F.col("count") > 1),
+    }
+    return quality.quality_report(ri.sales, clean.clean_prices(ri.prices), clean.clean_calendar(ri.calendar),
+                                  extra)
+
+
+@query
+def table_status(spark, sf):
+    """Whole batch job on CSV files exported from the driver's tables (category
+    grain, rule predictor), then the gold readiness report."""
+    ri = base.inputs(spark, sf, "category")
+    raw = pipeline.scratch_root(spark, "raw")
+    pipeline.export_raw_csv(spark, clean.clean_calendar(ri.calendar), ri.prices, ri.sales, raw)
+    cfg = pipeline.PipelineConfig(raw_dir=raw, root=pipeline.scratch_root(spark, "lake"), predictor="rule")
+    return pipeline.run_pipeline(spark, cfg)
