@@ -11,17 +11,22 @@ from tillcast.functions import columns as C
 MAX_CALENDAR_ROWS = 100_000
 
 
-def sales_fact(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
+def sales_fact(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
+               calendar_rows: int | None = None) -> DataFrame:
     """Inner-join daily sales to the calendar (days outside it drop) and to the
     weekly prices (unpriced weeks drop); revenue = units × price.
 
     Sales join the calendar on ``d`` when they come from a melt, else on ``date``.
-    The calendar is broadcast after a size check; the price join is left to AQE
+    The calendar is broadcast after a size check (``calendar_rows`` when the
+    caller knows it, else a bounded count); the price join is left to AQE
     (broadcast when small at run time, sort-merge with skew splitting otherwise).
     Money is also carried as exact integer cents so every later sum is exact.
     """
     key = "d" if "d" in sales.columns else "date"
-    cal = C.checked_broadcast(calendar, MAX_CALENDAR_ROWS)
+    if calendar_rows is not None:
+        cal = F.broadcast(calendar) if calendar_rows <= MAX_CALENDAR_ROWS else calendar
+    else:
+        cal = C.checked_broadcast(calendar, MAX_CALENDAR_ROWS)
     joined = sales.join(cal, on=key, how="inner")
     priced = joined.join(prices, on=["store_id", "item_id", "wm_yr_wk"], how="inner")
     return priced.withColumns({

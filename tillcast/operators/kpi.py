@@ -184,22 +184,33 @@ def _fmt_money(c: Column) -> Column:
 
 def kpi_summary(fact: DataFrame, fc: DataFrame) -> DataFrame:
     """One-row summary with the figures and the text the assistant is given.
-    The best store's state is the store's own state."""
-    cats = fact.groupBy("cat_id").agg(F.sum("revenue_cents").alias("_cents"))
-    stores = fact.groupBy("store_id", "state_id").agg(F.sum("revenue_cents").alias("_cents"))
-    states = fact.groupBy("state_id").agg(F.sum("revenue_cents").alias("_cents"))
-    top_store = stores.orderBy(F.desc("_cents"), F.asc("store_id")).limit(1)
-    tot = kpi_totals(fact)
-    ft = forecast_totals(fc)
-    row = tot.select("total_revenue", F.col("total_units_sold").alias("total_units")).withColumns({
-        "top_category": _best(cats, "cat_id"),
-        "top_store": top_store.select("store_id").scalar(),
-        "top_store_state": top_store.select("state_id").scalar(),
-        "top_state": _best(states, "state_id"),
-        "forecast_revenue": ft.select("forecast_revenue").scalar(),
-        "forecast_units": ft.select("forecast_units").scalar(),
-        "forecast_days": ft.select("forecast_days").scalar(),
-    }).withColumn("mean_daily_units", C.safe_ratio("forecast_units", "forecast_days"))
+
+    All history figures come from one GROUPING SETS pass over the fact (totals,
+    per category, per store, per state), reduced to one row; the forecast
+    figures are one scalar subquery. Best = highest revenue, ties to the smallest
+    key. The best store's state is the store's own state.
+    """
+    g = fact.groupingSets([[F.col("cat_id")], [F.col("store_id"), F.col("state_id")], [F.col("state_id")], []],
+                          "cat_id", "store_id", "state_id").agg(
+        F.sum("revenue_cents").alias("_cents"), F.sum("sales").alias("_units"), F.grouping_id().alias("_gid"))
+    # grouping_id bits over (cat_id, store_id, state_id), 1 = rolled up
+    by_cat, by_store, by_state, total = 0b011, 0b100, 0b110, 0b111
+
+    def best(key: str, gid: int, tie: str | None = None) -> Column:
+        rank = F.struct((-F.col("_cents")).alias("c"), F.col(tie or key).alias("k"))
+        return F.min_by(F.col(key), F.when(F.col("_gid") == gid, rank))
+
+    ft = forecast_totals(fc).select(F.struct("forecast_revenue", "forecast_units", "forecast_days")).scalar()
+    row = g.agg(
+        C.from_cents(F.max(F.when(F.col("_gid") == total, F.col("_cents")))).alias("total_revenue"),
+        F.max(F.when(F.col("_gid") == total, F.col("_units"))).alias("total_units"),
+        best("cat_id", by_cat).alias("top_category"),
+        best("store_id", by_store).alias("top_store"),
+        best("state_id", by_store, tie="store_id").alias("top_store_state"),
+        best("state_id", by_state).alias("top_state"),
+    ).withColumn("_ft", ft).select(
+        "*", *[F.col("_ft")[c].alias(c) for c in ("forecast_revenue", "forecast_units", "forecast_days")]
+    ).drop("_ft").withColumn("mean_daily_units", C.safe_ratio("forecast_units", "forecast_days"))
     text = F.format_string(
         SUMMARY_TEMPLATE,
         _fmt_money(F.col("total_revenue")), F.format_number(F.col("total_units"), 0),

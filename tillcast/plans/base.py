@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillcast.operators.clean import clean_calendar, clean_prices
 from tillcast.operators.fact import sales_fact
 from tillcast.operators.features import time_features
+from tillcast.session import checkpoint_dir
 from tillcast.sources.driver_tables import RetailInputs, retail_inputs
 
 
@@ -14,7 +15,17 @@ def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInput
     return retail_inputs(spark, sf_dir, level)
 
 
-def fact(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:
-    """Integrated fact with time features (``silver_integrated`` + calendar flags)."""
+def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: bool = False) -> DataFrame:
+    """Integrated fact with time features (``silver_integrated`` + calendar flags).
+
+    ``materialize`` writes it once with a reliable checkpoint (into the cluster's
+    checkpoint folder) for queries that read it several times — each scalar
+    subquery would otherwise recompute it from the raw tables.
+    """
     ri = inputs(spark, sf_dir, level)
-    return time_features(sales_fact(ri.sales, clean_calendar(ri.calendar), clean_prices(ri.prices)))
+    out = time_features(sales_fact(ri.sales, clean_calendar(ri.calendar), clean_prices(ri.prices),
+                                   calendar_rows=ri.calendar_days))
+    if materialize:
+        checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)
+    return out

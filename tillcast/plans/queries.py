@@ -153,7 +153,7 @@ def holiday_sales(spark, sf):
 
 @query
 def seasonal_index(spark, sf):
-    return marts.seasonal_index(base.fact(spark, sf))
+    return marts.seasonal_index(base.fact(spark, sf, materialize=True))
 
 
 @query
@@ -188,7 +188,7 @@ def kpi_totals(spark, sf):
 
 @query
 def kpi_wow_growth(spark, sf):
-    return kpi.kpi_wow_growth(base.fact(spark, sf))
+    return kpi.kpi_wow_growth(base.fact(spark, sf, materialize=True))
 
 
 @query
@@ -203,7 +203,7 @@ def daily_trend(spark, sf):
 
 @query
 def category_share(spark, sf):
-    return kpi.category_share(base.fact(spark, sf))
+    return kpi.category_share(base.fact(spark, sf, materialize=True))
 
 
 @query
@@ -229,12 +229,14 @@ def top_products_10(spark, sf):
 # --- forecasting over the category × store series --------------------------------------
 
 def _cat(spark, sf):
+    """Category fact (materialized: the recursion reads it for the state, the last
+    date and the horizon) and the cleaned calendar."""
     ri = base.inputs(spark, sf, "category")
-    return base.fact(spark, sf, "category"), clean.clean_calendar(ri.calendar)
+    return base.fact(spark, sf, "category", materialize=True), clean.clean_calendar(ri.calendar)
 
 
-def _rule_forecast(spark, sf):
-    fact, cal = _cat(spark, sf)
+def _rule_forecast(spark, sf, fact_and_cal=None):
+    fact, cal = fact_and_cal or _cat(spark, sf)
     return forecast.recursive_forecast(fact, cal, forecast.weighted_lag_rule)
 
 
@@ -268,7 +270,7 @@ def forecast_recursive_rule(spark, sf):
 
 @query
 def forecast_metrics_rule(spark, sf):
-    feats = features.lag_rolling_features(base.fact(spark, sf, "category"))
+    feats = features.lag_rolling_features(base.fact(spark, sf, "category", materialize=True))
     return forecast.holdout_rule_metrics(feats)
 
 
@@ -289,13 +291,14 @@ def forecast_band(spark, sf):
 
 @query
 def forecast_points(spark, sf):
-    fact = base.fact(spark, sf, "category")
-    return kpi.forecast_points(marts.gold_table(fact, "gold_daily_sales"), _rule_forecast(spark, sf))
+    fc = _cat(spark, sf)
+    return kpi.forecast_points(marts.gold_table(fc[0], "gold_daily_sales"), _rule_forecast(spark, sf, fc))
 
 
 @query
 def history_vs_forecast(spark, sf):
-    return kpi.history_vs_forecast(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+    fc = _cat(spark, sf)
+    return kpi.history_vs_forecast(fc[0], _rule_forecast(spark, sf, fc))
 
 
 @query
@@ -311,19 +314,22 @@ def backtest_metrics(spark, sf):
 
 @query
 def kpi_summary(spark, sf):
-    return kpi.kpi_summary(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+    fc = _cat(spark, sf)
+    return kpi.kpi_summary(fc[0], _rule_forecast(spark, sf, fc))
 
 
 @query
 def kpi_summary_lists(spark, sf):
-    return kpi.kpi_summary_lists(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+    fc = _cat(spark, sf)
+    return kpi.kpi_summary_lists(fc[0], _rule_forecast(spark, sf, fc))
 
 
 @query
 def question_context(spark, sf):
     questions = table(spark, sf, "conversations").filter(F.col("role") == "user").select(
         "conv_id", "turn", "text")
-    summary = kpi.kpi_summary(base.fact(spark, sf, "category"), _rule_forecast(spark, sf))
+    fc = _cat(spark, sf)
+    summary = kpi.kpi_summary(fc[0], _rule_forecast(spark, sf, fc))
     return kpi.question_context(questions, summary).select("conv_id", "turn", "prompt")
 
 
@@ -335,14 +341,14 @@ GBT_QUERY_PARAMS = dict(maxIter=20)   # the job's default is the full 150 trees
 @query
 def forecast_gbt(spark, sf):
     fact, cal = _cat(spark, sf)
-    training = features.lag_rolling_features(fact)
+    training = features.lag_rolling_features(fact).checkpoint(eager=True)
     fitted = model.fit(training, **GBT_QUERY_PARAMS)
     return forecast.recursive_forecast(fact, cal, fitted)
 
 
 @query
 def forecast_gbt_metrics(spark, sf):
-    training = features.lag_rolling_features(base.fact(spark, sf, "category"))
+    training = features.lag_rolling_features(base.fact(spark, sf, "category", materialize=True))
     return model.holdout_metrics(training, **GBT_QUERY_PARAMS)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tillcast") -> SparkSession:
+                  app_name: str = "tillcast", extra: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings every job here relies on.
 
     AQE stays on so shuffle widths coalesce and skewed join partitions split at run
@@ -29,6 +29,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -48,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()

@@ -17,6 +17,7 @@ long dense-ish series for lags and forecasting).
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +46,13 @@ def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("state_id"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey",
                                                     F.col("n_name").alias("store_id"))
-    geo = nation.join(C.checked_broadcast(region, MAX_GEO_ROWS),
-                      F.col("n_regionkey") == F.col("r_regionkey"))
-    geo = C.checked_broadcast(geo.select("n_nationkey", "store_id", "state_id"), MAX_GEO_ROWS)
+    # nation ⋈ region is checked once (one tiny job) and then broadcast into the
+    # supplier join; supplier itself grows with the data and is left to AQE.
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", "store_id", "state_id")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return supplier.join(geo, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", "store_id", "state_id")
+    return supplier.join(C.checked_broadcast(geo, MAX_GEO_ROWS),
+                         F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "store_id", "state_id")
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,7 @@ class RetailInputs:
     sales: DataFrame      # id, item_id, dept_id, cat_id, store_id, state_id, date, sales
     prices: DataFrame     # store_id, item_id, wm_yr_wk, sell_price
     calendar: DataFrame   # raw calendar (null event names on ordinary days)
+    calendar_days: int    # rows of the calendar, known from its bounds
 
 
 def daily_lines(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:
@@ -95,7 +98,11 @@ def retail_inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> Reta
               .select("store_id", "item_id", "wm_yr_wk",
                       C.from_cents("_price_cents").alias("sell_price")))
     sales = daily.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "date", "sales")
-    ship = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
-    lo = ship.select(F.min("d")).scalar()
-    hi = ship.select(F.date_add(F.max("d"), FUTURE_DAYS)).scalar()
-    return RetailInputs(sales=sales, prices=prices, calendar=calendar_dim(spark, lo, hi))
+    # Calendar bounds: one global min/max (partial per task), two dates to the
+    # driver. The calendar is then built from literals and its size is known
+    # exactly, without a counting job.
+    lo, hi = (table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+              .agg(F.min("d"), F.max("d")).first())
+    hi = hi + _dt.timedelta(days=FUTURE_DAYS)
+    return RetailInputs(sales=sales, prices=prices, calendar=calendar_dim(spark, lo, hi),
+                        calendar_days=(hi - lo).days + 1)
