@@ -62,6 +62,7 @@ ORACLE["sales_fact"] = with_base(f"SELECT {FACT_COLUMNS} FROM fact_item")
 
 for _n in GOLD_KEYS:
     ORACLE[_n] = with_base(_gold_sql(_n))
+ORACLE["gold_daily_sales_stream"] = ORACLE["gold_daily_sales"]
 
 _ALL_COLS = ["date", "year", "month", "wday", "is_holiday", "store_id", "state_id",
              "item_id", "dept_id", "cat_id"]

@@ -387,3 +387,20 @@ def table_status(spark, sf):
     pipeline.export_raw_csv(spark, clean.clean_calendar(ri.calendar), ri.prices, ri.sales, raw)
     cfg = pipeline.PipelineConfig(raw_dir=raw, root=pipeline.scratch_root(spark, "lake"), predictor="rule")
     return pipeline.run_pipeline(spark, cfg)
+
+
+# --- incremental (Structured Streaming) -------------------------------------------------
+
+@query
+def gold_daily_sales_stream(spark, sf):
+    """The daily mart built incrementally: the fact lands as a feed of files (one
+    or more per year), is streamed with ``availableNow`` two files per micro-batch,
+    and the per-batch partials are summed. Same answer as ``gold_daily_sales``."""
+    from tillcast.streaming import incremental
+    f = base.fact(spark, sf).select("date", "year", "month", "wday", "is_holiday", "sales", "revenue_cents")
+    root = pipeline.scratch_root(spark, "stream")
+    f.repartition(8, "year").write.parquet(f"{root}/feed")
+    schema = spark.read.parquet(f"{root}/feed").schema
+    incremental.run_daily_sales_stream(spark, f"{root}/feed", schema, f"{root}/partials",
+                                       f"{root}/_checkpoint", max_files_per_trigger=2)
+    return incremental.read_daily_sales(spark, f"{root}/partials")
