@@ -23,15 +23,29 @@ def sales_fact(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     Money is also carried as exact integer cents so every later sum is exact.
     """
     key = "d" if "d" in sales.columns else "date"
-    if calendar_rows is not None:
-        cal = F.broadcast(calendar) if calendar_rows <= MAX_CALENDAR_ROWS else calendar
-    else:
-        cal = C.checked_broadcast(calendar, MAX_CALENDAR_ROWS)
-    joined = sales.join(cal, on=key, how="inner")
+    joined = sales.join(_calendar_side(calendar, calendar_rows), on=key, how="inner")
     priced = joined.join(prices, on=["store_id", "item_id", "wm_yr_wk"], how="inner")
+    return with_money(priced)
+
+
+def _calendar_side(calendar: DataFrame, calendar_rows: int | None) -> DataFrame:
+    if calendar_rows is not None:
+        return F.broadcast(calendar) if calendar_rows <= MAX_CALENDAR_ROWS else calendar
+    return C.checked_broadcast(calendar, MAX_CALENDAR_ROWS)
+
+
+def with_money(priced: DataFrame) -> DataFrame:
+    """Units as int, price and revenue also as exact integer cents."""
     return priced.withColumns({
         "sales": F.col("sales").cast("int"),
         "price_cents": C.to_cents("sell_price"),
     }).withColumns({
         "revenue_cents": F.col("sales").cast("long") * F.col("price_cents"),
     }).withColumn("revenue", C.from_cents("revenue_cents"))
+
+
+def fact_with_prices(sales: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
+    """Integrated fact for sales that already carry their weekly ``sell_price``
+    (and ``wm_yr_wk``): only the calendar join remains."""
+    cal = _calendar_side(calendar.drop("wm_yr_wk"), calendar_rows)
+    return with_money(sales.join(cal, on="date", how="inner"))

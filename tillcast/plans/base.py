@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillcast.operators.clean import clean_calendar, clean_prices
-from tillcast.operators.fact import sales_fact
+from tillcast.operators.fact import fact_with_prices, sales_fact
 from tillcast.operators.features import time_features
 from tillcast.session import checkpoint_dir
-from tillcast.sources.driver_tables import RetailInputs, retail_inputs
+from tillcast.sources.driver_tables import RetailInputs, priced_daily, retail_inputs
 
 
 def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInputs:
@@ -23,9 +24,16 @@ def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: boo
     subquery would otherwise recompute it from the raw tables.
     """
     ri = inputs(spark, sf_dir, level)
-    out = time_features(sales_fact(ri.sales, clean_calendar(ri.calendar), clean_prices(ri.prices),
-                                   calendar_rows=ri.calendar_days))
+    priced = priced_daily(spark, sf_dir, level).filter(F.col("sell_price") > 0.0)   # as clean_prices
+    out = time_features(fact_with_prices(priced, clean_calendar(ri.calendar), calendar_rows=ri.calendar_days))
     if materialize:
         checkpoint_dir(spark)
         out = out.checkpoint(eager=True)
     return out
+
+
+def joined_fact(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:
+    """The same fact through the model's join path: sales ⋈ calendar ⋈ prices."""
+    ri = inputs(spark, sf_dir, level)
+    return time_features(sales_fact(ri.sales, clean_calendar(ri.calendar), clean_prices(ri.prices),
+                                    calendar_rows=ri.calendar_days))

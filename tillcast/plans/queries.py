@@ -78,7 +78,8 @@ def melt_daily(spark, sf):
 
 @query
 def sales_fact(spark, sf):
-    return base.fact(spark, sf).select(*FACT_COLUMNS)
+    """Sales ⋈ calendar ⋈ weekly prices through the join operators (J1, J2)."""
+    return base.joined_fact(spark, sf).select(*FACT_COLUMNS)
 
 
 # --- gold -------------------------------------------------------------------------

@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import columns as C
@@ -90,13 +90,30 @@ def daily_lines(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFr
     return daily.withColumn("id", F.concat_ws("_", "item_id", "store_id", F.lit("validation")))
 
 
+def _price(cents: str, units: str):
+    return C.from_cents(F.expr(f"{cents} div {units}"))
+
+
+def priced_daily(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:
+    """Daily sales that carry their weekly price, in one pass over the line items.
+
+    The weekly price of a (store, item, week) is derived from that week's own
+    daily rows, so a window over them gives the same rows as joining a separate
+    price table — without aggregating the line items twice. The window runs on
+    the aggregated rows (at most 14 days per store, item and week key)."""
+    daily = daily_lines(spark, sf_dir, level).withColumn("wm_yr_wk", C.year_week("date"))
+    w = Window.partitionBy("store_id", "item_id", "wm_yr_wk")
+    return (daily.withColumns({"_wc": F.sum("cents").over(w), "_wu": F.sum("sales").over(w)})
+            .withColumn("sell_price", _price("_wc", "_wu"))
+            .drop("_wc", "_wu", "cents"))
+
+
 def retail_inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInputs:
     daily = daily_lines(spark, sf_dir, level)
     prices = (daily.withColumn("wm_yr_wk", C.year_week("date"))
               .groupBy("store_id", "item_id", "wm_yr_wk")
-              .agg(F.expr("sum(cents) div sum(sales)").alias("_price_cents"))
-              .select("store_id", "item_id", "wm_yr_wk",
-                      C.from_cents("_price_cents").alias("sell_price")))
+              .agg(F.sum("cents").alias("_c"), F.sum("sales").alias("_u"))
+              .select("store_id", "item_id", "wm_yr_wk", _price("_c", "_u").alias("sell_price")))
     sales = daily.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "date", "sales")
     # Calendar bounds: one global min/max (partial per task), two dates to the
     # driver. The calendar is then built from literals and its size is known
