@@ -9,7 +9,7 @@ from tillcast.operators.clean import clean_calendar, clean_prices
 from tillcast.operators.fact import fact_with_prices, sales_fact
 from tillcast.operators.features import time_features
 from tillcast.session import checkpoint_dir
-from tillcast.sources.driver_tables import RetailInputs, priced_daily, retail_inputs
+from tillcast.sources.driver_tables import RetailInputs, calendar_input, priced_daily, retail_inputs
 
 
 def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInputs:
@@ -23,9 +23,9 @@ def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: boo
     checkpoint folder) for queries that read it several times — each scalar
     subquery would otherwise recompute it from the raw tables.
     """
-    ri = inputs(spark, sf_dir, level)
+    calendar, days = calendar_input(spark, sf_dir)
     priced = priced_daily(spark, sf_dir, level).filter(F.col("sell_price") > 0.0)   # as clean_prices
-    out = time_features(fact_with_prices(priced, clean_calendar(ri.calendar), calendar_rows=ri.calendar_days))
+    out = time_features(fact_with_prices(priced, clean_calendar(calendar), calendar_rows=days))
     if materialize:
         checkpoint_dir(spark)
         out = out.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape
 from tillcast.plans import base, pipeline
 from tillcast.schemas import SERIES_KEYS
-from tillcast.sources.driver_tables import table
+from tillcast.sources.driver_tables import calendar_input, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -232,8 +232,8 @@ def top_products_10(spark, sf):
 def _cat(spark, sf):
     """Category fact (materialized: the recursion reads it for the state, the last
     date and the horizon) and the cleaned calendar."""
-    ri = base.inputs(spark, sf, "category")
-    return base.fact(spark, sf, "category", materialize=True), clean.clean_calendar(ri.calendar)
+    calendar, _ = calendar_input(spark, sf)
+    return base.fact(spark, sf, "category", materialize=True), clean.clean_calendar(calendar)
 
 
 def _rule_forecast(spark, sf, fact_and_cal=None):

@@ -26,12 +26,17 @@ from pyspark.sql import functions as F
 from tillcast.functions import columns as C
 from tillcast.operators.calendar import FUTURE_DAYS, calendar_dim
 
-# Nation (25 rows) and region (5 rows) are fixed-size dimensions in TPC-H.
-MAX_GEO_ROWS = 10_000
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Source frames are registered once per session (file listing
+    and footer schema are read once); every query still scans the files."""
+    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = _SOURCES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SOURCES[key] = spark.read.parquet(key[1])
+    return df
 
 
 def item_hierarchy(part: DataFrame) -> DataFrame:
@@ -43,16 +48,18 @@ def item_hierarchy(part: DataFrame) -> DataFrame:
 
 
 def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier → (store, state). Nation (25 rows) and region (5 rows) are fixed
+    by the TPC-H schema; no hint is given: the planner sizes them from their files
+    (a few KB, far below the broadcast threshold) and AQE re-checks the real size
+    at run time. Supplier grows with the data and is a plain join."""
     region = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("state_id"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey",
                                                     F.col("n_name").alias("store_id"))
-    # nation ⋈ region is checked once (one tiny job) and then broadcast into the
-    # supplier join; supplier itself grows with the data and is left to AQE.
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "store_id", "state_id")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return supplier.join(C.checked_broadcast(geo, MAX_GEO_ROWS),
-                         F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "store_id", "state_id")
+    return supplier.join(geo, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", "store_id", "state_id")
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,11 +122,17 @@ def retail_inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> Reta
               .agg(F.sum("cents").alias("_c"), F.sum("sales").alias("_u"))
               .select("store_id", "item_id", "wm_yr_wk", _price("_c", "_u").alias("sell_price")))
     sales = daily.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "date", "sales")
-    # Calendar bounds: one global min/max (partial per task), two dates to the
-    # driver. The calendar is then built from literals and its size is known
-    # exactly, without a counting job.
+    calendar, days = calendar_input(spark, sf_dir)
+    return RetailInputs(sales=sales, prices=prices, calendar=calendar, calendar_days=days)
+
+
+def calendar_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Calendar over the ship dates plus the forecast days, and its row count.
+
+    Bounds: one global min/max (partial per task), two dates to the driver. The
+    calendar is then built from literals and its size is known exactly, without
+    a counting job."""
     lo, hi = (table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
               .agg(F.min("d"), F.max("d")).first())
     hi = hi + _dt.timedelta(days=FUTURE_DAYS)
-    return RetailInputs(sales=sales, prices=prices, calendar=calendar_dim(spark, lo, hi),
-                        calendar_days=(hi - lo).days + 1)
+    return calendar_dim(spark, lo, hi), (hi - lo).days + 1
