@@ -191,7 +191,7 @@ def _recursion(p: str, as_of: str) -> str:
     """Recursive CTE ``{p}`` = rule forecast for 30 calendar days after ``as_of``
     (an expression over ``{p}_last.m``), carrying the 30-day state as a list."""
     return f"""
-{p}_last AS (SELECT {as_of} AS m FROM (SELECT max(date) AS m FROM fact_category)),
+{p}_last AS (SELECT {as_of} AS m FROM (SELECT max(date) AS m FROM hist_category)),
 {p}_hz AS (
   SELECT row_number() OVER (ORDER BY date) AS k, * FROM (
     SELECT c.date, c.wday, c.month, c.year, CAST(c.wday IN (1, 2) AS INTEGER) AS is_weekend,
@@ -199,11 +199,11 @@ def _recursion(p: str, as_of: str) -> str:
     FROM cal c, {p}_last l WHERE c.date > l.m ORDER BY c.date LIMIT 30)),
 {p}_ser AS (
   SELECT id, item_id, dept_id, cat_id, store_id, state_id, arg_max(sell_price, date) AS sell_price
-  FROM fact_category, {p}_last l WHERE date <= l.m GROUP BY ALL),
+  FROM hist_category, {p}_last l WHERE date <= l.m GROUP BY ALL),
 {p}_init AS (
   SELECT s.id, list(CAST(f.sales AS DOUBLE) ORDER BY g.i) AS h
   FROM {p}_ser s CROSS JOIN range(1, 31) g(i) CROSS JOIN {p}_last l
-  LEFT JOIN fact_category f ON f.id = s.id AND f.date = l.m - 30 + CAST(g.i AS INTEGER)
+  LEFT JOIN hist_category f ON f.id = s.id AND f.date = l.m - 30 + CAST(g.i AS INTEGER)
   GROUP BY s.id),
 {p}_rec(id, k, h, date, y) AS (
   SELECT id, 0, h, CAST(NULL AS DATE), CAST(NULL AS DOUBLE) FROM {p}_init
@@ -226,12 +226,12 @@ def with_fc(sql: str, extra: str = "") -> str:
     return with_base(sql, extra=FC + ("," + extra if extra else ""), recursive=True)
 
 
-ORACLE["series_directory"] = with_base(f"SELECT DISTINCT {KEYS} FROM fact_category")
-ORACLE["last_price"] = with_base("SELECT id, arg_max(sell_price, date) AS last_price FROM fact_category GROUP BY id")
+ORACLE["series_directory"] = with_base(f"SELECT DISTINCT {KEYS} FROM hist_category")
+ORACLE["last_price"] = with_base("SELECT id, arg_max(sell_price, date) AS last_price FROM hist_category GROUP BY id")
 ORACLE["forecast_horizon"] = with_fc("SELECT * EXCLUDE (k) FROM fc_hz")
 ORACLE["chrono_split"] = with_base("""
 SELECT CASE WHEN date <= m - 30 THEN 'train' ELSE 'validation' END AS split, count(*) AS rows
-FROM fact_category, (SELECT max(date) AS m FROM fact_category) GROUP BY 1""")
+FROM hist_category, (SELECT max(date) AS m FROM hist_category) GROUP BY 1""")
 ORACLE["forecast_recursive_rule"] = with_fc("SELECT * EXCLUDE (revenue_cents) FROM fc")
 _FC_DAILY = ("SELECT date, CAST(sum(sales) AS BIGINT) AS total_units, "
              "CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue FROM fc GROUP BY date")
@@ -246,11 +246,11 @@ ORACLE["forecast_band"] = with_fc(
     f"SELECT *, total_units * 0.9::DOUBLE AS band_low, total_units * 1.1::DOUBLE AS band_high FROM ({_FC_DAILY})")
 ORACLE["forecast_points"] = with_fc(f"""
 SELECT date, 'Historical' AS type, CAST(total_units AS DOUBLE) AS sales, total_revenue AS revenue
-FROM ({_gold_sql('gold_daily_sales', 'fact_category')}) WHERE date >= (SELECT max(date) FROM fact_category) - 90
+FROM ({_gold_sql('gold_daily_sales', 'hist_category')}) WHERE date >= (SELECT max(date) FROM hist_category) - 90
 UNION ALL
 SELECT date, 'Forecasted' AS type, CAST(total_units AS DOUBLE) AS sales, total_revenue AS revenue FROM ({_FC_DAILY})""")
 ORACLE["history_vs_forecast"] = with_fc("""
-SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Actual' AS type FROM fact_category GROUP BY date
+SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Actual' AS type FROM hist_category GROUP BY date
 UNION ALL
 SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Forecast' AS type FROM fc GROUP BY date""")
 ORACLE["forecast_by_dimension"] = with_fc("""
@@ -285,7 +285,7 @@ SELECT CAST(date_diff('day', (SELECT m FROM bt_last), b.date) AS INTEGER) AS ste
        CAST(sum(coalesce(a.sales, 0)) AS BIGINT) AS actual_units, CAST(sum(b.sales) AS BIGINT) AS forecast_units,
        round(sqrt(avg(CAST((b.sales - coalesce(a.sales, 0)) AS DOUBLE) ^ 2)), 6) AS rmse,
        round(avg(abs(CAST(b.sales - coalesce(a.sales, 0) AS DOUBLE))), 6) AS mae
-FROM bt b LEFT JOIN fact_category a ON a.id = b.id AND a.date = b.date
+FROM bt b LEFT JOIN hist_category a ON a.id = b.id AND a.date = b.date
 GROUP BY b.date""", extra=_recursion("bt", "m - 30"), recursive=True)
 
 
@@ -298,11 +298,11 @@ summ AS (
          CASE WHEN f.forecast_days > 0 THEN CAST(f.forecast_units AS DOUBLE) / f.forecast_days ELSE 0.0 END
            AS mean_daily_units
   FROM (SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue, CAST(sum(sales) AS BIGINT) AS total_units
-        FROM fact_category) t,
-       (SELECT cat_id FROM fact_category GROUP BY cat_id ORDER BY sum(revenue_cents) DESC, cat_id LIMIT 1) tc,
-       (SELECT store_id, state_id FROM fact_category GROUP BY store_id, state_id
+        FROM hist_category) t,
+       (SELECT cat_id FROM hist_category GROUP BY cat_id ORDER BY sum(revenue_cents) DESC, cat_id LIMIT 1) tc,
+       (SELECT store_id, state_id FROM hist_category GROUP BY store_id, state_id
         ORDER BY sum(revenue_cents) DESC, store_id LIMIT 1) ts,
-       (SELECT state_id FROM fact_category GROUP BY state_id ORDER BY sum(revenue_cents) DESC, state_id LIMIT 1) tt,
+       (SELECT state_id FROM hist_category GROUP BY state_id ORDER BY sum(revenue_cents) DESC, state_id LIMIT 1) tt,
        (SELECT CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS forecast_revenue,
                CAST(sum(sales) AS BIGINT) AS forecast_units, count(DISTINCT date) AS forecast_days FROM {fc_name}) f),
 summary AS (
@@ -328,9 +328,9 @@ _WORST = ("SELECT string_agg(item_id, ', ' ORDER BY total_revenue DESC, item_id)
 ORACLE["kpi_summary_lists"] = with_fc(f"""
 SELECT *, summary || '- Top Products: ' || top_products || chr(10) || '- Worst Products: ' || worst_products
           || chr(10) || '- Categories: ' || categories || chr(10) AS summary_lists
-FROM (SELECT *, ({_TOP.replace('fact_item', 'fact_category')}) AS top_products,
-             ({_WORST.replace('fact_item', 'fact_category')}) AS worst_products,
-             (SELECT string_agg(cat_id, ', ' ORDER BY cat_id) FROM (SELECT DISTINCT cat_id FROM fact_category))
+FROM (SELECT *, ({_TOP.replace('fact_item', 'hist_category')}) AS top_products,
+             ({_WORST.replace('fact_item', 'hist_category')}) AS worst_products,
+             (SELECT string_agg(cat_id, ', ' ORDER BY cat_id) FROM (SELECT DISTINCT cat_id FROM hist_category))
                AS categories
       FROM summary)""", extra=_fmt_summary("fc"))
 _RULE_LINE = "=" * 51

@@ -82,7 +82,10 @@ cal AS (
          CAST(day(c.date) <= 10 AS INTEGER) AS snap_CA,
          CAST(day(c.date) <= 15 AS INTEGER) AS snap_TX,
          CAST(day(c.date) <= 14 AS INTEGER) AS snap_WI
-  FROM cal_raw c, bounds b),{_daily('item')},{_daily('category')}
+  FROM cal_raw c, bounds b),{_daily('item')},{_daily('category')},
+hist_category AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY date) AS rn FROM fact_category) WHERE rn > 28)
 """
 
 

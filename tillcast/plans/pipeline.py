@@ -91,9 +91,9 @@ def run_forecast(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     else:
         raise ValueError(f"unknown predictor {cfg.predictor!r}")
     _w(metrics.withColumn("run_date", F.lit(_dt.date.today())), cfg, "models", "evaluation_metrics")
-    # The forecast starts after the last day of the whole fact (not only of the
-    # post-warm-up rows) and looks lags up in the whole fact.
-    fc = forecast.recursive_forecast(_r(spark, cfg, "silver", "silver_integrated"), calendar, predictor)
+    # As the reference: the forecast history is the training table (post-warm-up
+    # rows) — series directory, last prices, lag look-ups and the start date.
+    fc = forecast.recursive_forecast(hist, calendar, predictor)
     _w(fc, cfg, "gold", "gold_forecast_results")
     return _r(spark, cfg, "gold", "gold_forecast_results")
 

@@ -230,10 +230,14 @@ def top_products_10(spark, sf):
 # --- forecasting over the category × store series --------------------------------------
 
 def _cat(spark, sf):
-    """Category fact (materialized: the recursion reads it for the state, the last
-    date and the horizon) and the cleaned calendar."""
+    """Forecast history and the cleaned calendar. The history is the training
+    table ``gold_forecasting_input`` — category × store fact with lags and rolling
+    means, warm-up rows dropped — as the forecaster reads it. It is written once
+    (checkpoint): the recursion reads it for the state, the last date and the
+    horizon."""
     calendar, _ = calendar_input(spark, sf)
-    return base.fact(spark, sf, "category", materialize=True), clean.clean_calendar(calendar)
+    hist = features.lag_rolling_features(base.fact(spark, sf, "category")).checkpoint(eager=True)
+    return hist, clean.clean_calendar(calendar)
 
 
 def _rule_forecast(spark, sf, fact_and_cal=None):
@@ -243,13 +247,13 @@ def _rule_forecast(spark, sf, fact_and_cal=None):
 
 @query
 def series_directory(spark, sf):
-    return base.fact(spark, sf, "category").select(*SERIES_KEYS).distinct()
+    return features.lag_rolling_features(base.fact(spark, sf, "category")).select(*SERIES_KEYS).distinct()
 
 
 @query
 def last_price(spark, sf):
-    fact = base.fact(spark, sf, "category")
-    return fact.groupBy("id").agg(F.max_by("sell_price", "date").alias("last_price"))
+    hist = features.lag_rolling_features(base.fact(spark, sf, "category"))
+    return hist.groupBy("id").agg(F.max_by("sell_price", "date").alias("last_price"))
 
 
 @query
@@ -260,8 +264,8 @@ def forecast_horizon(spark, sf):
 
 @query
 def chrono_split(spark, sf):
-    return forecast.chrono_split(base.fact(spark, sf, "category")).groupBy("split").agg(
-        F.count("*").alias("rows"))
+    hist = features.lag_rolling_features(base.fact(spark, sf, "category", materialize=True))
+    return forecast.chrono_split(hist).groupBy("split").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -271,8 +275,7 @@ def forecast_recursive_rule(spark, sf):
 
 @query
 def forecast_metrics_rule(spark, sf):
-    feats = features.lag_rolling_features(base.fact(spark, sf, "category", materialize=True))
-    return forecast.holdout_rule_metrics(feats)
+    return forecast.holdout_rule_metrics(_cat(spark, sf)[0])
 
 
 @query
@@ -341,16 +344,14 @@ GBT_QUERY_PARAMS = dict(maxIter=20)   # the job's default is the full 150 trees
 
 @query
 def forecast_gbt(spark, sf):
-    fact, cal = _cat(spark, sf)
-    training = features.lag_rolling_features(fact).checkpoint(eager=True)
-    fitted = model.fit(training, **GBT_QUERY_PARAMS)
-    return forecast.recursive_forecast(fact, cal, fitted)
+    hist, cal = _cat(spark, sf)
+    fitted = model.fit(hist, **GBT_QUERY_PARAMS)
+    return forecast.recursive_forecast(hist, cal, fitted)
 
 
 @query
 def forecast_gbt_metrics(spark, sf):
-    training = features.lag_rolling_features(base.fact(spark, sf, "category", materialize=True))
-    return model.holdout_metrics(training, **GBT_QUERY_PARAMS)
+    return model.holdout_metrics(_cat(spark, sf)[0], **GBT_QUERY_PARAMS)
 
 
 # --- data quality ----------------------------------------------------------------------
