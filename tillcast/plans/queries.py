@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape
 from tillcast.plans import base, pipeline
 from tillcast.schemas import SERIES_KEYS
+from tillcast.session import checkpoint_dir
 from tillcast.sources.driver_tables import calendar_input, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,8 +377,10 @@ def quality_report(spark, sf):
                                              F.col("l_suppkey") == F.col("s_suppkey"), "left_anti"),
         "lineitem_duplicate_key": li.groupBy("l_orderkey", "l_linenumber").count().filter(F.col("count") > 1),
     }
-    return quality.quality_report(ri.sales, clean.clean_prices(ri.prices), clean.clean_calendar(ri.calendar),
-                                  extra)
+    # Sales and prices are written once (checkpoint): eight checks read them.
+    checkpoint_dir(spark)
+    sales, prices = ri.sales.checkpoint(eager=True), clean.clean_prices(ri.prices).checkpoint(eager=True)
+    return quality.quality_report(sales, prices, clean.clean_calendar(ri.calendar), extra)
 
 
 @query
