@@ -109,7 +109,10 @@ def priced_daily(spark: SparkSession, sf_dir: str, level: str = "item") -> DataF
     price table — without aggregating the line items twice. The window runs on
     the aggregated rows (at most 14 days per store, item and week key)."""
     daily = daily_lines(spark, sf_dir, level).withColumn("wm_yr_wk", C.year_week("date"))
-    w = Window.partitionBy("store_id", "item_id", "wm_yr_wk")
+    # State, department, category and id are functions of store and item: listing
+    # them does not change the partitions, but lets Catalyst push filters on them
+    # (dashboard filters) through the window down to the part / region scans.
+    w = Window.partitionBy("store_id", "item_id", "wm_yr_wk", "state_id", "dept_id", "cat_id", "id")
     return (daily.withColumns({"_wc": F.sum("cents").over(w), "_wu": F.sum("sales").over(w)})
             .withColumn("sell_price", _price("_wc", "_wu"))
             .drop("_wc", "_wu", "cents"))
