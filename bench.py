@@ -40,14 +40,21 @@ def main() -> None:
                                  "spark.driver.memory": "16g"})
     spark.range(1000).selectExpr("sum(id)").collect()   # JVM warm-up, untimed
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - a failing query is reported, not fatal
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"{name}: FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      **({"failed": failed} if failed else {})}))
     spark.stop()
 
 

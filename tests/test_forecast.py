@@ -110,3 +110,11 @@ def test_gbt_recursion_runs_with_checkpoints(spark, history):
     fc = forecast.recursive_forecast(f, cal, m).collect()
     assert len(fc) == 3 * 30
     assert all(r.sales >= 0 for r in fc)
+
+
+def test_horizon_counts_each_date_once(spark, history):
+    hist, last = history
+    cal = clean.clean_calendar(calendar_dim(spark, D0, last + dt.timedelta(days=30)))
+    doubled = cal.unionByName(cal.filter(F.col("date") == last + dt.timedelta(days=2)))
+    hz = forecast.horizon(doubled, F.lit(last)).collect()
+    assert len(hz) == 30 and len({r.date for r in hz}) == 30

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions import columns as C
+from tillcast.operators.clean import dedupe
 from tillcast.schemas import FEATURES, SERIES_KEYS
 from tillcast.session import checkpoint_dir
 
@@ -52,9 +53,11 @@ def chrono_split(fact: DataFrame, days: int = HOLDOUT_DAYS) -> DataFrame:
 
 
 def horizon(calendar: DataFrame, after: Column, days: int = HORIZON_DAYS) -> DataFrame:
-    """The first ``days`` calendar days after ``after`` with the model's calendar
-    features (calendar must be cleaned: empty event names, integer columns)."""
-    cal = calendar.filter(F.col("date") > after).orderBy("date").limit(days)
+    """The first ``days`` distinct calendar dates after ``after`` with the model's
+    calendar features (calendar must be cleaned: empty event names, integer
+    columns). A date listed twice counts once, with a deterministic row."""
+    future = dedupe(calendar.filter(F.col("date") > after), ["date"])
+    cal = future.orderBy("date").limit(days)
     return cal.select(
         "date",
         *[F.col(c).cast("int").alias(c) for c in ["wday", "month", "year"]],
