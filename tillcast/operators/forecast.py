@@ -16,7 +16,7 @@ looking every lag up by date in the growing history.
 * A predictor given as a Column expression runs all horizon days inside one
   ``aggregate`` higher-order function over the horizon array: one narrow stage.
 * A fitted Spark ML model runs one narrow ``transform`` per day; lineage is cut
-  with a reliable ``checkpoint`` into the cluster's checkpoint folder.
+  by writing the state into the cluster's checkpoint folder every few days.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tillcast.functions import columns as C
 from tillcast.operators.clean import dedupe
 from tillcast.schemas import FEATURES, SERIES_KEYS
-from tillcast.session import checkpoint_dir
+from tillcast.session import materialize
 
 HORIZON_DAYS = 30
 STATE_DAYS = 30
@@ -157,9 +157,9 @@ def recursive_forecast_model(state: DataFrame, hz: DataFrame, start: Column, mod
     """Recursive forecast with a fitted Spark ML regressor (features column
     ``features``). One narrow map over the series per day; the ≤ 30 horizon rows
     are read once to drive the loop. Lineage is cut every ``checkpoint_every``
-    days with a reliable checkpoint (survives executor loss)."""
+    days by writing the state to the shared checkpoint folder (survives executor
+    loss; computed once)."""
     spark = state.sparkSession
-    checkpoint_dir(spark)
     days = hz.orderBy("date").collect()
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
     out_t = "array<struct<date:date,sales:double>>"
@@ -178,7 +178,7 @@ def recursive_forecast_model(state: DataFrame, hz: DataFrame, start: Column, mod
             "_out": F.concat("_out", F.array(F.struct(F.lit(day["date"]).alias("date"), y.alias("sales")))),
         }).select(*SERIES_KEYS, "sell_price", "h", "prev", "_out")
         if i % checkpoint_every == 0 and i < len(days):
-            cur = cur.checkpoint(eager=True)
+            cur = materialize(cur, "forecast-state")
     return _explode(cur)
 
 

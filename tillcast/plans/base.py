@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcast.operators.clean import clean_calendar, clean_prices
 from tillcast.operators.fact import fact_with_prices, sales_fact
 from tillcast.operators.features import time_features
-from tillcast.session import checkpoint_dir
+from tillcast.session import materialize as materialize_table
 from tillcast.sources.driver_tables import RetailInputs, calendar_input, priced_daily, retail_inputs
 
 
@@ -19,17 +19,14 @@ def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInput
 def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: bool = False) -> DataFrame:
     """Integrated fact with time features (``silver_integrated`` + calendar flags).
 
-    ``materialize`` writes it once with a reliable checkpoint (into the cluster's
-    checkpoint folder) for queries that read it several times — each scalar
-    subquery would otherwise recompute it from the raw tables.
+    ``materialize`` writes it once as a table in the cluster's checkpoint folder
+    for queries that read it several times — each scalar subquery would otherwise
+    recompute it from the raw tables.
     """
     calendar, days = calendar_input(spark, sf_dir)
     priced = priced_daily(spark, sf_dir, level).filter(F.col("sell_price") > 0.0)   # as clean_prices
     out = time_features(fact_with_prices(priced, clean_calendar(calendar), calendar_rows=days))
-    if materialize:
-        checkpoint_dir(spark)
-        out = out.checkpoint(eager=True)
-    return out
+    return materialize_table(out, f"fact-{level}") if materialize else out
 
 
 def joined_fact(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape
 from tillcast.plans import base, pipeline
 from tillcast.schemas import SERIES_KEYS
-from tillcast.session import checkpoint_dir
+from tillcast.session import materialize
 from tillcast.sources.driver_tables import calendar_input, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,10 +234,10 @@ def _cat(spark, sf):
     """Forecast history and the cleaned calendar. The history is the training
     table ``gold_forecasting_input`` — category × store fact with lags and rolling
     means, warm-up rows dropped — as the forecaster reads it. It is written once
-    (checkpoint): the recursion reads it for the state, the last date and the
-    horizon."""
+    (a table in the checkpoint folder): the recursion reads it for the state, the
+    last date and the horizon."""
     calendar, _ = calendar_input(spark, sf)
-    hist = features.lag_rolling_features(base.fact(spark, sf, "category")).checkpoint(eager=True)
+    hist = materialize(features.lag_rolling_features(base.fact(spark, sf, "category")), "history")
     return hist, clean.clean_calendar(calendar)
 
 
@@ -377,9 +377,8 @@ def quality_report(spark, sf):
                                              F.col("l_suppkey") == F.col("s_suppkey"), "left_anti"),
         "lineitem_duplicate_key": li.groupBy("l_orderkey", "l_linenumber").count().filter(F.col("count") > 1),
     }
-    # Sales and prices are written once (checkpoint): eight checks read them.
-    checkpoint_dir(spark)
-    sales, prices = ri.sales.checkpoint(eager=True), clean.clean_prices(ri.prices).checkpoint(eager=True)
+    # Sales and prices are written once (checkpoint folder): eight checks read them.
+    sales, prices = materialize(ri.sales, "sales"), materialize(clean.clean_prices(ri.prices), "prices")
     return quality.quality_report(sales, prices, clean.clean_calendar(ri.calendar), extra)
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,3 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tillcast-ckpt-", dir=os.environ.get("TMPDIR")))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared (HDFS/S3/ABFS) folder")
+
+
+def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` once as a Parquet table in the shared checkpoint
+    folder and read it back.
+
+    Preferred to ``Dataset.checkpoint()``, which computes an uncached input twice
+    (one job to count, one to write) and stores rows, not columns; the table is
+    computed once, survives executor loss and is read back with column pruning.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tillcast-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
