@@ -62,3 +62,17 @@ def test_null_and_empty_events_are_not_holidays(spark):
     df = df.withColumn("date", F.lit(dt.date(2011, 12, 25)))
     rows = time_features(df.withColumns({"year": F.lit(2011), "month": F.lit(12)})).collect()
     assert [(r.is_holiday, r.is_weekend) for r in rows] == [(0, 1), (0, 1), (1, 1)]
+
+
+def test_wide_dedupe_uses_a_content_fingerprint(spark):
+    n = 80                                  # wider than clean.WIDE_ROW
+    cols = ", ".join(f"d_{i} int" for i in range(1, n + 1))
+    base = [1] * n
+    other = [2] * n
+    rows = [("x", *base), ("x", *other), ("x", *base), ("y", *other)]
+    df = spark.createDataFrame(rows, f"id string, {cols}")
+    got1 = sorted(map(tuple, clean.dedupe(df.repartition(3), ["id"]).collect()))
+    got2 = sorted(map(tuple, clean.dedupe(df.repartition(2), ["id"]).collect()))
+    assert got1 == got2 and len(got1) == 2
+    assert {r[0] for r in got1} == {"x", "y"}
+    assert got1[1] == ("y", *other)

@@ -97,3 +97,17 @@ def test_streamed_daily_mart_equals_batch_and_is_incremental(spark, scratch):
     got = sorted(map(tuple, incremental.read_daily_sales(spark, f"{scratch}/partials").collect()))
     want = sorted(map(tuple, marts.gold_table(df, "gold_daily_sales").collect()))
     assert got == want
+
+
+def test_pipeline_with_boosted_trees(spark, scratch):
+    raw = f"{scratch}/raw"
+    _raw(spark, raw)
+    cfg = pipeline.PipelineConfig(raw_dir=raw, root=f"{scratch}/lake", predictor="gbt",
+                                  gbt_params={"maxIter": 2, "maxDepth": 3})
+    status = {r.table: r.exists for r in pipeline.run_pipeline(spark, cfg).collect()}
+    assert all(status.values())
+    fc = tables.read(spark, cfg.root, "gold", "gold_forecast_results")
+    assert fc.count() == 3 * 30 and fc.filter("sales < 0").count() == 0
+    from pyspark.ml.regression import GBTRegressionModel
+    m = GBTRegressionModel.load(tables.path(cfg.root, "models", "gbt_forecaster"))
+    assert m.getNumTrees == 2
