@@ -95,10 +95,11 @@ def seasonal_index(fact: DataFrame) -> DataFrame:
     """Mean daily units per (month, wday) over the overall mean daily units.
 
     Daily totals first (one row per date), then the small (month, wday) grid;
-    the overall mean is a scalar subquery, not a global window."""
+    the overall mean is a scalar subquery, not a global window. Means are
+    integer sums over counts, so they do not depend on summation order."""
     daily = fact.groupBy("date", "month", "wday").agg(F.sum("sales").alias("units"))
-    overall = daily.select(F.avg("units")).scalar()
-    cell = daily.groupBy("month", "wday").agg(F.avg("units").alias("mean_daily_units"),
+    overall = daily.select(C.exact_avg("units")).scalar()
+    cell = daily.groupBy("month", "wday").agg(C.exact_avg("units").alias("mean_daily_units"),
                                               F.count("*").alias("days"))
     return cell.withColumn("seasonal_index", F.col("mean_daily_units") / overall)
 
@@ -129,13 +130,15 @@ def product_growth(fact: DataFrame) -> DataFrame:
 
 
 def store_vs_state(fact: DataFrame) -> DataFrame:
-    """Each store's revenue against the mean store revenue of its state."""
-    stores = gold_table(fact, "gold_store_performance")
+    """Each store's revenue against the mean store revenue of its state (the
+    mean from integer cents, exact)."""
+    stores = fact.groupBy("store_id", "state_id").agg(
+        *totals(), avg_price(), F.sum("revenue_cents").alias("_cents"))
     w = Window.partitionBy("state_id")
-    mean = F.avg("total_revenue").over(w)
+    mean = F.sum("_cents").over(w).cast("double") / F.count("_cents").over(w) / 100.0
     return stores.withColumns({
         "state_mean_revenue": mean,
         "revenue_vs_state_pct": F.when(mean > 0, (F.col("total_revenue") / mean - 1.0) * 100.0)
         .otherwise(F.lit(0.0)),
         "rank_in_state": F.rank().over(w.orderBy(F.desc("total_revenue"), "store_id")),
-    })
+    }).drop("_cents")

@@ -121,8 +121,9 @@ SELECT *, CASE WHEN days > 0 THEN CAST(total_units AS DOUBLE) / days ELSE 0.0 EN
           CASE WHEN days > 0 THEN total_revenue / days ELSE 0.0 END AS revenue_per_day
 FROM (SELECT is_holiday, {TOTALS}, count(DISTINCT date) AS days FROM fact_item GROUP BY is_holiday)""")
 ORACLE["seasonal_index"] = with_base("""
-SELECT month, wday, avg(units) AS mean_daily_units, count(*) AS days,
-       avg(units) / (SELECT avg(units) FROM daily) AS seasonal_index
+SELECT month, wday, CAST(sum(units) AS DOUBLE) / count(units) AS mean_daily_units, count(*) AS days,
+       CAST(sum(units) AS DOUBLE) / count(units)
+         / (SELECT CAST(sum(units) AS DOUBLE) / count(units) FROM daily) AS seasonal_index
 FROM daily GROUP BY month, wday""", extra="""
 daily AS (SELECT date, month, wday, CAST(sum(sales) AS BIGINT) AS units FROM fact_item GROUP BY date, month, wday)""")
 
@@ -141,12 +142,16 @@ ORACLE["monthly_growth"] = with_base(_growth_sql([]))
 ORACLE["category_growth"] = with_base(_growth_sql(["cat_id"]))
 ORACLE["product_growth"] = with_base(_growth_sql(["item_id"]))
 ORACLE["store_vs_state"] = with_base(f"""
-SELECT *, avg(total_revenue) OVER (PARTITION BY state_id) AS state_mean_revenue,
-  CASE WHEN avg(total_revenue) OVER (PARTITION BY state_id) > 0
-       THEN (total_revenue / avg(total_revenue) OVER (PARTITION BY state_id) - 1.0) * 100.0 ELSE 0.0 END
-       AS revenue_vs_state_pct,
-  rank() OVER (PARTITION BY state_id ORDER BY total_revenue DESC, store_id) AS rank_in_state
-FROM ({_gold_sql('gold_store_performance')})""")
+SELECT store_id, state_id, total_units, total_revenue, avg_sell_price, state_mean_revenue,
+  CASE WHEN state_mean_revenue > 0 THEN (total_revenue / state_mean_revenue - 1.0) * 100.0 ELSE 0.0 END
+    AS revenue_vs_state_pct,
+  rank_in_state
+FROM (SELECT *,
+        CAST(sum(cents) OVER (PARTITION BY state_id) AS DOUBLE) / count(cents) OVER (PARTITION BY state_id) / 100.0
+          AS state_mean_revenue,
+        rank() OVER (PARTITION BY state_id ORDER BY total_revenue DESC, store_id) AS rank_in_state
+      FROM (SELECT store_id, state_id, {TOTALS}, {AVG_PRICE}, sum(revenue_cents) AS cents
+            FROM fact_item GROUP BY store_id, state_id))""")
 
 # --- KPIs ----------------------------------------------------------------------------
 
