@@ -126,3 +126,31 @@ def export_raw_csv(spark: SparkSession, calendar: DataFrame, prices: DataFrame,
                      (prices, m5_csv.PRICES_FILE), (wide, m5_csv.SALES_FILE)):
         # A folder of part files (each with its header) reads back as one CSV input.
         df.write.mode("overwrite").option("header", True).csv(f"{raw_dir}/{name}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit tillcast/plans/pipeline.py --raw <dir> --root <dir> [...]``"""
+    import argparse
+
+    from tillcast.session import build_session
+
+    p = argparse.ArgumentParser(description="retail batch job: raw CSV -> gold tables and forecast")
+    p.add_argument("--raw", required=True, help="folder with calendar.csv, sell_prices.csv, "
+                                               "sales_train_validation.csv (any Hadoop URI)")
+    p.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/<table>")
+    p.add_argument("--format", default=tables.FORMAT)
+    p.add_argument("--sample", type=int, default=0, help="first n series by id; 0 = all")
+    p.add_argument("--full-history-marts", action="store_true",
+                   help="gold marts over all rows instead of post-warm-up rows")
+    p.add_argument("--predictor", choices=["gbt", "rule"], default="gbt")
+    p.add_argument("--trees", type=int, default=None, help="boosted trees (default 150)")
+    a = p.parse_args(argv)
+    spark = build_session()
+    cfg = PipelineConfig(raw_dir=a.raw, root=a.root, fmt=a.format, sample_limit=a.sample,
+                         exclude_warmup=not a.full_history_marts, predictor=a.predictor,
+                         gbt_params={"maxIter": a.trees} if a.trees else {})
+    run_pipeline(spark, cfg).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
