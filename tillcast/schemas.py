@@ -62,3 +62,10 @@ FORECAST_COLUMNS = ["id", "date", "item_id", "dept_id", "cat_id", "store_id", "s
 GOLD_TABLES = ["gold_daily_sales", "gold_store_performance", "gold_product_performance",
                "gold_category_sales", "gold_state_sales", "gold_monthly_sales",
                "gold_forecasting_input"]
+
+# The tables whose presence makes the analytics layer "ready"
+# (together with a saved model).
+READINESS_TABLES = ["gold_daily_sales", "gold_store_performance", "gold_product_performance",
+                    "gold_category_sales", "gold_state_sales", "gold_forecast_results"]
+MODEL_NAME = "gbt_forecaster"
+METRICS_TABLE = "evaluation_metrics"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.schemas import GOLD_TABLES
+from tillcast.schemas import METRICS_TABLE, MODEL_NAME, READINESS_TABLES
 
 FORMAT = "parquet"   # "delta" where the Delta Lake package is on the classpath
 
@@ -29,15 +29,30 @@ def read(spark: SparkSession, root: str, layer: str, name: str, fmt: str = FORMA
     return spark.read.format(fmt).load(path(root, layer, name))
 
 
-def table_status(spark: SparkSession, root: str, tables: list[str] = GOLD_TABLES,
-                 layer: str = "gold", fmt: str = FORMAT) -> DataFrame:
-    """``(table, exists, rows)`` per table: exists = readable and holding data.
-    Row counts come from file metadata where the format allows."""
+def _count(spark: SparkSession, root: str, layer: str, name: str, fmt: str) -> int | None:
+    try:
+        return read(spark, root, layer, name, fmt).count()
+    except AnalysisException:
+        return None
+
+
+def table_status(spark: SparkSession, root: str, fmt: str = FORMAT) -> DataFrame:
+    """``(layer, table, exists, rows)`` for the readiness tables, the metrics table
+    and the saved model, plus a final ``status`` row: ``ready`` when every table
+    holds data and the model exists, else ``pending_etl``. Counts come from file
+    metadata where the format allows."""
     rows = []
-    for name in tables:
-        try:
-            n = read(spark, root, layer, name, fmt).count()
-            rows.append((name, n > 0, n))
-        except AnalysisException:
-            rows.append((name, False, 0))
-    return spark.createDataFrame(rows, "table string, exists boolean, rows long")
+    for name in READINESS_TABLES:
+        n = _count(spark, root, "gold", name, fmt)
+        rows.append(("gold", name, bool(n), n or 0))
+    n = _count(spark, root, "models", METRICS_TABLE, fmt)
+    rows.append(("models", METRICS_TABLE, bool(n), n or 0))
+    try:   # a saved Spark ML model is a folder with a JSON metadata file
+        spark.read.text(path(root, "models", MODEL_NAME) + "/metadata").limit(1).collect()
+        model = True
+    except AnalysisException:
+        model = False
+    rows.append(("models", MODEL_NAME, model, 0))
+    ready = all(r[2] for r in rows[:len(READINESS_TABLES)]) and model
+    rows.append(("status", "ready" if ready else "pending_etl", ready, 0))
+    return spark.createDataFrame(rows, "layer string, table string, exists boolean, rows long")
