@@ -30,7 +30,8 @@ def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: boo
 
 
 def joined_fact(spark: SparkSession, sf_dir: str, level: str = "item") -> DataFrame:
-    """The same fact through the model's join path: sales ⋈ calendar ⋈ prices."""
-    ri = inputs(spark, sf_dir, level)
+    """The same fact through the model's join path: sales ⋈ calendar ⋈ prices
+    (sales and prices read from one stored daily aggregate)."""
+    ri = retail_inputs(spark, sf_dir, level, written=True)
     return time_features(sales_fact(ri.sales, clean_calendar(ri.calendar), clean_prices(ri.prices),
                                     calendar_rows=ri.calendar_days))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import columns as C
 from tillcast.operators.calendar import FUTURE_DAYS, calendar_dim
+from tillcast.session import materialize
 
 # Largest supplier → store dimension that is broadcast (≈ 50 MB of rows).
 MAX_STORE_ROWS = 1_000_000
@@ -129,8 +130,15 @@ def priced_daily(spark: SparkSession, sf_dir: str, level: str = "item") -> DataF
             .drop("_wc", "_wu", "cents"))
 
 
-def retail_inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInputs:
+def retail_inputs(spark: SparkSession, sf_dir: str, level: str = "item",
+                  written: bool = False) -> RetailInputs:
+    """The three raw inputs of the retail model. ``written`` stores the daily
+    aggregate once in the checkpoint folder, so sales and prices read a table —
+    as they would be two stored inputs — instead of each re-aggregating the line
+    items."""
     daily = daily_lines(spark, sf_dir, level)
+    if written:
+        daily = materialize(daily, f"daily-{level}")
     prices = (daily.withColumn("wm_yr_wk", C.year_week("date"))
               .groupBy("store_id", "item_id", "wm_yr_wk")
               .agg(F.sum("cents").alias("_c"), F.sum("sales").alias("_u"))
