@@ -375,3 +375,30 @@ _CHECKS = {
 }
 ORACLE["quality_report"] = with_base("\nUNION ALL\n".join(
     f"SELECT '{k}' AS \"check\", ({v}) AS failed_rows" for k, v in _CHECKS.items()))
+
+# --- the batch job on exported CSV files: readiness counts ---------------------------
+# The wide file holds every category x store series over every calendar day up to the
+# last sale (zeros kept); the job melts it, keeps days whose (store, item, week) has a
+# price, drops each series' first 28 rows and forecasts 30 days per remaining series.
+
+ORACLE["table_status"] = with_base("""
+SELECT 'gold' AS layer, 'gold_daily_sales' AS "table", true AS "exists", count(DISTINCT date) AS rows FROM job_hist
+UNION ALL SELECT 'gold', 'gold_store_performance', true, count(DISTINCT (store_id, state_id)) FROM job_hist
+UNION ALL SELECT 'gold', 'gold_product_performance', true, count(DISTINCT (item_id, dept_id, cat_id)) FROM job_hist
+UNION ALL SELECT 'gold', 'gold_category_sales', true, count(DISTINCT cat_id) FROM job_hist
+UNION ALL SELECT 'gold', 'gold_state_sales', true, count(DISTINCT state_id) FROM job_hist
+UNION ALL SELECT 'gold', 'gold_forecast_results', true, 30 * count(DISTINCT id) FROM job_hist
+UNION ALL SELECT 'models', 'evaluation_metrics', true, CAST(1 AS BIGINT)
+UNION ALL SELECT 'models', 'gbt_forecaster', false, CAST(0 AS BIGINT)
+UNION ALL SELECT 'status', 'pending_etl', false, CAST(0 AS BIGINT)""", extra=f"""
+job_series AS (SELECT DISTINCT {KEYS} FROM daily_category),
+job_dense AS (
+  SELECT s.*, c.date, c.wm_yr_wk FROM job_series s CROSS JOIN cal c
+  WHERE c.date <= (SELECT max(date) FROM daily_category)),
+job_priced AS (
+  SELECT d.* FROM job_dense d JOIN prices_category p
+    ON p.store_id = d.store_id AND p.item_id = d.item_id AND p.wm_yr_wk = d.wm_yr_wk
+  WHERE p.sell_price > 0),
+job_hist AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY date) AS rn FROM job_priced) WHERE rn > 28)""")
