@@ -16,14 +16,16 @@ def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInput
     return retail_inputs(spark, sf_dir, level)
 
 
-def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: bool = False) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: bool = False,
+         calendar: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Integrated fact with time features (``silver_integrated`` + calendar flags).
 
     ``materialize`` writes it once as a table in the cluster's checkpoint folder
     for queries that read it several times — each scalar subquery would otherwise
-    recompute it from the raw tables.
+    recompute it from the raw tables. ``calendar`` reuses an already built
+    ``calendar_input`` (saves its bounds job).
     """
-    calendar, days = calendar_input(spark, sf_dir)
+    calendar, days = calendar or calendar_input(spark, sf_dir)
     priced = priced_daily(spark, sf_dir, level).filter(F.col("sell_price") > 0.0)   # as clean_prices
     out = time_features(fact_with_prices(priced, clean_calendar(calendar), calendar_rows=days))
     return materialize_table(out, f"fact-{level}") if materialize else out

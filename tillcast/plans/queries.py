@@ -236,9 +236,9 @@ def _cat(spark, sf):
     means, warm-up rows dropped — as the forecaster reads it. It is written once
     (a table in the checkpoint folder): the recursion reads it for the state, the
     last date and the horizon."""
-    calendar, _ = calendar_input(spark, sf)
-    hist = materialize(features.lag_rolling_features(base.fact(spark, sf, "category")), "history")
-    return hist, clean.clean_calendar(calendar)
+    cal = calendar_input(spark, sf)
+    hist = materialize(features.lag_rolling_features(base.fact(spark, sf, "category", calendar=cal)), "history")
+    return hist, clean.clean_calendar(cal[0])
 
 
 def _rule_forecast(spark, sf, fact_and_cal=None):
