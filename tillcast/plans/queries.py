@@ -363,7 +363,8 @@ PROFILE_COLUMNS = ["id", "item_id", "store_id", "state_id", "cat_id", "date", "s
 
 @query
 def profile_table(spark, sf):
-    return quality.profile(base.fact(spark, sf), PROFILE_COLUMNS)
+    """Profile of the stored item fact (written once, then one job per column)."""
+    return quality.profile(base.fact(spark, sf, materialize=True), PROFILE_COLUMNS)
 
 
 @query
