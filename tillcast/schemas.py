@@ -56,13 +56,6 @@ TARGET = "sales"
 LAG_COLUMNS = ["lag_7", "lag_14", "lag_28"]
 ROLLING_COLUMNS = ["rolling_7_avg", "rolling_30_avg"]
 
-FORECAST_COLUMNS = ["id", "date", "item_id", "dept_id", "cat_id", "store_id", "state_id",
-                    "sell_price", "sales", "revenue"]
-
-GOLD_TABLES = ["gold_daily_sales", "gold_store_performance", "gold_product_performance",
-               "gold_category_sales", "gold_state_sales", "gold_monthly_sales",
-               "gold_forecasting_input"]
-
 # The tables whose presence makes the analytics layer "ready"
 # (together with a saved model).
 READINESS_TABLES = ["gold_daily_sales", "gold_store_performance", "gold_product_performance",
