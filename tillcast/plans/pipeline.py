@@ -129,7 +129,7 @@ def export_raw_csv(spark: SparkSession, calendar: DataFrame, prices: DataFrame,
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit tillcast/plans/pipeline.py --raw <dir> --root <dir> [...]``"""
+    """``python -m tillcast.plans.pipeline --raw <dir> --root <dir> [...]``"""
     import argparse
 
     from tillcast.session import build_session
