@@ -50,3 +50,18 @@ def test_rule_forecast_has_no_per_day_shuffle(spark):
     assert sum("hashpartitioning(id" in ln for ln in shuffles) == 1
     assert all("hashpartitioning(id" in ln or "hashpartitioning(date" in ln for ln in shuffles)
     assert "Window" not in plan
+
+
+def test_checked_broadcast_falls_back_beyond_its_bound(spark):
+    from tillcast.functions.columns import checked_broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        within = _plan(big.join(checked_broadcast(small, 100), "k"))
+        beyond = _plan(big.join(checked_broadcast(small, 5), "k"))
+        assert "BroadcastHashJoin" in within
+        assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
