@@ -24,7 +24,7 @@ reaches a threshold. The join finds every link:
 
 Keys travel as packed arrays, one row per batch of documents and shuffle part, and a
 batch sends a key once, so a key or text that a third of all documents share costs each
-batch one entry. Equal sets are one node throughout.
+batch one entry. Equal sets of a batch are one node.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ GROUP_SIZE, QUERIES_AT_ONCE = 256, 1024
 # Sets up to SHORT tokens are keyed by PICK of them, up to MIDDLE by ranges less a token.
 SHORT, PICK, MIDDLE = 40, 4, 128
 MIN_PARTS = 64
+# Size of the bitmap by which pairs are first compared.
+BITS = 4096
 _WIDE = np.uint64(32)
 
 
@@ -236,16 +238,21 @@ def _keyed(docs: DataFrame, k: int, own_at: tuple[int, int], parts: int) -> Data
 # -- comparison ---------------------------------------------------------------------------
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """``(id, n, tokens)``: the set of each document as packed ascending hashes."""
+    """``(id, n, bits, tokens)``: the set of each document as packed ascending hashes, its size,
+    and a bitmap of its hashes modulo ``BITS``."""
     def run(batches):
         for batch in text_slices(batches):
             values, counts = shingle_sets(utf8(batch), k)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            bits = np.zeros((len(counts), BITS), bool)
+            bits[owner, (values % np.uint64(BITS)).astype(np.int64)] = True
             ends = np.cumsum(counts)
             packed = [values[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), pa.array(packed, pa.binary())],
-                                             names=["id", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts), pa.array([b.tobytes() for b in np.packbits(bits, axis=1)]),
+                 pa.array(packed, pa.binary())], names=["id", "n", "bits", "tokens"])
 
-    return docs.mapInArrow(run, "id long, n long, tokens binary")
+    return docs.mapInArrow(run, "id long, n long, bits binary, tokens binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -254,23 +261,35 @@ def _common(a: bytes, b: bytes) -> int:
     return int((x[1:] == x[:-1]).sum())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, own_at: tuple[int, int]) -> DataFrame:
-    """The pairs ``(x, y)`` that link."""
-    own = scheme(*own_at)
-    num, den = own_at
-    left = sets.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("tx"))
-    right = sets.select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("ty"))
+def _pair_filter(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
+    """The pairs ``(x, y)`` whose two values of ``column`` and sizes pass ``keep``."""
+    left = sets.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col(column).alias("vx"))
+    right = sets.select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col(column).alias("vy"))
 
     def run(batches):
         for batch in batches:
-            x, y, tx, ty = batch.columns
-            keep = [own.linked(_common(a.as_buffer(), b.as_buffer()), len(a.as_buffer()) // 8, len(b.as_buffer()) // 8)
-                    for a, b in zip(tx, ty, strict=True)]
-            yield pa.RecordBatch.from_arrays([x, y], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            x, y, nx, ny, vx, vy = batch.columns
+            hit = [keep(a.as_buffer(), b.as_buffer(), n, m)
+                   for a, b, n, m in zip(vx, vy, nx.to_pylist(), ny.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([x, y], names=["x", "y"]).filter(pa.array(hit, pa.bool_()))
+
+    return (pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "ny", "vx", "vy")
+            .mapInArrow(run, "x long, y long"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, own_at: tuple[int, int]) -> DataFrame:
+    """The pairs ``(x, y)`` that link. Sizes and bitmaps, which bound the overlap from above,
+    rule most others out before whole sets are moved."""
+    own = scheme(*own_at)
+
+    def may_link(a, b, n, m):
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        # Every bit of one that the other lacks is a token of its own.
+        most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+        return own.linked(most, n, m)
 
-    sized = pairs.join(left, "x").join(right, "y").filter(
-        (F.col("nx") * num <= F.col("ny") * den) & (F.col("ny") * num <= F.col("nx") * den))
-    return sized.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long")
+    pairs = materialize(_pair_filter(pairs, sets, "bits", may_link), "jaccard-likely")
+    return _pair_filter(pairs, sets, "tokens", lambda a, b, n, m: own.linked(_common(a, b), n, m))
 
 
 def _compare(own: Scheme):
@@ -320,15 +339,9 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     parts = max(MIN_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = materialize(_keyed(docs.filter("doc_id IS NOT NULL"), k, at, parts), "jaccard-found")
     rows = found.filter(F.col("kind") == DOC).selectExpr("a AS doc_id", "b AS n_shingles", "c AS stands")
-    # Equal sets of several batches: one node.
+    # Equal sets of several batches.
     copies = found.filter(F.col("kind") == COPY).selectExpr("a AS id", "b AS of")
-
-    def one(df: DataFrame, column: str) -> DataFrame:
-        return (df.join(copies.withColumnRenamed("id", column), column, "left")
-                .withColumn(column, F.coalesce("of", column)).drop("of"))
-
     member = found.filter(F.col("kind") == MEMBER).selectExpr("a AS key", "b AS x", "c AS y")
-    member = materialize(one(one(member, "x"), "y"), "jaccard-members")
     pairs = (member.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
              .groupBy("x", "y").agg(F.count("*").alias("votes")))
     pairs = materialize(pairs, "jaccard-pairs")
