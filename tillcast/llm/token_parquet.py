@@ -134,12 +134,13 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int | None = E
     """Encode ``docs`` and write them as a token table in ``folder``.
 
     Rows are range-partitioned by ``doc_id`` (no file or task holds more than its
-    share) and sorted (equal ids by text, a null id first), then encoded in the writing
+    share) and sorted (equal ids by a hash of the text, a null id first), then encoded in the writing
     task. An empty input writes an empty table.
     """
     spark = docs.sparkSession
-    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id", "text")
-               .sortWithinPartitions("doc_id", "text"))
+    # Ranges are drawn from ids and hashes alone: no text goes to the driver.
+    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
+               .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     options = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0",
                "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES,
                "parquet.page.row.count.limit": PAGE_ROWS, "parquet.enable.dictionary": "true",
