@@ -1,8 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from tillcast.operators import clean, fact, reshape
+from tillcast.operators import clean, marts, fact, reshape
 from tillcast.operators.calendar import calendar_dim
 from tillcast.operators.features import time_features
 
@@ -64,15 +65,19 @@ def test_null_and_empty_events_are_not_holidays(spark):
     assert [(r.is_holiday, r.is_weekend) for r in rows] == [(0, 1), (0, 1), (1, 1)]
 
 
-def test_wide_dedupe_uses_a_content_fingerprint(spark):
-    n = 80                                  # wider than clean.WIDE_ROW
+@pytest.mark.parametrize("n", [3, 64, 65, 300])
+def test_dedupe_keeps_the_smallest_row_at_any_width(spark, n):
     cols = ", ".join(f"d_{i} int" for i in range(1, n + 1))
-    base = [1] * n
-    other = [2] * n
-    rows = [("x", *base), ("x", *other), ("x", *base), ("y", *other)]
-    df = spark.createDataFrame(rows, f"id string, {cols}")
-    got1 = sorted(map(tuple, clean.dedupe(df.repartition(3), ["id"]).collect()))
-    got2 = sorted(map(tuple, clean.dedupe(df.repartition(2), ["id"]).collect()))
-    assert got1 == got2 and len(got1) == 2
-    assert {r[0] for r in got1} == {"x", "y"}
-    assert got1[1] == ("y", *other)
+    small, large = [1] * n, [1] * (n - 1) + [2]
+    df = spark.createDataFrame([("x", *large), ("x", *small), ("x", *large), ("y", *large)], f"id string, {cols}")
+    for parts in (2, 3):
+        got = sorted(map(tuple, clean.dedupe(df.repartition(parts), ["id"]).collect()))
+        assert got == [("x", *small), ("y", *large)]
+
+
+def test_growth_is_zero_after_a_missing_month(spark):
+    fact = spark.createDataFrame([("A", 2001, 12, 1, 1000), ("A", 2002, 1, 1, 1500), ("A", 2002, 3, 1, 3000)],
+                                 "cat_id string, year int, month int, sales int, revenue_cents long")
+    rows = {(r.year, r.month): r for r in marts.category_growth(fact).collect()}
+    assert [rows[k].growth_pct for k in ((2001, 12), (2002, 1), (2002, 3))] == [0.0, 50.0, 0.0]
+    assert rows[(2002, 3)].prev_revenue is None

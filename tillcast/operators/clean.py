@@ -27,34 +27,20 @@ def clean_prices(prices: DataFrame) -> DataFrame:
             .filter(F.col("sell_price") > 0.0))
 
 
-WIDE_ROW = 64   # beyond this many payload columns, order by a content fingerprint
-
-
 def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key with a deterministic survivor, so reruns keep the same row.
-
-    The survivor is the smallest row in the order of ``order`` (default: all other
-    columns). For wide rows (the ~1,900-day sales table) the default order is a
-    content fingerprint — 64-bit hash, then SHA-256 of the row as JSON — instead of
-    a comparison over every column; rows with equal fingerprints are identical.
+    """One row per key with a deterministic survivor, so reruns keep the same row: the
+    smallest in the order of ``order`` (default: all other columns), at any width.
 
-    Written as a grouped ``min`` / ``min_by`` instead of ``row_number`` so that a
-    key with a huge number of copies collapses in the map-side partial aggregate
-    rather than landing whole in one task.
+    Written as a grouped ``min`` instead of ``row_number`` so that a key with a huge
+    number of copies collapses in the map-side partial aggregate rather than landing
+    whole in one task. One SQL string per wide expression: a single JVM call instead of
+    thousands of Python-side Column objects.
     """
     rest = [c for c in df.columns if c not in keys]
-    if order is None and len(rest) > WIDE_ROW:
-        # One SQL expression string per wide expression: a single JVM call instead of
-        # thousands of Python-side Column objects.
-        payload = "struct(" + ", ".join(_q(c) for c in rest) + ")"
-        fingerprint = (f"struct(xxhash64({', '.join(_q(c) for c in rest)}) AS h, "
-                       f"sha2(to_json({payload}), 256) AS s)")
-        best = F.expr(f"min_by({payload}, {fingerprint})").alias("_best")
-    else:
-        order = order or rest
-        ordered = order + [c for c in rest if c not in order]
-        best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_best")
-    return df.groupBy(*keys).agg(best).selectExpr(*[_q(k) for k in keys], "_best.*")
+    order = order or rest
+    ordered = order + [c for c in rest if c not in order]
+    best = F.expr(f"min(struct({', '.join(_q(c) for c in ordered)}))").alias("_best")
+    return df.groupBy(*keys).agg(best).selectExpr(*[_q(k) for k in keys], *[f"_best.{_q(c)}" for c in ordered])
 
 
 def _q(name: str) -> str:

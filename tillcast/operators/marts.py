@@ -106,9 +106,10 @@ def seasonal_index(fact: DataFrame) -> DataFrame:
 
 def _growth(df: DataFrame, keys: list[str]) -> DataFrame:
     """Month-over-month growth in percent of revenue per key (0 when the
-    previous month is missing or zero)."""
+    previous calendar month is missing, then with a null previous revenue, or zero)."""
     w = Window.partitionBy(*keys).orderBy("year", "month") if keys else Window.orderBy("year", "month")
-    prev = F.lag("total_revenue").over(w)
+    month = F.col("year") * 12 + F.col("month")
+    prev = F.when(month - F.lag(month).over(w) == 1, F.lag("total_revenue").over(w))
     return df.withColumns({
         "prev_revenue": prev,
         "growth_pct": F.when(prev > 0, (F.col("total_revenue") - prev) / prev * 100.0).otherwise(F.lit(0.0)),

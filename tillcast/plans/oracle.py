@@ -54,8 +54,8 @@ ORACLE["melt_daily"] = with_base(
     LEFT JOIN daily_category f ON f.id = s.id AND f.date = w.date""",
     extra=f"""
 last AS (SELECT max(date) AS m FROM daily_category),
-win AS (SELECT c.date, c.d FROM cal c, last WHERE c.date > last.m - 60 AND c.date <= last.m),
-ser AS (SELECT DISTINCT {KEYS} FROM daily_category, last WHERE date > last.m - 60)""")
+win AS (SELECT c.date, c.d FROM cal c, last WHERE c.date <= last.m),
+ser AS (SELECT DISTINCT {KEYS} FROM daily_category)""")
 ORACLE["sales_fact"] = with_base(f"SELECT {FACT_COLUMNS} FROM fact_item")
 
 # --- gold -------------------------------------------------------------------------
@@ -93,15 +93,13 @@ SELECT * FROM (
   FROM fact_category WINDOW w AS (PARTITION BY id ORDER BY date))
 WHERE lag_7 IS NOT NULL AND lag_14 IS NOT NULL AND lag_28 IS NOT NULL
   AND rolling_7_avg IS NOT NULL AND rolling_30_avg IS NOT NULL""")
-ORACLE["calendar_lags"] = with_base("""
-SELECT a.id, a.date, a.sales,
-  CAST(coalesce(b7.sales, 0) AS DOUBLE) AS cal_lag_7,
-  CAST(coalesce(b14.sales, 0) AS DOUBLE) AS cal_lag_14,
-  CAST(coalesce(b28.sales, 0) AS DOUBLE) AS cal_lag_28
-FROM fact_category a
-LEFT JOIN fact_category b7 ON b7.id = a.id AND b7.date = a.date - 7
-LEFT JOIN fact_category b14 ON b14.id = a.id AND b14.date = a.date - 14
-LEFT JOIN fact_category b28 ON b28.id = a.id AND b28.date = a.date - 28""")
+def _lag_sql(days: int) -> str:
+    return f"""CAST(coalesce(max(sales) OVER (PARTITION BY id ORDER BY date RANGE BETWEEN INTERVAL {days} DAY PRECEDING
+       AND INTERVAL {days} DAY PRECEDING), 0) AS DOUBLE) AS cal_lag_{days}"""
+
+
+ORACLE["calendar_lags"] = with_base(
+    f"SELECT id, date, sales, {_lag_sql(7)}, {_lag_sql(14)}, {_lag_sql(28)} FROM fact_category")
 ORACLE["calendar_rolling"] = with_base("""
 SELECT a.id, a.date, a.sales,
   coalesce((SELECT avg(b.sales) FROM fact_category b WHERE b.id = a.id
@@ -129,13 +127,14 @@ daily AS (SELECT date, month, wday, CAST(sum(sales) AS BIGINT) AS units FROM fac
 
 
 def _growth_sql(keys: list[str]) -> str:
-    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
     k = ", ".join(keys) + ", " if keys else ""
+    same = "".join(f" AND p.{x} = c.{x}" for x in keys)
+    by_month = f"(SELECT {k}year, month, {TOTALS} FROM fact_item GROUP BY {k}year, month)"
     return f"""
-SELECT *, CASE WHEN prev_revenue > 0 THEN (total_revenue - prev_revenue) / prev_revenue * 100.0 ELSE 0.0 END
+SELECT c.*, p.total_revenue AS prev_revenue,
+       CASE WHEN p.total_revenue > 0 THEN (c.total_revenue - p.total_revenue) / p.total_revenue * 100.0 ELSE 0.0 END
           AS growth_pct
-FROM (SELECT *, lag(total_revenue) OVER ({part}ORDER BY year, month) AS prev_revenue
-      FROM (SELECT {k}year, month, {TOTALS} FROM fact_item GROUP BY {k}year, month))"""
+FROM {by_month} c LEFT JOIN {by_month} p ON p.year * 12 + p.month = c.year * 12 + c.month - 1{same}"""
 
 
 ORACLE["monthly_growth"] = with_base(_growth_sql([]))

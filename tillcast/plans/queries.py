@@ -60,21 +60,20 @@ def sample_series(spark, sf):
     return clean.sample_series(directory, 100)
 
 
-def _wide_last_days(spark, sf, days: int = 60):
-    """Category × store series as a wide table over the last ``days`` days (zeros
-    kept). The ``days`` day codes are read once from the calendar (bounded list)."""
+def _wide_daily(spark, sf):
+    """All category × store series as a wide table over every history day (zeros kept).
+    The day codes are read once from the calendar (a list bounded by the days)."""
     ri = base.inputs(spark, sf, "category")
     cal = clean.clean_calendar(ri.calendar)
     last = ri.sales.select(F.max("date")).scalar()
-    codes = [r.d for r in cal.filter((F.col("date") > F.date_sub(last, days)) & (F.col("date") <= last))
-             .orderBy("date").select("d").collect()]
+    codes = [r.d for r in cal.filter(F.col("date") <= last).orderBy("date").select("d").collect()]
     long = ri.sales.join(cal.select("date", "d"), "date")
     return reshape.pivot_daily(long, codes, SERIES_KEYS, fill=0)
 
 
 @query
 def melt_daily(spark, sf):
-    return reshape.melt_daily(_wide_last_days(spark, sf))
+    return reshape.melt_daily(_wide_daily(spark, sf))
 
 
 @query
@@ -340,19 +339,16 @@ def question_context(spark, sf):
 
 # --- learned forecaster (rows-only checks: no SQL equivalent of tree training) ---------
 
-GBT_QUERY_PARAMS = dict(maxIter=20)   # the job's default is the full 150 trees
-
-
 @query
 def forecast_gbt(spark, sf):
     hist, cal = _cat(spark, sf)
-    fitted = model.fit(hist, **GBT_QUERY_PARAMS)
+    fitted = model.fit(hist)
     return forecast.recursive_forecast(hist, cal, fitted)
 
 
 @query
 def forecast_gbt_metrics(spark, sf):
-    return model.holdout_metrics(_cat(spark, sf)[0], **GBT_QUERY_PARAMS)
+    return model.holdout_metrics(_cat(spark, sf)[0])
 
 
 # --- data quality ----------------------------------------------------------------------
