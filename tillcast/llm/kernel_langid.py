@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import text_slices, utf8
+from tillcast.session import materialize
 
 ORDERS = (1, 2, 3)
 # Labelled documents per language used for fitting (those of the smallest id hash), and
 # how many of them are landmarks.
 FIT_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE = 600, 32
+MAX_BROADCAST_ROWS = 200_000
 RIDGE, JITTER = 1e-2, 1e-6
 UNDETERMINED = "und"
 _BATCH = 256
@@ -96,6 +98,10 @@ def fit_rows(docs: DataFrame, usable, per_language: int) -> DataFrame:
               .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
               .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
               .filter(F.col("r") <= per_language).select("doc_id", "r"))
+    ranked = materialize(ranked, "langid-sample")
+    # Bounded by per_language rows a language; its size is checked all the same.
+    if ranked.count() <= MAX_BROADCAST_ROWS:
+        ranked = F.broadcast(ranked)
     return (docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
             .join(ranked, "doc_id"))
 
