@@ -35,6 +35,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -296,7 +297,8 @@ def _compare(own: Scheme):
     """Group by group: the union of the group's tokens, the queries whose tokens it holds
     enough of, and for these the exact overlap with every member. One link per query and
     component of members is enough."""
-    def run(members: pa.Table, queries: pa.Table) -> pa.Table:
+    def run(rows: pa.Table) -> pa.Table:
+        members, queries = rows.filter(pc.invert(rows.column("asks"))), rows.filter(rows.column("asks"))
         ids, comps = (members.column(c).to_numpy() for c in ("id", "comp"))
         arrays = [np.frombuffer(t.as_buffer(), np.uint64) for t in members.column("tokens")]
         sizes = np.array([len(a) for a in arrays], dtype=np.int64)
@@ -306,7 +308,7 @@ def _compare(own: Scheme):
             order = np.argsort(tokens, kind="stable")
             union, start, held = np.unique(tokens[order], return_index=True, return_counts=True)
             holder = np.repeat(np.arange(len(ids)), sizes)[order]
-            for q, raw in zip(queries.column("x").to_pylist(), queries.column("asking"), strict=True):
+            for q, raw in zip(queries.column("id").to_pylist(), queries.column("tokens"), strict=True):
                 asked = np.frombuffer(raw.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(union, asked), len(union) - 1)
                 at = at[union[at] == asked]
@@ -382,7 +384,9 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
                          "jaccard-places")
     group = ["grp", "linked", "slot"]
     sizes = places.groupBy(*group).agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    held = (member.selectExpr("key", "explode(array(x, y)) AS id").distinct().join(places, "id")
+    # Every row names a member of its key; the one it was found by is named many times over.
+    holders = member.selectExpr("key", "x AS id").unionByName(member.selectExpr("key", "y AS id").distinct())
+    held = (holders.join(places, "id")
             .select("key", *group).distinct().join(sizes, group))
     held = materialize(held.select("key", F.struct(*group).alias("g"), "size", "low", "high"), "jaccard-held")
     # Groups that share a key: the smaller asks the larger; a group of several components
@@ -399,11 +403,12 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
     fans = materialize(queries.groupBy("asked").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).cast("int").alias("fans")),
                        "jaccard-fans")
     queries = (queries.join(fans, "asked").withColumn("fan", F.pmod(F.xxhash64("x"), "fans").cast("int"))
-               .join(sets.selectExpr("id AS x", "tokens AS asking"), "x").select("asked", "fan", "x", "asking"))
-    members = (of.join(fans.withColumnRenamed("asked", "g"), "g").join(sets.select("id", "tokens"), "id")
+               .select("asked", "fan", F.col("x").alias("id"), F.lit(None).cast("long").alias("comp"),
+                       F.lit(True).alias("asks")))
+    members = (of.join(fans.withColumnRenamed("asked", "g"), "g")
                .select(F.col("g").alias("asked"), F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"),
-                       "id", "comp", "tokens"))
-    run = _compare(scheme(*at))
-    found = (members.groupBy("asked", "fan").cogroup(queries.groupBy("asked", "fan"))
-             .applyInArrow(run, "x long, y long"))
+                       "id", "comp", F.lit(False).alias("asks")))
+    # Members and queries fetch their sets in one join: the sets move once.
+    found = (queries.unionByName(members).join(sets.select("id", "tokens"), "id")
+             .groupBy("asked", "fan").applyInArrow(_compare(scheme(*at)), "x long, y long"))
     return materialize(found, "jaccard-cross")
