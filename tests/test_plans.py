@@ -65,3 +65,16 @@ def test_checked_broadcast_falls_back_beyond_its_bound(spark):
         assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["kpi_wow_growth", "category_share", "seasonal_index"])
+def test_small_answers_read_the_fact_once_and_write_nothing(spark, name):
+    plan = _plan(QUERIES[name](spark, SF))
+    assert "Expand" not in plan and plan.count("l_shipdate") and "tillcast-" not in plan
+    assert plan.count("HashAggregate") <= 8 and "Subquery" not in plan
+
+
+def test_totals_count_distinct_over_products_and_stores_only(spark):
+    plan = _plan(QUERIES["kpi_totals"](spark, SF))
+    above, _, below = plan.partition("Expand")
+    assert "keys=[item_id" in below and "Expand" not in below.split("keys=[item_id", 1)[1]

@@ -42,9 +42,12 @@ PROMPT_TAIL = "\nAssistant Response:"
 
 def kpi_totals(fact: DataFrame) -> DataFrame:
     """Total revenue and units, average selling price (revenue / units, 0 if no
-    units), active products and stores."""
-    return fact.agg(
-        F.sum("revenue_cents").alias("_cents"), F.sum("sales").alias("total_units_sold"),
+    units), active products and stores. The fact is reduced to one row per product
+    and store first, so the two distinct counts multiply only those rows."""
+    pairs = fact.groupBy("item_id", "store_id").agg(
+        F.sum("revenue_cents").alias("_cents"), F.sum("sales").alias("_units"))
+    return pairs.agg(
+        F.sum("_cents").alias("_cents"), F.sum("_units").alias("total_units_sold"),
         F.count_distinct("item_id").alias("active_products"),
         F.count_distinct("store_id").alias("active_stores"),
     ).select(
@@ -55,15 +58,21 @@ def kpi_totals(fact: DataFrame) -> DataFrame:
 
 def kpi_wow_growth(fact: DataFrame) -> DataFrame:
     """Revenue of the last 7 days vs the 7 before, growth in percent (0 when the
-    earlier week has no revenue)."""
-    last = fact.select(F.max("date")).scalar()
-    recent = fact.filter(F.col("date") > F.date_sub(last, 2 * WOW_DAYS))
-    is_last = F.col("date") > F.date_sub(last, WOW_DAYS)
-    g = recent.agg(
-        F.coalesce(F.sum(F.when(is_last, F.col("revenue_cents"))), F.lit(0)).alias("_l"),
-        F.coalesce(F.sum(F.when(~is_last, F.col("revenue_cents"))), F.lit(0)).alias("_p"))
+    earlier week has no revenue). One pass: revenue per day, then the two weeks
+    from the list of days (bounded by the calendar)."""
+    days = fact.groupBy("date").agg(F.sum("revenue_cents").alias("_cents"))
+    g = days.agg(F.max("date").alias("max_date"), F.collect_list(F.struct("date", "_cents")).alias("_days"))
+
+    def week(ago: int) -> Column:
+        first = F.date_sub("max_date", (ago + 1) * WOW_DAYS)
+        end = F.date_sub("max_date", ago * WOW_DAYS)
+        return F.aggregate(
+            F.filter("_days", lambda d: (d["date"] > first) & (d["date"] <= end)),
+            F.lit(0).cast("long"), lambda acc, d: acc + F.coalesce(d["_cents"], F.lit(0)))
+
+    g = g.withColumns({"_l": week(0), "_p": week(1)})
     return g.select(
-        last.alias("max_date"),
+        "max_date",
         C.from_cents("_l").alias("last_7_revenue"), C.from_cents("_p").alias("prev_7_revenue"),
         F.when(F.col("_p") > 0, (F.col("_l") - F.col("_p")) / F.col("_p") * 100.0)
         .otherwise(F.lit(0.0)).alias("growth_rate_wow"))
@@ -91,10 +100,11 @@ def daily_trend(fact: DataFrame) -> DataFrame:
 
 
 def category_share(fact: DataFrame) -> DataFrame:
-    """Category revenue and its share of the total in percent."""
+    """Category revenue and its share of the total in percent. The un-partitioned
+    window runs on one row per category."""
     cat = fact.groupBy("cat_id").agg(F.sum("sales").alias("total_units"),
                                      F.sum("revenue_cents").alias("_cents"))
-    total = fact.select(F.sum("revenue_cents")).scalar()
+    total = F.sum("_cents").over(Window.partitionBy())
     return cat.select("cat_id", "total_units", C.from_cents("_cents").alias("total_revenue"),
                       (F.col("_cents") / total * 100.0).alias("share_pct"))
 
@@ -220,11 +230,18 @@ def kpi_summary(fact: DataFrame, fc: DataFrame) -> DataFrame:
     return row.withColumn("summary", text)
 
 
-def kpi_summary_lists(fact: DataFrame, fc: DataFrame, k: int = 5) -> DataFrame:
-    """The summary plus the top / bottom ``k`` products and the category list."""
+def _product_list(products: DataFrame) -> Column:
+    """The products, best first, as one string; sorted after they are collected."""
+    rows = F.array_sort(F.collect_list(F.struct((-F.col("total_revenue")).alias("r"), "item_id")))
+    return products.select(F.array_join(F.transform(rows, lambda p: p["item_id"]), ", ")).scalar()
+
+
+def kpi_summary_lists(fact: DataFrame, fc: DataFrame, k: int = 5, products: DataFrame | None = None) -> DataFrame:
+    """The summary plus the top / bottom ``k`` products and the category list.
+    ``products`` is the fact that the products come from, where ``fact`` is coarser."""
     s = kpi_summary(fact, fc)
-    top = top_products(fact, k).select(F.array_join(F.collect_list("item_id"), ", ")).scalar()
-    worst = top_products(fact, k, worst=True).select(F.array_join(F.collect_list("item_id"), ", ")).scalar()
+    items = fact if products is None else products
+    top, worst = _product_list(top_products(items, k)), _product_list(top_products(items, k, worst=True))
     cats = fact.select("cat_id").distinct().select(
         F.array_join(F.array_sort(F.collect_list("cat_id")), ", ")).scalar()
     return s.withColumns({"top_products": top, "worst_products": worst, "categories": cats}).withColumn(

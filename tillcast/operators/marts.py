@@ -94,14 +94,17 @@ def holiday_sales(fact: DataFrame) -> DataFrame:
 def seasonal_index(fact: DataFrame) -> DataFrame:
     """Mean daily units per (month, wday) over the overall mean daily units.
 
-    Daily totals first (one row per date), then the small (month, wday) grid;
-    the overall mean is a scalar subquery, not a global window. Means are
+    Daily totals first (one row per date), then the (month, wday) grid of at most
+    84 cells; the overall mean is an un-partitioned window over that grid. Means are
     integer sums over counts, so they do not depend on summation order."""
     daily = fact.groupBy("date", "month", "wday").agg(F.sum("sales").alias("units"))
-    overall = daily.select(C.exact_avg("units")).scalar()
-    cell = daily.groupBy("month", "wday").agg(C.exact_avg("units").alias("mean_daily_units"),
-                                              F.count("*").alias("days"))
-    return cell.withColumn("seasonal_index", F.col("mean_daily_units") / overall)
+    cell = daily.groupBy("month", "wday").agg(
+        C.exact_avg("units").alias("mean_daily_units"), F.count("*").alias("days"),
+        F.sum("units").alias("_sum"), F.count("units").alias("_n"))
+    grid = Window.partitionBy()
+    overall = F.sum("_sum").over(grid).cast("double") / F.sum("_n").over(grid)
+    return cell.select("month", "wday", "mean_daily_units", "days",
+                       (F.col("mean_daily_units") / overall).alias("seasonal_index"))
 
 
 def _growth(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -332,8 +332,8 @@ _WORST = ("SELECT string_agg(item_id, ', ' ORDER BY total_revenue DESC, item_id)
 ORACLE["kpi_summary_lists"] = with_fc(f"""
 SELECT *, summary || '- Top Products: ' || top_products || chr(10) || '- Worst Products: ' || worst_products
           || chr(10) || '- Categories: ' || categories || chr(10) AS summary_lists
-FROM (SELECT *, ({_TOP.replace('fact_item', 'hist_category')}) AS top_products,
-             ({_WORST.replace('fact_item', 'hist_category')}) AS worst_products,
+FROM (SELECT *, ({_TOP}) AS top_products,
+             ({_WORST}) AS worst_products,
              (SELECT string_agg(cat_id, ', ' ORDER BY cat_id) FROM (SELECT DISTINCT cat_id FROM hist_category))
                AS categories
       FROM summary)""", extra=_fmt_summary("fc"))
@@ -354,14 +354,14 @@ ORACLE["profile_table"] = with_base("\nUNION ALL\n".join(
     f"count(DISTINCT {c}) AS \"distinct\", CAST(min({c}) AS VARCHAR) AS \"min\", "
     f"CAST(max({c}) AS VARCHAR) AS \"max\" FROM fact_item" for c in _PROFILE_COLUMNS))
 _CHECKS = {
-    "sales_outside_calendar": "SELECT count(*) FROM daily_item s WHERE NOT EXISTS "
+    "sales_outside_calendar": "SELECT count(*) FROM sales_raw s WHERE NOT EXISTS "
                               "(SELECT 1 FROM cal c WHERE c.date = s.date)",
-    "sales_without_price": "SELECT count(*) FROM daily_item s LEFT JOIN cal c ON c.date = s.date WHERE NOT EXISTS "
+    "sales_without_price": "SELECT count(*) FROM sales_raw s LEFT JOIN cal c ON c.date = s.date WHERE NOT EXISTS "
                            "(SELECT 1 FROM prices_item p WHERE p.store_id = s.store_id AND p.item_id = s.item_id "
                            "AND p.wm_yr_wk = c.wm_yr_wk)",
-    "duplicate_series_day": "SELECT count(*) FROM (SELECT id, date FROM daily_item GROUP BY ALL HAVING count(*) > 1)",
-    "null_sales": "SELECT count(*) FROM daily_item WHERE sales IS NULL",
-    "negative_sales": "SELECT count(*) FROM daily_item WHERE sales < 0",
+    "duplicate_series_day": "SELECT count(*) FROM (SELECT id, date FROM sales_raw GROUP BY ALL HAVING count(*) > 1)",
+    "null_sales": "SELECT count(*) FROM sales_raw WHERE sales IS NULL",
+    "negative_sales": "SELECT count(*) FROM sales_raw WHERE sales < 0",
     "nonpositive_or_null_price": "SELECT count(*) FROM prices_item WHERE NOT (coalesce(sell_price, 0) > 0)",
     "duplicate_price_key": "SELECT count(*) FROM (SELECT store_id, item_id, wm_yr_wk FROM prices_item "
                            "GROUP BY ALL HAVING count(*) > 1)",
@@ -373,7 +373,9 @@ _CHECKS = {
                               "GROUP BY ALL HAVING count(*) > 1)",
 }
 ORACLE["quality_report"] = with_base("\nUNION ALL\n".join(
-    f"SELECT '{k}' AS \"check\", ({v}) AS failed_rows" for k, v in _CHECKS.items()))
+    f"SELECT '{k}' AS \"check\", ({v}) AS failed_rows" for k, v in _CHECKS.items()), extra="""
+sales_raw AS (SELECT item_id || '_' || store_id || '_validation' AS id, store_id, item_id, date, qty AS sales
+              FROM lines)""")
 
 # --- the batch job on exported CSV files: readiness counts ---------------------------
 # The wide file holds every category x store series over every calendar day up to the

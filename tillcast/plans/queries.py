@@ -16,7 +16,7 @@ from tillcast.operators import clean, features, forecast, kpi, marts, model, qua
 from tillcast.plans import base, pipeline
 from tillcast.schemas import SERIES_KEYS
 from tillcast.session import materialize
-from tillcast.sources.driver_tables import calendar_input, table
+from tillcast.sources.driver_tables import calendar_input, sales_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,7 +154,7 @@ def holiday_sales(spark, sf):
 
 @query
 def seasonal_index(spark, sf):
-    return marts.seasonal_index(base.fact(spark, sf, materialize=True))
+    return marts.seasonal_index(base.fact(spark, sf))
 
 
 @query
@@ -189,7 +189,7 @@ def kpi_totals(spark, sf):
 
 @query
 def kpi_wow_growth(spark, sf):
-    return kpi.kpi_wow_growth(base.fact(spark, sf, materialize=True))
+    return kpi.kpi_wow_growth(base.fact(spark, sf))
 
 
 @query
@@ -204,7 +204,7 @@ def daily_trend(spark, sf):
 
 @query
 def category_share(spark, sf):
-    return kpi.category_share(base.fact(spark, sf, materialize=True))
+    return kpi.category_share(base.fact(spark, sf))
 
 
 @query
@@ -252,8 +252,9 @@ def series_directory(spark, sf):
 
 @query
 def last_price(spark, sf):
-    hist = features.lag_rolling_features(base.fact(spark, sf, "category"))
-    return hist.groupBy("id").agg(F.max_by("sell_price", "date").alias("last_price"))
+    """The price part of the forecaster's state: the last known price, or the default."""
+    hist = _cat(spark, sf)[0]
+    return forecast.series_state(hist, forecast.last_date(hist)).select("id", F.col("sell_price").alias("last_price"))
 
 
 @query
@@ -325,7 +326,7 @@ def kpi_summary(spark, sf):
 @query
 def kpi_summary_lists(spark, sf):
     fc = _cat(spark, sf)
-    return kpi.kpi_summary_lists(fc[0], _rule_forecast(spark, sf, fc))
+    return kpi.kpi_summary_lists(fc[0], _rule_forecast(spark, sf, fc), products=base.fact(spark, sf))
 
 
 @query
@@ -374,8 +375,12 @@ def quality_report(spark, sf):
                                              F.col("l_suppkey") == F.col("s_suppkey"), "left_anti"),
         "lineitem_duplicate_key": li.groupBy("l_orderkey", "l_linenumber").count().filter(F.col("count") > 1),
     }
-    # Sales and prices are written once (checkpoint folder): eight checks read them.
-    sales, prices = materialize(ri.sales, "sales"), materialize(clean.clean_prices(ri.prices), "prices")
+    # Sales lines before grouping and prices before cleaning, written once (checkpoint
+    # folder): eight checks read them.
+    lines = sales_lines(spark, sf).select(
+        F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"), "store_id", "item_id", "date",
+        F.col("qty").cast("int").alias("sales"))
+    sales, prices = materialize(lines, "sales"), materialize(ri.prices, "prices")
     return quality.quality_report(sales, prices, clean.clean_calendar(ri.calendar), extra)
 
 
@@ -394,13 +399,13 @@ def table_status(spark, sf):
 
 @query
 def gold_daily_sales_stream(spark, sf):
-    """The daily mart built incrementally: the fact lands as a feed of files (one
-    or more per year), is streamed with ``availableNow`` two files per micro-batch,
+    """The daily mart built incrementally: the fact lands as a feed of files (by
+    day, as many as its size asks for), is streamed with ``availableNow`` two files per micro-batch,
     and the per-batch partials are summed. Same answer as ``gold_daily_sales``."""
     from tillcast.streaming import incremental
     f = base.fact(spark, sf).select("date", "year", "month", "wday", "is_holiday", "sales", "revenue_cents")
     root = pipeline.scratch_root(spark, "stream")
-    f.repartition(8, "year").write.parquet(f"{root}/feed")
+    f.repartition("date").write.parquet(f"{root}/feed")
     schema = spark.read.parquet(f"{root}/feed").schema
     incremental.run_daily_sales_stream(spark, f"{root}/feed", schema, f"{root}/partials",
                                        f"{root}/_checkpoint", max_files_per_trigger=2)
