@@ -155,6 +155,18 @@ FOUND_SCHEMA = "kind int, a long, b long, c long"
 DOC, COPY, MEMBER = 0, 1, 2
 
 
+def _ascending(ids: np.ndarray) -> bytes:
+    """Ascending ids as differences, all lowest bytes first: nearly all zeros, which compress."""
+    step = ids.view(np.uint64).copy()
+    step[1:] -= ids.view(np.uint64)[:-1]
+    return np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _ids(raw: bytes) -> np.ndarray:
+    step = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64)
+    return np.cumsum(step.ravel(), dtype=np.uint64).view(np.int64)
+
+
 def _pack(ids: np.ndarray, texts: list[bytes], k: int, own: Scheme, parts: int):
     """One batch: its documents, the digests of its distinct sets, and their keys."""
     values, counts = shingle_sets(texts, k)
@@ -186,6 +198,8 @@ def _pack(ids: np.ndarray, texts: list[bytes], k: int, own: Scheme, parts: int):
     head = key_ids[np.maximum.accumulate(np.where(again, 0, np.arange(len(keys))))] if len(keys) else key_ids
     local = np.stack([np.full(int(again.sum()), MEMBER), keys[again].view(np.int64), key_ids[again], head[again]], 1)
     sent_keys, sent_ids = keys[~again], key_ids[~again]
+    order = np.argsort(sent_ids, kind="stable")
+    sent_keys, sent_ids = sent_keys[order], sent_ids[order]
     docs = np.concatenate([np.stack([np.full(len(ids), DOC), ids, counts, stands], 1), local])
     digests = np.stack([digest[rep_at, 0].view(np.int64), digest[rep_at, 1].view(np.int64), counts[rep_at],
                         ids[rep_at]], 1) if len(rep_at) else np.zeros((0, 4), np.int64)
@@ -193,7 +207,7 @@ def _pack(ids: np.ndarray, texts: list[bytes], k: int, own: Scheme, parts: int):
              mix(docs[:, 2].view(np.uint64) + docs[:, 1].view(np.uint64)) % np.uint64(parts)]
     for part in range(parts):
         k_in, g_in, d_in = (w == part for w in where)
-        yield (part, sent_keys[k_in].tobytes(), sent_ids[k_in].tobytes(),
+        yield (part, sent_keys[k_in].tobytes(), _ascending(sent_ids[k_in]),
                np.ascontiguousarray(digests[g_in]).tobytes(), np.ascontiguousarray(docs[d_in]).tobytes())
 
 
@@ -205,7 +219,8 @@ def _found(table: pa.Table) -> pa.Table:
         return out.reshape(-1, width) if width > 1 else out
 
     out = [joined("docs", np.int64, 4)]
-    keys, ids = joined("keys", np.uint64), joined("key_ids", np.int64)
+    keys = joined("keys", np.uint64)
+    ids = np.concatenate([_ids(v.as_buffer()) for v in table.column("key_ids")])
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     again = np.zeros(len(keys), bool)
