@@ -93,6 +93,20 @@ def test_linked_sets_share_a_key(num, den):
             assert len(np.intersect1d(keys[sets == 0], keys[sets == 1]))
 
 
+def test_packed_ids_round_trip():
+    for ids in ([], [7], [-5, -5, 0, 3, 3, 1 << 40], [-(1 << 63), (1 << 63) - 1]):
+        ids = np.array(ids, np.int64)
+        assert ngram_jaccard._ids(ngram_jaccard._ascending(ids)).tolist() == ids.tolist()
+
+
+def test_asked_documents_are_kept_whole(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in [-9, -1, 0, 1, 5, 5, 1 << 40, None]], "doc_id long, text string")
+    for ids in ([], [-9, 0, 5, 77], [-1, 1, 1 << 40]):
+        asked = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+        got = sorted(tuple(r) for r in ngram_jaccard._asked_only(docs, asked).collect())
+        assert got == sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id in ids)
+
+
 def test_jaccard_empty_null_ids_and_repeats(spark):
     assert ngram_jaccard.link_components(empty(spark), 4, 85, 100).count() == 0
     docs = spark.createDataFrame([(None, "a b c d e"), (3, "a b c d e"), (3, "q r s t u"), (1, "q r s t u")],

@@ -50,6 +50,8 @@ SHORT, PICK, MIDDLE = 40, 4, 128
 MIN_PARTS = 64
 # Size of the bitmap by which pairs are first compared.
 BITS = 4096
+# Slots of the broadcast bitmap of the ids whose texts are read again: 8 MB at any input.
+ID_SLOTS = 1 << 26
 _WIDE = np.uint64(32)
 
 
@@ -271,6 +273,19 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, bits binary, tokens binary")
 
 
+def _asked_only(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The documents whose ids are in ``asked`` (distinct). A bitmap of hashed ids, of fixed size, keeps
+    most other texts from the join's shuffle; where many ids fill it, only the join decides."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
+    bitmap = (asked.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")))
+    byte = F.expr("cast(conv(hex(substring(bitmap, cast(place div 8 AS int) + 1, 1)), 16, 10) AS int)")
+    near = (docs.select("*", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("place"))
+            .join(F.broadcast(bitmap), "bucket").filter(F.getbit(byte, F.expr("cast(place % 8 AS int)")) == 1))
+    # An inner join with distinct ids: a semi join would be pushed below the bitmap.
+    return near.select(*docs.columns).join(asked, "doc_id")
+
+
 def _common(a: bytes, b: bytes) -> int:
     x = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
     x.sort()
@@ -366,7 +381,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     batch_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")    # rows hold two sets
     try:
-        sets = materialize(_sets(docs.join(asked, "doc_id", "left_semi"), k), "jaccard-sets")
+        sets = materialize(_sets(_asked_only(docs, asked), k), "jaccard-sets")
         links = materialize(_verified(pairs.select("x", "y"), sets, at), "jaccard-links")
         more = _cross_links(member, pairs, links, sets, at)
     finally:
