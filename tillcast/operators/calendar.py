@@ -46,15 +46,3 @@ def calendar_dim(spark: SparkSession, start, end) -> DataFrame:
         F.lit(None).cast("string").alias("event_type_2"),
         *[(F.dayofmonth("date") <= n).cast("int").alias(k) for k, n in C.SNAP_LAST_DAY.items()],
     )
-
-
-def calendar_for(df: DataFrame, date_col: str = "date", future_days: int = FUTURE_DAYS) -> DataFrame:
-    """Calendar covering the dates of ``df`` plus ``future_days`` forecast days.
-
-    Bounds are scalar subqueries (one global min/max aggregate, partial per task),
-    so nothing passes through the driver.
-    """
-    bounds = df.select(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select(F.date_add("hi", future_days)).scalar()
-    return calendar_dim(df.sparkSession, lo, hi)

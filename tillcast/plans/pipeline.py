@@ -33,8 +33,8 @@ class PipelineConfig:
     gbt_params: dict = field(default_factory=dict)
 
 
-def _w(df, cfg, layer, name, **kw):
-    return tables.write(df, cfg.root, layer, name, cfg.fmt, **kw)
+def _w(df, cfg, layer, name):
+    return tables.write(df, cfg.root, layer, name, cfg.fmt)
 
 
 def _r(spark, cfg, layer, name):

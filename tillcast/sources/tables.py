@@ -14,14 +14,10 @@ def path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def write(df: DataFrame, root: str, layer: str, name: str, fmt: str = FORMAT,
-          partition_by: list[str] | None = None) -> str:
+def write(df: DataFrame, root: str, layer: str, name: str, fmt: str = FORMAT) -> str:
     """Overwrite one table as a whole (one action per table)."""
     p = path(root, layer, name)
-    w = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(p)
+    df.write.format(fmt).mode("overwrite").save(p)
     return p
 
 
