@@ -363,7 +363,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     Documents link when ``den * |A ∩ B| >= num * |A ∪ B|`` over their distinct k-word
     shingles; ``component_id`` is the smallest doc_id reachable by links. Null and empty
     texts have empty sets and link with nothing. Rows of one doc_id are one node. A null
-    doc_id takes no part in links and has a null component. ``num/den`` is at least 0.7.
+    doc_id takes no part in links and has a null component. ``num/den`` is at least 0.76.
     """
     spark: SparkSession = docs.sparkSession
     at = (num, den)
