@@ -5,7 +5,11 @@ in the shared checkpoint folder and read again as the next stage's ``docs``. All
 last return the columns of ``documents``.
 
 1. ``language_id`` drops documents whose language cannot be told: no text or no letter, or
-   no language's classifier claims the text.
+   the best language does not claim the text. It claims a text when the mean share of its
+   landmark texts that hold the text's 3-grams is at least 0.4 times (``kernel_langid.CLAIM``)
+   the median of its own fitting sample at that length. With any number of languages, texts
+   in another script and gibberish fall short of this, and so do most texts in languages
+   that were not learned; ones close to a learned language may pass.
 2. ``near_duplicates`` keeps of each group of documents linked by five-word shingles with a
    Jaccard similarity of 0.8 or more the one with the smallest ``doc_id``.
 3. ``personal_data`` masks personal data in the texts.
@@ -22,17 +26,11 @@ from tillcast.llm import best_fit, kernel_langid, ngram_jaccard, pii
 from tillcast.llm.common import read_table
 from tillcast.session import materialize
 
-# A document is rejected if the best language's output maps to less than this (0.5 is
-# the border between claimed and not claimed; far below it no language comes near).
-LEAST_SCORE = 0.2
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row keeps its own verdict; rows that share a ``doc_id`` are judged by their best."""
     model = kernel_langid.fit(docs, usable=F.col("doc_id").isNotNull())
-    told = (kernel_langid.predict(docs, model)
-            .filter((F.col("lang_pred") != kernel_langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-            .select("doc_id").distinct())
+    told = kernel_langid.claimed(docs, model).select("doc_id").distinct()
     return docs.join(told, "doc_id", "left_semi").select(*docs.columns)
 
 

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tillcast.llm import (
     best_fit,
@@ -369,3 +370,43 @@ def test_pipeline_stages(spark):
     assert clean.columns == columns and not clean.filter("text RLIKE '[a-z0-9]@[a-z]+[.]example'").count()
     packed = corpus_pipeline.packing(spark, clean, SF).collect()
     assert {d for r in packed for d in r.doc_ids} == {r.doc_id for r in clean.collect()}
+
+
+WORDS = {
+    "en": "the house of rising sun and where they have been with which every child would then speak about those things",
+    "de": "der garten und die schönen blumen sind nicht mehr zwischen den häusern gewachsen welche keiner je gesehen hat",
+    "fr": "le chat de la maison est dans notre jardin avec les enfants qui mangent du pain sous cette grande fenêtre",
+    "es": "los niños que comen pan con mucha leche estaban cerca del camino donde ayer llovía sobre aquellos árboles",
+    "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan heille on annettu järki sekä omatunto myös ystävyyden",
+}
+
+
+def sentences(lang, n):
+    rng = np.random.default_rng(len(lang) + sum(map(ord, lang)))
+    return [" ".join(rng.choice(WORDS[lang].split(), 40)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("learned", [["en"], ["en", "fr"], ["en", "de", "fr", "es"]])
+def test_pipeline_rejects_texts_of_no_learned_language(spark, learned):
+    import corpus_pipeline
+    rows = [(t, x) for x in learned for t in sentences(x, 30)]
+    clean = len(rows)
+    rows += [(t, None) for t in sentences("fi", 10)]
+    rows += [("Все люди рождаются свободными и равными в своем достоинстве и правах", None),
+             ("すべての人間は生まれながらにして自由でありかつ尊厳と権利とについて平等である", None),
+             ("xqz wvkj qpzx jjkw zzxq vbnq kxwz qwjx pzvk xjqq wkzv bqxj", None)]
+    docs = frame(spark, [t for t, _ in rows], lang=[x for _, x in rows])
+    kept = corpus_pipeline.language_id(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(clean))
+
+
+@needs_data
+def test_pipeline_language_border_on_the_documents(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    unlearned = docs.lang == "es"
+    kept = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.when(~unlearned, docs.lang)), SF)
+    ids = {r.doc_id for r in kept.collect()}
+    own = docs.select("doc_id", unlearned.alias("es")).collect()
+    assert all(r.doc_id in ids for r in own if not r.es)
+    assert sum(r.doc_id in ids for r in own if r.es) <= 0.2 * sum(r.es for r in own)

@@ -6,6 +6,10 @@ normalised by their own counts. A few landmark documents per language span the N
 space; one-versus-rest kernel ridge regression is solved in it. Texts are scored in
 batches: a 0/1 matrix of the n-grams present times the landmarks' matrix gives the kernel
 rows, times one weight matrix the languages' outputs.
+
+Some output is always the largest, however strange the text. Whether a text is in a
+learned language at all is told by its 3-grams (``claimed``): the mean share of a
+language's landmarks that hold them, against what is usual for the language's own sample.
 """
 
 from __future__ import annotations
@@ -28,6 +32,10 @@ MAX_BROADCAST_ROWS = 200_000
 RIDGE, JITTER = 1e-2, 1e-6
 UNDETERMINED = "und"
 _BATCH = 256
+# A language claims a text whose 3-grams its landmarks hold at least CLAIM times as often as
+# those of its own sample's median text of that length; medians are taken at these lengths.
+CLAIM, CUTS = 0.4, (32, 128, 512, 2048)
+_THREE = 1 << 16    # codes of 3-grams begin here
 
 _FOLD = np.frombuffer(bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower(), np.uint8)
 
@@ -39,6 +47,8 @@ class KernelModel:
     presence: np.ndarray = field(repr=False)     # n-grams × landmarks, 0/1
     sizes: np.ndarray = field(repr=False)        # n-grams present per landmark
     weights: np.ndarray = field(repr=False)      # landmarks + 1 × languages
+    shares: np.ndarray = field(repr=False)       # n-grams + 1 × languages, share of landmarks with it
+    least: np.ndarray = field(repr=False)        # CUTS × languages, least mean share that claims
 
 
 def gram_codes(text: bytes) -> np.ndarray:
@@ -91,19 +101,27 @@ def kernel_rows(texts: list[bytes], grams: np.ndarray, presence: np.ndarray, siz
     return np.concatenate(rows).astype(np.float64) if rows else np.zeros((0, len(sizes)))
 
 
+def mean_share(text: bytes, table: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Per language: the mean of ``shares`` over the text's distinct 3-grams."""
+    codes = np.unique(gram_codes(text))
+    codes = codes[np.searchsorted(codes, _THREE):]
+    return shares[table[codes]].mean(axis=0) if len(codes) else np.zeros(shares.shape[1])
+
+
 def fit_rows(docs: DataFrame, usable, per_language: int) -> DataFrame:
     """The bounded sample: per language the ``per_language`` labelled documents of the
-    smallest hash. Only ids and hashes are ranked; the limit is applied before the shuffle."""
+    smallest hash. Only ids and hashes are ranked; the limit is applied before the shuffle.
+    Rows that repeat an id and language count once, however many they are."""
     ranked = (docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-              .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+              .select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
               .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-              .filter(F.col("r") <= per_language).select("doc_id", "r"))
+              .filter(F.col("r") <= per_language).select("doc_id", "lang", "r"))
     ranked = materialize(ranked, "langid-sample")
     # Bounded by per_language rows a language; its size is checked all the same.
     if ranked.count() <= MAX_BROADCAST_ROWS:
         ranked = F.broadcast(ranked)
     return (docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .join(ranked, "doc_id"))
+            .join(ranked, ["doc_id", "lang"]).groupBy("doc_id", "lang", "r").agg(F.min("text").alias("text")))
 
 
 def fit(docs: DataFrame, usable=None, per_language: int = FIT_PER_LANGUAGE,
@@ -128,7 +146,8 @@ def fit(docs: DataFrame, usable=None, per_language: int = FIT_PER_LANGUAGE,
     languages = sorted({m["lang"] for m in marks})
     if not languages:
         empty = np.zeros(0, np.int32)
-        return KernelModel([], empty, np.zeros((0, 0), np.float32), empty, np.zeros((1, 0)))
+        return KernelModel([], empty, np.zeros((0, 0), np.float32), empty, np.zeros((1, 0)),
+                           np.zeros((1, 0)), np.zeros((len(CUTS), 0)))
     # n-grams that two landmarks share; one that a single text has says nothing of others.
     codes, counts = np.unique(np.concatenate([m["grams"] for m in marks]), return_counts=True)
     grams = codes[counts > 1 if (counts > 1).any() else counts > 0].astype(np.int32)
@@ -138,17 +157,27 @@ def fit(docs: DataFrame, usable=None, per_language: int = FIT_PER_LANGUAGE,
         at = at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == m["grams"])]
         presence[at, j] = 1.0
     sizes = presence.sum(axis=0)
-    shared = spark.sparkContext.broadcast((grams, presence, sizes))
+    member = np.array([m["lang"] for m in marks])[:, None] == np.array(languages)[None, :]
+    held, marked = np.vstack([presence @ member, np.zeros((1, len(languages)))]), member.sum(axis=0)
+    shared = spark.sparkContext.broadcast((grams, presence, sizes, held, marked))
 
     def kernels(batches):
+        grams, presence, sizes, held, marked = shared.value
         for batch in text_slices(batches):
-            k = kernel_rows(utf8(batch), *shared.value)
+            texts, usual, table = utf8(batch), [], _table(grams)
+            k = kernel_rows(texts, grams, presence, sizes)
+            for text, lang, mark in zip(texts, batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                at = languages.index(lang)
+                # A landmark is held against the others of its language.
+                others = np.maximum(held[:, [at]] - mark, 0) / max(1, marked[at] - mark)
+                usual.append([float(mean_share(text[:c], table, others)[0])
+                              if (c == CUTS[0] or len(text) >= c) and marked[at] > mark else None for c in CUTS])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(k.tolist(), pa.list_(pa.float64()))],
-                names=["doc_id", "lang", "k"])
+                [batch.column(0), batch.column(1), pa.array(k.tolist(), pa.list_(pa.float64())),
+                 pa.array(usual, pa.list_(pa.float64()))], names=["doc_id", "lang", "k", "usual"])
 
-    sample = (rows.select("doc_id", "lang", "text").mapInArrow(kernels, "doc_id long, lang string, k array<double>")
-              .toArrow().to_pylist())
+    sample = (rows.select("doc_id", "lang", "text", (F.col("r") <= landmarks).cast("int").alias("mark"))
+              .mapInArrow(kernels, "doc_id long, lang string, k array<double>, usual array<double>").toArrow().to_pylist())
     sample.sort(key=lambda s: (s["doc_id"], s["lang"], s["k"]))
     k = np.array([s["k"] for s in sample])
     y = np.where(np.array([s["lang"] for s in sample])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
@@ -160,7 +189,51 @@ def fit(docs: DataFrame, usable=None, per_language: int = FIT_PER_LANGUAGE,
     weight = 1.0 / (y > 0).sum(axis=0)[np.argmax(y, axis=1)]
     a = phi.T @ (phi * weight[:, None]) + RIDGE / len(k) * np.eye(phi.shape[1])
     solved = np.linalg.solve(a, phi.T @ (y * weight[:, None]))
-    return KernelModel(languages, grams, presence, sizes, np.vstack([root @ solved[:-1], solved[-1:]]))
+    return KernelModel(languages, grams, presence, sizes, np.vstack([root @ solved[:-1], solved[-1:]]),
+                       held / marked, _least(sample, languages))
+
+
+def _least(sample: list[dict], languages: list[str]) -> np.ndarray:
+    """Per length and language ``CLAIM`` times the sample's median. A length that no text of the
+    language has takes the next shorter one's; a language of one document, which cannot be held
+    against others, the smallest of the other languages (0 without any)."""
+    out = np.full((len(CUTS), len(languages)), np.nan)
+    for j, lang in enumerate(languages):
+        for i in range(len(CUTS)):
+            own = [s["usual"][i] for s in sample if s["lang"] == lang and s["usual"][i] is not None]
+            out[i, j] = CLAIM * np.median(own) if own else out[i - 1, j] if i else np.nan
+    known = ~np.isnan(out[0])
+    out[:, ~known] = out[:, known].min(axis=1, keepdims=True) if known.any() else 0.0
+    return out
+
+
+def _outputs(model: KernelModel, texts: list[bytes]) -> np.ndarray:
+    return kernel_rows(texts, model.grams, model.presence, model.sizes) @ model.weights[:-1] + model.weights[-1]
+
+
+def claimed(docs: DataFrame, model: KernelModel) -> DataFrame:
+    """The rows of ``docs(text, …)``, all columns, whose language can be told: with a letter, and
+    with 3-grams of a mean share that reaches the least one of the best language for the
+    text's length. Unlike the outputs' height this border does not depend on the number of
+    languages. Each row by itself; narrow."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own: KernelModel = shared.value
+        cuts = np.log(CUTS)
+        for batch in text_slices(batches):
+            texts = utf8(batch)
+            keep = [bool(own.languages) and has_letter(text) for text in texts]
+            if own.languages:
+                best, table = _outputs(own, texts).argmax(axis=1), _table(own.grams)
+                columns = [own.shares[:, [j]] for j in range(len(own.languages))]
+                for i, (text, j) in enumerate(zip(texts, best.tolist(), strict=True)):
+                    if keep[i]:
+                        share = mean_share(text, table, columns[j])[0]
+                        keep[i] = bool(share >= np.interp(np.log(len(text)), cuts, own.least[:, j]))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def predict(docs: DataFrame, model: KernelModel) -> DataFrame:
@@ -176,7 +249,7 @@ def predict(docs: DataFrame, model: KernelModel) -> DataFrame:
             texts = utf8(batch)
             lang, score, margin = [UNDETERMINED] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             if own.languages:
-                out = kernel_rows(texts, own.grams, own.presence, own.sizes) @ own.weights[:-1] + own.weights[-1]
+                out = _outputs(own, texts)
                 best = out.argmax(axis=1)
                 ranked = np.sort(out, axis=1)
                 for i, text in enumerate(texts):
