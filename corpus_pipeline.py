@@ -11,7 +11,8 @@ last return the columns of ``documents``.
    in another script and gibberish fall short of this, and so do most texts in languages
    that were not learned; ones close to a learned language may pass.
 2. ``near_duplicates`` keeps of each group of documents linked by five-word shingles with a
-   Jaccard similarity of 0.8 or more the one with the smallest ``doc_id``.
+   Jaccard similarity of 0.8 or more the one with the smallest ``doc_id``. A ``doc_id`` may be
+   null or repeated: both stages judge rows, not ids.
 3. ``personal_data`` masks personal data in the texts.
 4. ``packing`` packs the texts into sequences of several permitted lengths: one row per
    sequence with the documents in it.
@@ -26,24 +27,37 @@ from tillcast.llm import best_fit, kernel_langid, ngram_jaccard, pii
 from tillcast.llm.common import read_table
 from tillcast.session import materialize
 
+# The rows' own key beside the columns of ``documents``.
+KEY = "pipeline_row"
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row keeps its own verdict; rows that share a ``doc_id`` are judged by their best."""
-    model = kernel_langid.fit(docs, usable=F.col("doc_id").isNotNull())
-    told = kernel_langid.claimed(docs, model).select("doc_id").distinct()
-    return docs.join(told, "doc_id", "left_semi").select(*docs.columns)
+    """Every row keeps its own verdict, whatever its ``doc_id``. Rows are learned from by id
+    and text, so those of a null or repeated id count too and equal rows count once."""
+    own = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "lang", "text")
+    return kernel_langid.claimed(docs, kernel_langid.fit(own))
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of its own for each row (``KEY``): the ``doc_id`` where all are
+    distinct and none is null, else a number, written down with the rows so that it stays."""
+    unsound = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR `count` > 1")
+    if unsound.isEmpty():
+        return docs.withColumn(KEY, F.col("doc_id").cast("long"))
+    return materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with an empty set link with nothing and stay; of rows that repeat a
-    ``doc_id`` one stays (the first by its columns)."""
-    groups = ngram_jaccard.link_components(docs, k=5, num=4, den=5)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    own = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    repeated = groups.groupBy("doc_id").count().filter("`count` > 1").select("doc_id")
-    once = (own.join(repeated, "doc_id", "left_semi").select("doc_id", F.struct(*docs.columns).alias("row"))
-            .groupBy("doc_id").agg(F.min("row").alias("row")).select("row.*"))
-    return own.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    """Rows are linked by their texts alone: rows of one ``doc_id`` with different texts are
+    different documents. A null ``doc_id`` counts as the largest; of rows with the same
+    smallest ``doc_id`` in a group one stays. Rows with an empty set link with nothing and stay."""
+    rows = row_keys(docs)
+    groups = (ngram_jaccard.link_components(rows.select(F.col(KEY).alias("doc_id"), "text"), k=5, num=4, den=5)
+              .selectExpr(f"doc_id AS {KEY}", "component_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", KEY)).alias("first")
+    kept = (groups.join(rows.select(KEY, "doc_id"), KEY).groupBy("component_id").agg(first)
+            .select(F.col(f"first.{KEY}").alias(KEY)))
+    return rows.join(kept, KEY, "left_semi").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -410,3 +410,31 @@ def test_pipeline_language_border_on_the_documents(spark):
     own = docs.select("doc_id", unlearned.alias("es")).collect()
     assert all(r.doc_id in ids for r in own if not r.es)
     assert sum(r.doc_id in ids for r in own if r.es) <= 0.2 * sum(r.es for r in own)
+
+
+def test_pipeline_judges_rows_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+    en = sentences("en", 12)
+    rows = [(en[0], 1), (en[1], 1), (en[2], 1),                     # one id, three texts
+            (en[3], None), (en[4], None), (en[3], None),            # no id; one text twice
+            (en[5], 7), (en[5], 7), (en[5], 9), (en[5], None),      # a copy of every kind: the smallest id stays
+            (en[6], 8), ("Все люди рождаются свободными", 8), (None, 8), ("12 !?", None)]
+    rows += [(t, 100 + i) for i, t in enumerate(en[7:])]
+    docs = spark.createDataFrame([(t, i, "t", 1, "k", 2, 3, "q", "en" if t in en else None) for t, i in rows], DOCS)
+    told = corpus_pipeline.language_id(spark, docs, SF)
+    key = lambda r: (r[0], r[1] is None, r[1] or 0)
+    assert sorted(((r.text, r.doc_id) for r in told.collect()), key=key) == sorted((r for r in rows if r[0] in en), key=key)
+    once = corpus_pipeline.near_duplicates(spark, told, SF)
+    assert once.columns == docs.columns
+    want = [(en[0], 1), (en[1], 1), (en[2], 1), (en[3], None), (en[4], None), (en[5], 7), (en[6], 8), *rows[14:]]
+    assert sorted(((r.text, r.doc_id) for r in once.collect()), key=key) == sorted(want, key=key)
+    clean = corpus_pipeline.personal_data(spark, once, SF)
+    packed = corpus_pipeline.packing(spark, clean, SF).collect()
+    assert sorted((p.doc_id is None, p.doc_id or 0) for r in packed for p in r.pieces) == \
+        sorted((i is None, i or 0) for _, i in want)
+
+
+def test_language_sample_is_bounded_when_an_id_repeats(spark):
+    docs = spark.createDataFrame([(t, 5, "t", 1, "k", 2, 3, "q", "en") for t in sentences("en", 40)] +
+                                 [(t, 6, "t", 1, "k", 2, 3, "q", "fr") for t in sentences("fr", 3)], DOCS)
+    assert kernel_langid.fit_rows(docs, F.lit(True), 10).count() == 2
