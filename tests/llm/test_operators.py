@@ -438,3 +438,13 @@ def test_language_sample_is_bounded_when_an_id_repeats(spark):
     docs = spark.createDataFrame([(t, 5, "t", 1, "k", 2, 3, "q", "en") for t in sentences("en", 40)] +
                                  [(t, 6, "t", 1, "k", 2, 3, "q", "fr") for t in sentences("fr", 3)], DOCS)
     assert kernel_langid.fit_rows(docs, F.lit(True), 10).count() == 2
+
+
+@pytest.mark.parametrize("same", [None, 5])
+def test_packing_deals_equal_rows_to_many_shards(spark, same):
+    docs = spark.createDataFrame([("w " * 30, same, "t", 1, "k", 2, 3, "q", None)] * 400 +
+                                 [("w " * 30, 1000 + i, "t", 1, "k", 2, 3, "q", None) for i in range(400)], DOCS)
+    rows = best_fit.best_fit(docs, shard_pieces=100).collect()
+    assert len(rows) == 800 and sum(r.doc_id == same for r in rows) == 400
+    shards = [r.bin_id.split("-")[0] for r in rows]
+    assert max(map(shards.count, set(shards))) <= 200

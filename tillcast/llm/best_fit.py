@@ -24,6 +24,8 @@ LENGTHS = (512, 1024, 2048, 4096, 8192)
 # share of the tokens at ATTENTION_AT) and a fixed part.
 ATTENTION_SHARE, ATTENTION_AT, SEQUENCE_COST = 0.25, 8192, 8.0
 SHARD_PIECES = 20_000
+# Rows equal in document and length are dealt apart beyond this part of a shard.
+REPEATS, MAX_BROADCAST_ROWS = 10, 200_000
 
 PACK_SCHEMA = ("doc_id long, piece int, start long, length int, bin_id string, capacity int, used int, "
                "offset int")
@@ -91,18 +93,28 @@ def best_fit(docs: DataFrame, length: Column | None = None, lengths: Sequence[in
     null count as 1, so empty and null texts take one token. Longer documents than the
     largest length are cut into whole pieces and a rest; nothing is dropped. A repeated
     row is packed as often as it occurs. A shard holds about ``shard_pieces`` pieces
-    whatever the ids are (dealt by a hash of document, length and piece)."""
+    whatever the ids are: they are dealt by a hash of document, length and piece, and where
+    more than a ``REPEATS``-th of a shard agree in these, by a number of the row as well."""
     lengths = tuple(sorted(lengths))
     top = lengths[-1]
     n = F.greatest(F.coalesce((word_count() if length is None else length).cast("long"), F.lit(1)), F.lit(1))
-    sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n")), "packing")
+    sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n"),
+                                    F.monotonically_increasing_id().alias("row")), "packing")
     shards = sized.agg(F.sum(F.ceil(F.col("n") / top))).first()[0] or 0
     shards = max(1, round(shards / shard_pieces))
-    pieces = (sized.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / top)))
+    # At most REPEATS keys a shard; a hot key's rows are split by AQE where the join is a shuffle.
+    often = (sized.groupBy(F.col("doc_id").alias("same_id"), F.col("n").alias("same_n")).agg(F.count("*").alias("c"))
+             .filter(F.col("c") > shard_pieces / REPEATS).select("same_id", "same_n"))
+    often = materialize(often, "packing-repeats")
+    if often.count() <= MAX_BROADCAST_ROWS:
+        often = F.broadcast(often)
+    salted = (sized.join(often, F.col("doc_id").eqNullSafe(F.col("same_id")) & (F.col("n") == F.col("same_n")), "left")
+              .select("doc_id", "n", F.when(F.col("same_n").isNotNull(), F.col("row")).alias("salt")))
+    pieces = (salted.select("doc_id", "n", "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / top)))
                            .alias("piece"))
               .select("doc_id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * top).alias("start"),
                       F.least(F.lit(top).cast("long"), F.col("n") - F.col("piece") * top).cast("int").alias("length"),
-                      F.pmod(F.xxhash64("doc_id", "n", "piece"), F.lit(shards)).alias("shard")))
+                      F.pmod(F.xxhash64("doc_id", "n", "piece", "salt"), F.lit(shards)).alias("shard")))
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["length", "doc_id", "piece"], kind="stable").reset_index(drop=True)
