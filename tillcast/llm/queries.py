@@ -17,10 +17,13 @@ from tillcast.llm import (
     kernel_langid,
     license_scan,
     ngram_jaccard,
+    periodic_runs,
     pii,
     piece_viterbi,
     pruned_graph,
+    spelling,
     token_parquet,
+    url_filter,
 )
 from tillcast.llm.common import read_table
 from tillcast.session import checkpoint_dir
@@ -31,6 +34,8 @@ QUERIES: dict[str, Query] = {}
 # Folder of the public tokenizer files (see its README).
 TOKENIZERS = "/opt/tokenizers"
 PLANTED_CONVERSATION, PLANTED_TEXT = -7, "\\### Assistant: </turn> ok"
+# The rules of op11.
+URL_RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
 
 
 def query(fn: Query) -> Query:
@@ -109,6 +114,21 @@ def op10_chat_tree(spark, sf):
     return chat_tree.read_digests(spark, folder)
 
 
+@query
+def op11_url_filter(spark, sf):
+    return url_filter.judge(read_table(spark, sf, "pages"), URL_RULES)
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    return spelling.variants(read_table(spark, sf, "documents"))
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    return periodic_runs.report(read_table(spark, sf, "documents"))
+
+
 # Words of a text as SQL: blanks and control white space folded to one blank.
 _WORDS = r"""list_filter(string_split(regexp_replace(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -123,7 +143,120 @@ reach(node, other) AS (
     SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other)
 """
 
+
+
+def _url_rules(what: int) -> str:
+    """A CASE that gives the longest rule that fits (``what`` 1) or its verdict (0)."""
+    out = "CASE "
+    for rule in sorted(URL_RULES, key=lambda r: -len(r.split(" ")[1])):
+        own, rest = rule.split(" ")[1].split("/", 1)
+        out += (f"WHEN (host = '{own}' OR ends_with(host, '.{own}')) AND starts_with(path, '/{rest}') "
+                f"THEN '{rule.split(' ')[what]}' ")
+    return out + "END"
+
+
+def _url_levels(order: int) -> str:
+    """The models level by level: shares of accepted (pa) and rejected (pr), value and gain."""
+    def share(n, total, kinds, lower):
+        return f"CASE WHEN {total} = 0 THEN {lower} ELSE ({n} + {kinds} * {lower}) / ({total} + {kinds}) END"
+    out = []
+    for k in range(order + 1):
+        even = "(SELECT 1.0::DOUBLE / (count(*) + 1) FROM counts WHERE length(s) = 1)"
+        lower = f"{even} AS la, {even} AS lr, 0 AS ld, " if k == 0 else "b.pa AS la, b.pr AS lr, b.value AS ld, "
+        below = "" if k == 0 else f"JOIN level{k - 1} b ON b.s = substr(c.s, 2)"
+        out.append(f"""level{k} AS MATERIALIZED (
+    SELECT s, pa, pr, CAST(floor((ln(pa) - ln(pr)) * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS value, value - ld AS gain FROM (
+        SELECT s, ld, {share('na', 'ca', 'ta', 'la')} AS pa, {share('nr', 'cr', 'tr', 'lr')} AS pr FROM (
+            SELECT c.s, {lower} na, nr, ca, ta, cr, tr FROM counts c JOIN after_ a ON a.context = left(c.s, length(c.s) - 1)
+            {below} WHERE length(c.s) = {k + 1})))""")
+    return ",\n".join(out)
+
+
+def _url_strings(source: str, columns: str) -> str:
+    return f"""(SELECT {columns}, unnest(list_transform(range(0, least({url_filter.ORDER}, p - 1) + 1), lambda k:
+        substr(t, p - k, CAST(k + 1 AS INTEGER)))) AS s FROM (SELECT {columns}, t, unnest(range(2, length(t) + 1)) AS p
+        FROM (SELECT {columns}, chr(2) || text || chr(3) AS t FROM {source})))"""
+
+
+_HELD = "substr(md5(text), 1, 1) IN (" + ", ".join(f"'{c}'" for c in url_filter.HELD_OUT) + ")"
+_URL_FILTER = f"""
+WITH parts AS (
+    SELECT row_number() OVER () AS row, page_id,
+           coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+ruled AS (
+    SELECT *, {_url_rules(1)} AS rule, {_url_rules(0)} AS ruling,
+           regexp_matches(host, '(^|[.-])({'|'.join(url_filter.SEED_TERMS)})([.-]|$)') AS unwanted,
+           regexp_replace(host || translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[0-9]+', '0', 'g') AS text FROM parts),
+judged AS MATERIALIZED (
+    SELECT *, {_HELD} AS held,
+           CASE WHEN ruling = 'allow' THEN CASE WHEN NOT unwanted THEN false END
+                ELSE ruling IS NOT NULL OR unwanted END AS rejected FROM ruled),
+learnt AS (SELECT text, CAST(NOT rejected AS BIGINT) AS accepted, CAST(rejected AS BIGINT) AS rejects FROM judged
+           WHERE rejected IS NOT NULL AND NOT held),
+counts AS MATERIALIZED (
+    SELECT s, sum(accepted) AS na, sum(rejects) AS nr FROM {_url_strings('learnt', 'accepted, rejects')}
+    GROUP BY s HAVING length(s) = 1 OR sum(accepted) + sum(rejects) >= {url_filter.MIN_COUNT}),
+after_ AS MATERIALIZED (
+    SELECT left(s, length(s) - 1) AS context, sum(na) AS ca, count(*) FILTER (na > 0) AS ta, sum(nr) AS cr,
+           count(*) FILTER (nr > 0) AS tr FROM counts GROUP BY 1),
+{_url_levels(url_filter.ORDER)},
+model AS ({' UNION ALL '.join(f'SELECT s, gain FROM level{k}' for k in range(url_filter.ORDER + 1))}),
+totals AS (SELECT row, sum(coalesce(gain, 0)) AS total FROM {_url_strings('judged', 'row')} LEFT JOIN model USING (s)
+           GROUP BY row),
+scored AS (
+    SELECT j.*, CAST(total AS DOUBLE) / (length(text) + 1) AS mean,
+           greatest(least(floor(mean / 1000), {url_filter.SCORE_BOUND}), -{url_filter.SCORE_BOUND}) AS bin
+    FROM judged j JOIN totals USING (row)),
+bins AS (SELECT bin, count(*) AS c FROM scored WHERE held AND NOT rejected GROUP BY bin),
+border AS (
+    SELECT max(bin) AS least_ FROM (
+        SELECT bin, coalesce(sum(c) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+               sum(c) OVER () AS total FROM bins) WHERE below * 1000 <= total * {url_filter.FALSE_REJECTS})
+SELECT page_id, host, path, rule,
+       coalesce(ruling, CASE WHEN (SELECT max(nr) FROM counts) > 0 AND bin < (SELECT least_ FROM border) THEN 'block'
+                             ELSE 'allow' END) AS verdict,
+       CASE WHEN rule IS NULL THEN mean / 1e6::DOUBLE END AS score
+FROM scored"""
+
+# CRC-32 of a string: each byte, then eight times one bit of it (marked -1).
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, 9 * (length(hex(encode(k))) // 2)),
+    lambda i: CASE WHEN i % 9 = 0 THEN CAST('0x' || substr(hex(encode(k)), 2 * (i // 9) + 1, 2) AS BIGINT) ELSE -1 END)),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384::BIGINT) END),
+    4294967295::BIGINT)"""
+_LATIN = "".join(map(chr, range(0xC0, 0x100)))
+_SINGLE = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.islower())[:64].replace("'", "''")
+_SPELLING = f"""
+WITH RECURSIVE runs AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY ALL),
+hashed AS (SELECT run, c, {_CRC32} AS h FROM runs),
+words AS MATERIALIZED (
+    SELECT word, sum(c) AS n FROM (
+        SELECT c, CASE WHEN h % {spelling.SPOIL} = 0
+            THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(c) >= {spelling.MIN_COUNT}),
+single AS (SELECT word, n, length(word) AS m, translate(word, '{_LATIN}', '{_SINGLE}') AS w FROM words),
+near AS MATERIALIZED (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM single a JOIN single b
+    ON abs(a.m - b.m) <= 1 AND a.word <> b.word AND levenshtein(a.w, b.w) = 1),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS top, min(other) FILTER (WHERE other_n = top_n) AS other
+         FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS top_n FROM near) GROUP BY word),
+forms AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN other END AS form,
+           CASE WHEN top >= 2 * w.n THEN top END AS form_n FROM words w LEFT JOIN best USING (word)),
+follow(word, root, form) AS (
+    SELECT word, word, form FROM forms
+    UNION ALL SELECT f.word, f.form, g.form FROM follow f JOIN forms g ON g.word = f.form)
+SELECT f.word, f.form, r.root, CAST(f.n AS BIGINT) AS n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN follow r ON r.word = f.word AND r.form IS NULL"""
+
 ORACLE: dict[str, str] = {
+    "op11_url_filter": _URL_FILTER,
+    "op12_spelling_variants": _SPELLING,
     "op1_ngram_jaccard": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 shingles AS (
