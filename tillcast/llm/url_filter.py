@@ -77,27 +77,31 @@ def url_text(host: Column, path: Column) -> Column:
     return F.regexp_replace(F.concat(host, F.translate(path, _UPPER, _LOWER)), "[0-9]+", "0")
 
 
-def _strings(rows: DataFrame, text: str, order: int) -> DataFrame:
-    """``rows`` with one row per place of ``text`` and order: ``s``, the place's character
-    with up to ``order`` characters before it. Texts are cut in pieces first, each with the
-    end of the one before it: reaching a place costs no more in a long text than in a short."""
-    pieces = F.regexp_extract_all(F.concat(F.lit(BEGIN), text, F.lit(END)), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
-    # The pieces are a column before they are exploded, so that they are found once a text.
-    rows = rows.withColumn("_all", pieces).select("*", F.posexplode("_all").alias("_n", "_piece"))
-    before = F.when(F.col("_n") > 0, F.right(F.element_at("_all", F.col("_n")), F.lit(order))).otherwise("")
-    # The begin mark is a context only.
-    rows = (rows.withColumns({"_at": F.length(before) + F.when(F.col("_n") > 0, 1).otherwise(2),
-                              "_part": F.concat(before, F.col("_piece"))}).drop("_all", "_piece", "_n")
-            .filter("_at <= length(_part)")
-            .withColumn("_at", F.explode(F.sequence(F.col("_at"), F.length("_part")))))
-    ends = [F.when(F.col("_at") > k, F.substr("_part", F.col("_at") - k, F.lit(k + 1))) for k in range(order + 1)]
-    return rows.withColumn("s", F.explode(F.array(*ends))).filter("s IS NOT NULL").drop("_at", "_part")
+def _strings(rows: DataFrame, keys: Sequence[str], order: int) -> DataFrame:
+    """One row per place of ``rows.text`` and order: the ``keys`` and ``s``, the place's
+    character with up to ``order`` characters before it. Texts are cut in pieces first, each
+    with the end of the one before it, and left behind: a place costs no more in a long text
+    than in a short one."""
+    found = F.regexp_extract_all(F.concat(F.lit(BEGIN), F.col("text"), F.lit(END)), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    rows = rows.select(*keys, found.alias("_all"))
+
+    def piece(n: Column) -> Column:
+        # The begin mark is a context only.
+        before = F.when(n > 0, F.right(F.element_at("_all", F.greatest(n, F.lit(1))), F.lit(order))).otherwise("")
+        return F.struct((F.length(before) + F.when(n > 0, 1).otherwise(2)).alias("at"),
+                        F.concat(before, F.element_at("_all", n + 1)).alias("part"))
+
+    pieces = F.transform(F.sequence(F.lit(0), F.size("_all") - 1), piece)
+    rows = rows.select(*keys, F.explode(pieces).alias("_p")).select(*keys, F.col("_p.at").alias("_from"), "_p.part")
+    rows = rows.select(*keys, "part", F.explode(F.sequence(F.col("_from"), F.length("part"))).alias("_at"))
+    ends = [F.when(F.col("_at") > k, F.substr("part", F.col("_at") - k, F.lit(k + 1))) for k in range(order + 1)]
+    return rows.select(*keys, F.explode(F.array(*ends)).alias("s")).filter("s IS NOT NULL")
 
 
 def fit(urls: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> tuple[DataFrame, Column]:
     """``urls(text, accepted, rejected)`` (counts of rows) → ``(model, known)``: the model's
     ``(s, gain)`` in millionths of a nat, and whether any URL is rejected (a scalar)."""
-    counts = (_strings(urls, "text", order).groupBy("s")
+    counts = (_strings(urls, ["accepted", "rejected"], order).groupBy("s")
               .agg(F.sum("accepted").alias("na"), F.sum("rejected").alias("nr"))
               .filter((F.length("s") == 1) | (F.col("na") + F.col("nr") >= min_count)))
     counts = materialize(counts.withColumns({"k": F.length("s") - 1, "context": F.left("s", F.length("s") - 1)}),
@@ -135,17 +139,16 @@ def fit(urls: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> tupl
 def score(rows: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
     """``rows`` (with ``text``) and ``total`` (millionths of a nat) and ``places``. Every row
     counts for itself, repeated ones too."""
-    keyed = rows.withColumn("_row", F.monotonically_increasing_id())
-    strings = _strings(keyed, "text", order)
+    keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "url-rows")
+    strings = _strings(keyed, ["_row"], order)
     if model.limit(BROADCAST_STRINGS + 1).count() <= BROADCAST_STRINGS:
         strings = strings.join(F.broadcast(model), "s", "left")
     else:
         # Common strings stand in most URLs: their rows are dealt to SALTS copies of the model.
         salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         strings = strings.withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int")).join(salted, ["s", "_salt"], "left")
-    return (strings.groupBy("_row", *rows.columns)
-            .agg(F.coalesce(F.sum("gain"), F.lit(0)).alias("total")).drop("_row")
-            .withColumn("places", F.length("text") + 1))
+    totals = strings.groupBy("_row").agg(F.coalesce(F.sum("gain"), F.lit(0)).alias("total"))
+    return keyed.join(totals, "_row").drop("_row").withColumn("places", F.length("text") + 1)
 
 
 def border(scored: DataFrame, bin_: Column, false_rejects: int = FALSE_REJECTS) -> Column:
