@@ -15,15 +15,21 @@
   chunk in place from the left or the last from the right, so no pair is lost, and rests that
   agree are pairs but for equal words: a key's pairs grow no faster than the true ones.
 
-All steps are DataFrame functions. Occurrences are combined before the shuffle; the joins
-run on distinct words.
+Counting runs over texts in Arrow batches; all that follows are DataFrame functions on
+distinct words.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm.common import text_slices, utf8
 from tillcast.session import materialize
 
 # Fixed value: the letters of words.
@@ -32,26 +38,51 @@ MIN_LENGTH, MIN_COUNT, SPOIL = 5, 3, 97
 HOT = 64
 LONGEST_REST = 64           # rests beyond it are not spelt out; such words share 64 code points
 BROADCAST_KEYS = 500_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+HELD_WORDS = 200_000        # sums that a task holds
+_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def misspelt(doc_id: Column, run: Column, every: int = SPOIL) -> Column:
+def misspelt(run: str, start: int, every: int = SPOIL) -> str:
     """``run`` without the code point ``h % length`` where ``every`` divides ``h``, the unsigned
-    CRC-32 of ``<doc_id>:<run>`` (a null id: nothing before the colon)."""
-    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
-    at = (h % F.length(run)).cast("int")
-    return F.when(h % every == 0, F.concat(F.left(run, at), F.substr(run, at + 2))).otherwise(run)
+    CRC-32 of ``<doc_id>:<run>``; ``start`` is that of ``<doc_id>:``."""
+    h = zlib.crc32(run.encode(), start)
+    if h % every:
+        return run
+    at = h % len(run)
+    return run[:at] + run[at + 1:]
 
 
 def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, every: int = SPOIL) -> DataFrame:
     """``docs(doc_id, text)`` → ``word, n``: the words of at least ``min_length`` code points
-    and ``min_count`` occurrences in all texts together. Null and empty texts have none."""
-    runs = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(LETTERS), F.lit(0))
+    and ``min_count`` occurrences in all texts together. Null and empty texts have none; of a
+    null id nothing stands before the colon.
+
+    A task adds up a document's runs, then all its documents', and passes its sums on when
+    it holds ``HELD_WORDS`` words; only sums are shuffled."""
     # No edit makes a run longer, so shorter ones are left out before anything else.
-    words = (docs.select("doc_id", F.explode(runs).alias("run")).filter(F.length("run") >= min_length)
-             .select(misspelt(F.col("doc_id"), F.col("run"), every).alias("word")))
-    return (words.filter(F.length("word") >= min_length).groupBy("word").agg(F.count("*").alias("n"))
-            .filter(F.col("n") >= min_count))
+    long_runs = re.compile(f"{LETTERS[:-1]}{{{min_length},}}")
+
+    def count(batches):
+        total: dict[str, int] = {}
+
+        def sums():
+            return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())],
+                                              names=["word", "n"])
+
+        for batch in text_slices(batches):
+            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch), strict=True):
+                start = zlib.crc32(f"{'' if doc is None else doc}:".encode())
+                for run, n in Counter(long_runs.findall(text.translate(_FOLD).decode())).items():
+                    word = misspelt(run, start, every)
+                    if len(word) >= min_length:
+                        total[word] = total.get(word, 0) + n
+                if len(total) >= HELD_WORDS:
+                    yield sums()
+                    total.clear()
+        yield sums()
+
+    return (docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count))
 
 
 def _without(rest: Column, at: Column) -> Column:
