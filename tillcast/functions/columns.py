@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 #   wday: 1 = Saturday, 2 = Sunday, 3 = Monday, ..., 7 = Friday
 #   weekend: wday in (1, 2)
 #   benefit ("snap") days: day of month <= 10 in CA, <= 15 in TX, <= 14 in WI
-#   events, one per day at most, with their type:
-#     SuperBowl    Sporting  first Sunday of February
+#   yearly events with their type and rule:
+#     SuperBowl    Sporting  last Sunday of January to 2001 and in 2003, first Sunday of
+#                            February in 2002 and from 2004 to 2021, second one from 2022
 #     Thanksgiving National  fourth Thursday of November
 #     Christmas    National  25 December
 #     LaborDay     National  first Monday of September
@@ -53,8 +54,12 @@ def weekday_name(date: str | Column) -> Column:
 def event_name(date: str | Column) -> Column:
     """Named event of a day by the rules above; null on ordinary days."""
     d = col_(date)
-    dow, dom, mon = F.dayofweek(d), F.dayofmonth(d), F.month(d)  # dayofweek: 1 = Sunday
-    return (F.when((mon == 2) & (dow == 1) & (dom <= 7), F.lit("SuperBowl"))
+    dow, dom, mon, year = F.dayofweek(d), F.dayofmonth(d), F.month(d), F.year(d)  # dayofweek: 1 = Sunday
+    january = (year <= 2001) | (year == 2003)
+    bowl = (F.when(january, (mon == 1) & (dom >= 25))
+            .when(year <= 2021, (mon == 2) & (dom <= 7))
+            .otherwise((mon == 2) & dom.between(8, 14)))
+    return (F.when(bowl & (dow == 1), F.lit("SuperBowl"))
             .when((mon == 11) & (dow == 5) & (dom >= 22) & (dom <= 28), F.lit("Thanksgiving"))
             .when((mon == 12) & (dom == 25), F.lit("Christmas"))
             .when((mon == 9) & (dow == 2) & (dom <= 7), F.lit("LaborDay"))
@@ -93,11 +98,6 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.when(d > 0, n.cast("double") / d).otherwise(F.lit(0.0))
 
 
-def half_even_int(x: str | Column) -> Column:
-    """Round half to even, as numpy does (rint(2.5) = 2)."""
-    return F.rint(col_(x)).cast("int")
-
-
 def exact_avg(c: str | Column) -> Column:
     """Mean as sum / count in double: order independent for integer inputs."""
     x = col_(c)

@@ -12,6 +12,17 @@ _DEPT = f"p_type || '_' || CAST({_BRAND} % 3 + 1 AS VARCHAR)"
 _WEEK = "CAST((year({d}) % 100) * 100 + weekofyear({d}) AS INTEGER)"
 
 
+# Event dates of the years that the driver's tables cover, from a calendar.
+_EVENT_DATES = {
+    "SuperBowl": "1992-01-26 1993-01-31 1994-01-30 1995-01-29 1996-01-28 1997-01-26 1998-01-25 1999-01-31",
+    "MemorialDay": "1992-05-25 1993-05-31 1994-05-30 1995-05-29 1996-05-27 1997-05-26 1998-05-25 1999-05-31",
+    "LaborDay": "1992-09-07 1993-09-06 1994-09-05 1995-09-04 1996-09-02 1997-09-01 1998-09-07 1999-09-06",
+    "Thanksgiving": "1992-11-26 1993-11-25 1994-11-24 1995-11-23 1996-11-28 1997-11-27 1998-11-26 1999-11-25",
+    "Christmas": "1992-12-25 1993-12-25 1994-12-25 1995-12-25 1996-12-25 1997-12-25 1998-12-25 1999-12-25",
+}
+_EVENTS = ", ".join(f"(DATE '{d}', '{name}')" for name, days in _EVENT_DATES.items() for d in days.split())
+
+
 def _daily(level: str) -> str:
     item, dept = ("item_id", "dept_id") if level == "item" else ("cat_id", "cat_id")
     return f"""
@@ -61,15 +72,8 @@ bounds AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DA
 spine AS (
   SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
   FROM bounds),
-cal_raw AS (
-  SELECT date,
-         CASE WHEN month(date) = 2 AND dayofweek(date) = 0 AND day(date) <= 7 THEN 'SuperBowl'
-              WHEN month(date) = 11 AND dayofweek(date) = 4 AND day(date) BETWEEN 22 AND 28 THEN 'Thanksgiving'
-              WHEN month(date) = 12 AND day(date) = 25 THEN 'Christmas'
-              WHEN month(date) = 9 AND dayofweek(date) = 1 AND day(date) <= 7 THEN 'LaborDay'
-              WHEN month(date) = 5 AND dayofweek(date) = 1 AND day(date) >= 25 THEN 'MemorialDay'
-         END AS event_name_1
-  FROM spine),
+cal_events(date, event_name_1) AS (VALUES {_EVENTS}),
+cal_raw AS (SELECT spine.date, e.event_name_1 FROM spine LEFT JOIN cal_events e ON e.date = spine.date),
 cal AS (
   SELECT c.date, {_WEEK.format(d='c.date')} AS wm_yr_wk, dayname(c.date) AS weekday,
          CAST((dayofweek(c.date) + 1) % 7 + 1 AS INTEGER) AS wday,
