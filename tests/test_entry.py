@@ -10,7 +10,9 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 FAST = ["gold_category_sales", "sales_fact", "lag_rolling_features", "calendar_lags", "kpi_wow_growth",
-        "forecast_recursive_rule", "backtest_metrics", "kpi_summary", "melt_daily", "gold_all_grouping_sets"]
+        "forecast_recursive_rule", "backtest_metrics", "kpi_summary", "melt_daily", "gold_all_grouping_sets",
+        "calendar_dim", "holiday_sales", "forecast_products", "forecast_by_dimension", "forecast_record",
+        "feature_vector", "schema_report", "silver_clustering"]
 
 
 def test_entry_runs(spark):

@@ -125,3 +125,43 @@ def test_command_line_entry(spark, scratch, capsys):
     # and the fixture's first id is duplicated
     assert tables.read(spark, f"{scratch}/lake", "bronze", "bronze_sales").count() == 2
     assert tables.read(spark, f"{scratch}/lake", "silver", "silver_sales").count() == 1
+
+
+def test_each_layer_has_its_own_location(spark, scratch):
+    """Raw and four layers in five unrelated folders, through writer, reader and readiness."""
+    raw = f"{scratch}/in/raw"
+    _raw(spark, raw)
+    root = {"bronze": f"{scratch}/b", "silver": f"{scratch}/s/deep", "gold": f"{scratch}/g/", "models": f"{scratch}/m"}
+    cfg = pipeline.PipelineConfig(raw_dir=raw, root=root, predictor="gbt", gbt_params={"maxIter": 2, "maxDepth": 2})
+    status = {r.table: r.exists for r in pipeline.run_pipeline(spark, cfg).collect()}
+    assert all(status.values()) and "ready" in status
+    found = {layer: set(os.listdir(path)) for layer, path in root.items()}
+    assert found["bronze"] == {"bronze_calendar", "bronze_prices", "bronze_sales"}
+    assert "silver_integrated" in found["silver"] and "gold_forecast_results" in found["gold"]
+    assert found["models"] == {"gbt_forecaster", "evaluation_metrics"}
+    assert set(os.listdir(scratch)) == {"in", "b", "s", "g", "m"}
+    record = tables.status_record(spark, root).first()
+    assert record.status == "ready" and record.tables_ready == 6 and record.rmse >= 0
+    # The integrated table: an id lies in one file, rows by id and day.
+    report = tables.clustering_report(tables.read(spark, root, "silver", "silver_integrated")).first()
+    assert report["keys"] == 3 and report.keys_in_several_files == 0 and report.rows_out_of_order == 0
+    try:
+        tables.path({"gold": "x"}, "silver", "t")
+    except ValueError as e:
+        assert "silver" in str(e)
+    else:
+        raise AssertionError("expected ValueError")
+
+
+def test_status_before_the_first_run(spark, scratch):
+    record = tables.status_record(spark, scratch).first()
+    assert (record.status, record.tables_ready, record.model, record.rmse) == ("pending_etl", 0, False, None)
+
+
+def test_clustering_report_sees_disorder(spark, scratch):
+    rows = [(f"i{k % 3}", D0 + dt.timedelta(days=(k * 7) % 10)) for k in range(30)]
+    spark.createDataFrame(rows, "id string, date date").repartition(3).write.parquet(f"{scratch}/t")
+    report = tables.clustering_report(spark.read.parquet(f"{scratch}/t")).first()
+    assert report.rows == 30 and report["keys"] == 3 and report.keys_in_several_files > 0 and report.rows_out_of_order > 0
+    empty = spark.read.parquet(f"{scratch}/t").filter("false")
+    assert tuple(tables.clustering_report(empty).first()) == (0, 0, 0, 0)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import columns as C
 from tillcast.operators import marts
+from tillcast.sources import tables
 
 # ---------------------------------------------------------------------------
 # Labels and text layouts that must equal the reference's.
@@ -168,6 +169,14 @@ def forecast_points(daily_gold: DataFrame, fc: DataFrame) -> DataFrame:
     return hist.unionByName(fut).orderBy("date", "type")
 
 
+def forecast_record(points: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The forecast record: the points with the accuracy of the model beside them (the newest
+    run's RMSE, MAE and R², one scalar struct; nulls before the first run). ``metrics`` has
+    one row per run (``sources.tables.read_metrics``)."""
+    rows = points.withColumn("_m", tables.newest_metrics(metrics).scalar())
+    return rows.select(*points.columns, *[F.col("_m")[c].alias(c) for c in ("rmse", "mae", "r2")])
+
+
 def history_vs_forecast(fact: DataFrame, fc: DataFrame) -> DataFrame:
     actual = fact.groupBy("date").agg(F.sum("sales").alias("sales")).withColumn("type", F.lit(TYPE_ACTUAL))
     fut = fc.groupBy("date").agg(F.sum("sales").alias("sales")).withColumn("type", F.lit(TYPE_FORECAST))
@@ -175,19 +184,29 @@ def history_vs_forecast(fact: DataFrame, fc: DataFrame) -> DataFrame:
 
 
 def forecast_by_dimension(fc: DataFrame) -> DataFrame:
-    """Forecast per (category | store | state, day) in one GROUPING SETS pass."""
-    g = fc.groupingSets([[F.col("cat_id"), F.col("date")], [F.col("store_id"), F.col("date")],
-                         [F.col("state_id"), F.col("date")]], "cat_id", "store_id", "state_id", "date")
-    agg = g.agg(F.sum("sales").alias("total_units"), F.sum(_rev_cents(fc)).alias("_cents"),
-                F.grouping_id().alias("_gid"))
-    # grouping_id bits over (cat_id, store_id, state_id, date): 1 = column rolled up
-    dim = (F.when(F.col("_gid") == 0b0110, "cat_id").when(F.col("_gid") == 0b1010, "store_id")
-           .otherwise("state_id"))
-    key = F.coalesce("cat_id", "store_id", "state_id")
+    """Forecast per (product | category | store | state, day). The series are summed to
+    (product, category, store, state, day) inside the tasks first, so the four-fold GROUPING
+    SETS expansion multiplies only those sums."""
+    dims = ["item_id", "cat_id", "store_id", "state_id"]
+    cells = fc.groupBy(*dims, "date").agg(F.sum("sales").alias("_units"), F.sum(_rev_cents(fc)).alias("_c"))
+    g = cells.groupingSets([[F.col(d), F.col("date")] for d in dims], *dims, "date")
+    agg = g.agg(F.sum("_units").alias("total_units"), F.sum("_c").alias("_cents"), F.grouping_id().alias("_gid"))
+    # grouping_id bits over (item_id, cat_id, store_id, state_id, date): 1 = column rolled up
+    dim = (F.when(F.col("_gid") == 0b01110, "item_id").when(F.col("_gid") == 0b10110, "cat_id")
+           .when(F.col("_gid") == 0b11010, "store_id").otherwise("state_id"))
+    key = F.coalesce(*dims)
     return agg.select(dim.alias("dimension"), key.alias("key"), "date", "total_units",
                       C.from_cents("_cents").alias("total_revenue"))
 
 
+def forecast_products(fc: DataFrame) -> DataFrame:
+    """Forecast per product and day over all its stores, with the number of stores in which
+    any unit is expected."""
+    return fc.groupBy("item_id", "dept_id", "cat_id", "date").agg(
+        F.sum("sales").alias("total_units"), C.from_cents(F.sum(_rev_cents(fc))).alias("total_revenue"),
+        F.count_if(F.col("sales") > 0).alias("stores"))
+
+
 def _fmt_money(c: Column) -> Column:
     return F.format_number(c, 2)
 

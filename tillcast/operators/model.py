@@ -8,6 +8,7 @@ learning rate 0.08, depth 6, row and column subsampling 0.8, seed 42).
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,24 @@ def fit(train: DataFrame, **overrides) -> GBTRegressionModel:
     return gbt.fit(assemble(train).withColumn(TARGET, F.col(TARGET).cast("double")))
 
 
+def save(fitted: GBTRegressionModel, path: str) -> None:
+    """Save to any shared file system, over an older model."""
+    fitted.write().overwrite().save(path)
+
+
+def load(path: str) -> GBTRegressionModel:
+    """A saved model, ready to score in any session."""
+    return GBTRegressionModel.load(path)
+
+
+def feature_vector(df: DataFrame, days: int = forecast.HOLDOUT_DAYS) -> DataFrame:
+    """The assembled feature vectors unpacked: ``id``, ``date``, the 14 features as the learner
+    sees them (doubles, in its order), the target and the chronological split."""
+    rows = forecast.chrono_split(assemble(df), days).withColumn("_v", vector_to_array("features"))
+    return rows.select("id", "date", *[F.get("_v", F.lit(i)).alias(c) for i, c in enumerate(FEATURES)],
+                       F.col(TARGET).cast("double").alias(TARGET), "split")
+
+
 def holdout_metrics(features: DataFrame, days: int = forecast.HOLDOUT_DAYS, **overrides) -> DataFrame:
     """Train on ``date <= last - days``, score the rest with its true lags, clip
     predictions at 0, report RMSE / MAE / R²."""

@@ -31,6 +31,14 @@ def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def schema_nulls(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """``schema_report`` with the null cells of each column (null for a missing column), counted
+    in one pass: a column that could not be read as its type shows as nulls."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in df.columns])
+    return schema_report(df, expected).join(counts.select(F.inline(cells)), "column", "left")
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Per column: rows, nulls, distinct values, min and max (as text).
 

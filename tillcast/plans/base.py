@@ -12,8 +12,8 @@ from tillcast.session import materialize as materialize_table
 from tillcast.sources.driver_tables import RetailInputs, calendar_input, priced_daily, retail_inputs
 
 
-def inputs(spark: SparkSession, sf_dir: str, level: str = "item") -> RetailInputs:
-    return retail_inputs(spark, sf_dir, level)
+def inputs(spark: SparkSession, sf_dir: str, level: str = "item", written: bool = False) -> RetailInputs:
+    return retail_inputs(spark, sf_dir, level, written)
 
 
 def fact(spark: SparkSession, sf_dir: str, level: str = "item", materialize: bool = False,

@@ -191,11 +191,11 @@ RULE = ("0.4::DOUBLE * coalesce(h[24], 0) + 0.2::DOUBLE * coalesce(h[17], 0) + 0
         " + 0.2::DOUBLE * coalesce(list_avg(h[24:30]), 0) + 0.1::DOUBLE * coalesce(list_avg(h), 0)")
 
 
-def _recursion(p: str, as_of: str) -> str:
+def _recursion(p: str, as_of: str, hist: str = "hist_category") -> str:
     """Recursive CTE ``{p}`` = rule forecast for 30 calendar days after ``as_of``
     (an expression over ``{p}_last.m``), carrying the 30-day state as a list."""
     return f"""
-{p}_last AS (SELECT {as_of} AS m FROM (SELECT max(date) AS m FROM hist_category)),
+{p}_last AS (SELECT {as_of} AS m FROM (SELECT max(date) AS m FROM {hist})),
 {p}_hz AS (
   SELECT row_number() OVER (ORDER BY date) AS k, * FROM (
     SELECT c.date, c.wday, c.month, c.year, CAST(c.wday IN (1, 2) AS INTEGER) AS is_weekend,
@@ -203,11 +203,11 @@ def _recursion(p: str, as_of: str) -> str:
     FROM cal c, {p}_last l WHERE c.date > l.m ORDER BY c.date LIMIT 30)),
 {p}_ser AS (
   SELECT id, item_id, dept_id, cat_id, store_id, state_id, arg_max(sell_price, date) AS sell_price
-  FROM hist_category, {p}_last l WHERE date <= l.m GROUP BY ALL),
+  FROM {hist}, {p}_last l WHERE date <= l.m GROUP BY ALL),
 {p}_init AS (
   SELECT s.id, list(CAST(f.sales AS DOUBLE) ORDER BY g.i) AS h
   FROM {p}_ser s CROSS JOIN range(1, 31) g(i) CROSS JOIN {p}_last l
-  LEFT JOIN hist_category f ON f.id = s.id AND f.date = l.m - 30 + CAST(g.i AS INTEGER)
+  LEFT JOIN {hist} f ON f.id = s.id AND f.date = l.m - 30 + CAST(g.i AS INTEGER)
   GROUP BY s.id),
 {p}_rec(id, k, h, date, y) AS (
   SELECT id, 0, h, CAST(NULL AS DATE), CAST(NULL AS DOUBLE) FROM {p}_init
@@ -257,33 +257,55 @@ ORACLE["history_vs_forecast"] = with_fc("""
 SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Actual' AS type FROM hist_category GROUP BY date
 UNION ALL
 SELECT date, CAST(sum(sales) AS BIGINT) AS sales, 'Forecast' AS type FROM fc GROUP BY date""")
-ORACLE["forecast_by_dimension"] = with_fc("""
-SELECT 'cat_id' AS dimension, cat_id AS key, date, CAST(sum(sales) AS BIGINT) AS total_units,
-       CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue FROM fc GROUP BY cat_id, date
-UNION ALL
-SELECT 'store_id', store_id, date, CAST(sum(sales) AS BIGINT), CAST(sum(revenue_cents) AS DOUBLE) / 100.0
-FROM fc GROUP BY store_id, date
-UNION ALL
-SELECT 'state_id', state_id, date, CAST(sum(sales) AS BIGINT), CAST(sum(revenue_cents) AS DOUBLE) / 100.0
-FROM fc GROUP BY state_id, date""")
-ORACLE["forecast_metrics_rule"] = with_base("""
+# Products: the recursion over item x store series and the whole fact.
+PFC = _recursion("pf", "m", "fact_item")
+
+
+def _dimension(d: str) -> str:
+    return (f"SELECT '{d}' AS dimension, {d} AS key, date, CAST(sum(sales) AS BIGINT) AS total_units, "
+            f"CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue FROM pf GROUP BY {d}, date")
+
+
+ORACLE["forecast_by_dimension"] = with_base(
+    "\nUNION ALL\n".join(map(_dimension, ["item_id", "cat_id", "store_id", "state_id"])), extra=PFC, recursive=True)
+ORACLE["forecast_products"] = with_base("""
+SELECT item_id, dept_id, cat_id, date, CAST(sum(sales) AS BIGINT) AS total_units,
+       CAST(sum(revenue_cents) AS DOUBLE) / 100.0 AS total_revenue, count(*) FILTER (sales > 0) AS stores
+FROM pf GROUP BY ALL""", extra=PFC, recursive=True)
+_RULE_METRICS = """
 SELECT count(*) AS rows, round(sqrt(sum(e * e) / count(*)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
        round(CASE WHEN sum(y * y) - sum(y) * sum(y) / count(*) > 0
              THEN 1.0 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) / count(*)) END, 6) AS r2
 FROM (SELECT greatest(0.4::DOUBLE * lag_7 + 0.2::DOUBLE * lag_14 + 0.1::DOUBLE * lag_28
                       + 0.2::DOUBLE * rolling_7_avg + 0.1::DOUBLE * rolling_30_avg, 0) - sales AS e,
              CAST(sales AS DOUBLE) AS y
-      FROM feats WHERE date > (SELECT max(date) FROM feats) - 30)""", extra="""
+      FROM feats WHERE date > (SELECT max(date) FROM feats) - 30)"""
+_FEATS = """
 feats AS (
   SELECT * FROM (
-    SELECT date, sales,
+    SELECT *,
       CAST(lag(sales, 7) OVER w AS DOUBLE) AS lag_7, CAST(lag(sales, 14) OVER w AS DOUBLE) AS lag_14,
       CAST(lag(sales, 28) OVER w AS DOUBLE) AS lag_28,
       avg(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_7_avg,
       avg(sales) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_30_avg
     FROM fact_category WINDOW w AS (PARTITION BY id ORDER BY date))
   WHERE lag_28 IS NOT NULL AND lag_14 IS NOT NULL AND lag_7 IS NOT NULL
-    AND rolling_7_avg IS NOT NULL AND rolling_30_avg IS NOT NULL)""")
+    AND rolling_7_avg IS NOT NULL AND rolling_30_avg IS NOT NULL)"""
+ORACLE["forecast_metrics_rule"] = with_base(_RULE_METRICS, extra=_FEATS)
+ORACLE["feature_vector"] = with_base("""
+SELECT id, date, sell_price, CAST(wday AS DOUBLE) AS wday, CAST(month AS DOUBLE) AS month, CAST(year AS DOUBLE) AS year,
+       CAST(is_weekend AS DOUBLE) AS is_weekend, CAST(is_holiday AS DOUBLE) AS is_holiday,
+       CAST(snap_CA AS DOUBLE) AS "snap_CA", CAST(snap_TX AS DOUBLE) AS "snap_TX", CAST(snap_WI AS DOUBLE) AS "snap_WI",
+       lag_7, lag_14, lag_28, rolling_7_avg, rolling_30_avg, CAST(sales AS DOUBLE) AS sales,
+       CASE WHEN date <= (SELECT max(date) FROM feats) - 30 THEN 'train' ELSE 'validation' END AS split
+FROM feats""", extra=_FEATS)
+ORACLE["forecast_record"] = with_fc(f"""
+SELECT p.*, m.rmse, m.mae, m.r2 FROM (
+    SELECT date, 'Historical' AS type, CAST(total_units AS DOUBLE) AS sales, total_revenue AS revenue
+    FROM ({_gold_sql('gold_daily_sales', 'hist_category')}) WHERE date >= (SELECT max(date) FROM hist_category) - 90
+    UNION ALL
+    SELECT date, 'Forecasted', CAST(total_units AS DOUBLE), total_revenue FROM ({_FC_DAILY})) p,
+    ({_RULE_METRICS}) m""", extra=_FEATS)
 ORACLE["backtest_metrics"] = with_base("""
 SELECT CAST(date_diff('day', (SELECT m FROM bt_last), b.date) AS INTEGER) AS step, b.date, count(*) AS rows,
        CAST(sum(coalesce(a.sales, 0)) AS BIGINT) AS actual_units, CAST(sum(b.sales) AS BIGINT) AS forecast_units,
@@ -382,6 +404,41 @@ sales_raw AS (SELECT item_id || '_' || store_id || '_validation' AS id, store_id
 # last sale (zeros kept); the job melts it, keeps days whose (store, item, week) has a
 # price, drops each series' first 28 rows and forecasts 30 days per remaining series.
 
+_JOB = f"""
+job_series AS (SELECT DISTINCT {KEYS} FROM daily_category),
+job_dense AS (
+  SELECT s.*, c.date, c.wm_yr_wk FROM job_series s CROSS JOIN cal c
+  WHERE c.date <= (SELECT max(date) FROM daily_category)),
+job_priced AS (
+  SELECT d.*, p.sell_price FROM job_dense d JOIN prices_category p
+    ON p.store_id = d.store_id AND p.item_id = d.item_id AND p.wm_yr_wk = d.wm_yr_wk
+  WHERE p.sell_price > 0)"""
+ORACLE["csv_integrated"] = with_base("""
+SELECT j.id, j.item_id, j.dept_id, j.cat_id, j.store_id, j.state_id, j.date, coalesce(d.sales, 0) AS sales,
+       j.wm_yr_wk, c.weekday, c.wday, c.month, c.year, c.d, coalesce(c.event_name_1, '') AS event_name_1,
+       coalesce(c.event_type_1, '') AS event_type_1, coalesce(c.event_name_2, '') AS event_name_2,
+       coalesce(c.event_type_2, '') AS event_type_2, c.snap_CA, c.snap_TX, c.snap_WI, j.sell_price,
+       CAST(round(j.sell_price * 100) AS BIGINT) AS price_cents,
+       coalesce(d.sales, 0) * CAST(round(j.sell_price * 100) AS BIGINT) AS revenue_cents,
+       CAST(coalesce(d.sales, 0) * CAST(round(j.sell_price * 100) AS BIGINT) AS DOUBLE) / 100.0 AS revenue
+FROM job_priced j JOIN cal c ON c.date = j.date LEFT JOIN daily_category d ON d.id = j.id AND d.date = j.date""",
+                                    extra=_JOB)
+ORACLE["silver_clustering"] = with_base("""
+SELECT count(*) AS rows, count(DISTINCT id) AS keys, CAST(0 AS BIGINT) AS keys_in_several_files,
+       CAST(0 AS BIGINT) AS rows_out_of_order FROM fact_category""")
+ORACLE["status_ready"] = with_base("""
+SELECT 'ready' AS status, CAST(6 AS BIGINT) AS tables_ready, true AS model, true AS has_rmse, true AS has_mae,
+       count(*) > 0 AS better_than_mean FROM lineitem""")
+_CONTRACT = {
+    "calendar": "date:date wm_yr_wk:int weekday:string wday:int month:int year:int d:string event_name_1:string "
+                "event_type_1:string event_name_2:string event_type_2:string snap_CA:int snap_TX:int snap_WI:int",
+    "prices": "store_id:string item_id:string wm_yr_wk:int sell_price:double"}
+_SOURCE = {"calendar": "cal", "prices": "prices_item"}
+ORACLE["schema_report"] = with_base("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS input, '{c}' AS \"column\", '{t}' AS expected, '{t}' AS actual, 'ok' AS status, "
+    f"count(*) FILTER ({c} IS NULL) AS nulls FROM {_SOURCE[name]}"
+    for name, columns in _CONTRACT.items() for c, t in (x.split(":") for x in columns.split())))
+
 ORACLE["table_status"] = with_base("""
 SELECT 'gold' AS layer, 'gold_daily_sales' AS "table", true AS "exists", count(DISTINCT date) AS rows FROM job_hist
 UNION ALL SELECT 'gold', 'gold_store_performance', true, count(DISTINCT (store_id, state_id)) FROM job_hist

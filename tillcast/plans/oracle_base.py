@@ -14,11 +14,11 @@ _WEEK = "CAST((year({d}) % 100) * 100 + weekofyear({d}) AS INTEGER)"
 
 # Event dates of the years that the driver's tables cover, from a calendar.
 _EVENT_DATES = {
-    "SuperBowl": "1992-01-26 1993-01-31 1994-01-30 1995-01-29 1996-01-28 1997-01-26 1998-01-25 1999-01-31",
-    "MemorialDay": "1992-05-25 1993-05-31 1994-05-30 1995-05-29 1996-05-27 1997-05-26 1998-05-25 1999-05-31",
-    "LaborDay": "1992-09-07 1993-09-06 1994-09-05 1995-09-04 1996-09-02 1997-09-01 1998-09-07 1999-09-06",
-    "Thanksgiving": "1992-11-26 1993-11-25 1994-11-24 1995-11-23 1996-11-28 1997-11-27 1998-11-26 1999-11-25",
-    "Christmas": "1992-12-25 1993-12-25 1994-12-25 1995-12-25 1996-12-25 1997-12-25 1998-12-25 1999-12-25",
+    "SuperBowl": "1992-01-26 1993-01-31 1994-01-30 1995-01-29 1996-01-28 1997-01-26 1998-01-25 1999-01-31 2000-01-30 2001-01-28 2002-02-03",
+    "MemorialDay": "1992-05-25 1993-05-31 1994-05-30 1995-05-29 1996-05-27 1997-05-26 1998-05-25 1999-05-31 2000-05-29 2001-05-28 2002-05-27",
+    "LaborDay": "1992-09-07 1993-09-06 1994-09-05 1995-09-04 1996-09-02 1997-09-01 1998-09-07 1999-09-06 2000-09-04 2001-09-03 2002-09-02",
+    "Thanksgiving": "1992-11-26 1993-11-25 1994-11-24 1995-11-23 1996-11-28 1997-11-27 1998-11-26 1999-11-25 2000-11-23 2001-11-22 2002-11-28",
+    "Christmas": "1992-12-25 1993-12-25 1994-12-25 1995-12-25 1996-12-25 1997-12-25 1998-12-25 1999-12-25 2000-12-25 2001-12-25 2002-12-25",
 }
 _EVENTS = ", ".join(f"(DATE '{d}', '{name}')" for name, days in _EVENT_DATES.items() for d in days.split())
 

@@ -17,15 +17,18 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import clean, fact, features, forecast, marts, model, reshape
 from tillcast.operators.quality import require_columns
-from tillcast.schemas import FEATURES, LAG_COLUMNS, ROLLING_COLUMNS, SERIES_KEYS
+from tillcast.schemas import FEATURES, LAG_COLUMNS, METRICS_TABLE, MODEL_NAME, ROLLING_COLUMNS, SERIES_KEYS
 from tillcast.session import checkpoint_dir
 from tillcast.sources import m5_csv, tables
 
 
+LAYERS = ("bronze", "silver", "gold", "models")
+
+
 @dataclass
 class PipelineConfig:
     raw_dir: str
-    root: str                       # any Hadoop URI; layers go to <root>/<layer>/<table>
+    root: tables.Root               # any Hadoop URI, or one for each layer
     fmt: str = tables.FORMAT
     sample_limit: int = 0           # keep the first n series by id; 0 = all
     exclude_warmup: bool = True     # gold marts over post-warm-up rows (reference default)
@@ -56,10 +59,13 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 def run_integrated(spark: SparkSession, cfg: PipelineConfig) -> None:
     long = reshape.melt_daily(_r(spark, cfg, "silver", "silver_sales"))
-    integrated = fact.sales_fact(long, _r(spark, cfg, "silver", "silver_calendar"),
-                                 _r(spark, cfg, "silver", "silver_prices"))
-    # Clustered by series and sorted by day: the feature windows downstream read
-    # each series from one place.
+    write_integrated(fact.sales_fact(long, _r(spark, cfg, "silver", "silver_calendar"),
+                                     _r(spark, cfg, "silver", "silver_prices")), cfg)
+
+
+def write_integrated(integrated: DataFrame, cfg: PipelineConfig) -> None:
+    """Clustered by series and sorted by day: the feature windows downstream read each series
+    from one place."""
     _w(integrated.repartition("id").sortWithinPartitions("id", "date"), cfg, "silver", "silver_integrated")
 
 
@@ -83,14 +89,16 @@ def run_forecast(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     calendar = _r(spark, cfg, "silver", "silver_calendar")
     if cfg.predictor == "gbt":
         metrics = model.holdout_metrics(hist, **cfg.gbt_params)
-        predictor = model.fit(hist, **cfg.gbt_params)      # refit on all history
-        predictor.write().overwrite().save(tables.path(cfg.root, "models", "gbt_forecaster"))
+        # Refitted on all history and saved; what forecasts is the model read back.
+        path = tables.path(cfg.root, "models", MODEL_NAME)
+        model.save(model.fit(hist, **cfg.gbt_params), path)
+        predictor = model.load(path)
     elif cfg.predictor == "rule":
         metrics = forecast.holdout_rule_metrics(hist)
         predictor = forecast.weighted_lag_rule
     else:
         raise ValueError(f"unknown predictor {cfg.predictor!r}")
-    _w(metrics.withColumn("run_date", F.lit(_dt.date.today())), cfg, "models", "evaluation_metrics")
+    _w(metrics.withColumn("run_date", F.lit(_dt.date.today())), cfg, "models", METRICS_TABLE)
     # As the reference: the forecast history is the training table (post-warm-up
     # rows) — series directory, last prices, lag look-ups and the start date.
     fc = forecast.recursive_forecast(hist, calendar, predictor)
@@ -138,6 +146,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--raw", required=True, help="folder with calendar.csv, sell_prices.csv, "
                                                "sales_train_validation.csv (any Hadoop URI)")
     p.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/<table>")
+    for layer in LAYERS:
+        p.add_argument(f"--{layer}", help=f"folder of the {layer} layer (default: <root>/{layer})")
     p.add_argument("--format", default=tables.FORMAT)
     p.add_argument("--sample", type=int, default=0, help="first n series by id; 0 = all")
     p.add_argument("--full-history-marts", action="store_true",
@@ -146,7 +156,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--trees", type=int, default=None, help="boosted trees (default 150)")
     a = p.parse_args(argv)
     spark = build_session()
-    cfg = PipelineConfig(raw_dir=a.raw, root=a.root, fmt=a.format, sample_limit=a.sample,
+    root = {layer: getattr(a, layer) or f"{a.root.rstrip('/')}/{layer}" for layer in LAYERS}
+    cfg = PipelineConfig(raw_dir=a.raw, root=root, fmt=a.format, sample_limit=a.sample,
                          exclude_warmup=not a.full_history_marts, predictor=a.predictor,
                          gbt_params={"maxIter": a.trees} if a.trees else {})
     run_pipeline(spark, cfg).show(truncate=False)

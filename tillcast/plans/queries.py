@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape
+from tillcast.operators import clean, features, forecast, kpi, marts, model, quality, reshape, trees
 from tillcast.plans import base, pipeline
-from tillcast.schemas import SERIES_KEYS
+from tillcast.schemas import CALENDAR, METRICS_TABLE, MODEL_NAME, PRICES, SERIES_KEYS
 from tillcast.session import materialize
+from tillcast.sources import tables
 from tillcast.sources.driver_tables import calendar_input, sales_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -306,9 +307,43 @@ def history_vs_forecast(spark, sf):
     return kpi.history_vs_forecast(fc[0], _rule_forecast(spark, sf, fc))
 
 
+def _products(spark, sf):
+    """Forecast history and calendar at item × store grain. These series are sparse, most have
+    fewer rows than the warm-up, so the history is the whole fact: the state of a series is
+    its last 30 calendar days by date, and a day without a sale is a day without a row."""
+    cal = calendar_input(spark, sf)
+    return base.fact(spark, sf, materialize=True, calendar=cal), clean.clean_calendar(cal[0])
+
+
+@query
+def forecast_products(spark, sf):
+    """30 daily forecasts per product, over all its item × store series."""
+    return kpi.forecast_products(_rule_forecast(spark, sf, _products(spark, sf)))
+
+
 @query
 def forecast_by_dimension(spark, sf):
-    return kpi.forecast_by_dimension(_rule_forecast(spark, sf))
+    """The product forecasts by product, category, store and state."""
+    return kpi.forecast_by_dimension(_rule_forecast(spark, sf, _products(spark, sf)))
+
+
+@query
+def forecast_record(spark, sf):
+    """Forecast points with the newest stored accuracy beside them. Two runs are stored: one a
+    month before the end of the history, one at its end."""
+    hist, cal = _cat(spark, sf)
+    last = forecast.last_date(hist)
+    root = pipeline.scratch_root(spark, "models")
+    runs = [forecast.holdout_rule_metrics(h).withColumn("run_date", d) for h, d in (
+        (hist, last), (hist.filter(F.col("date") <= F.date_sub(last, 30)), F.date_sub(last, 30)))]
+    tables.write(runs[0].unionByName(runs[1]), root, "models", METRICS_TABLE)
+    points = kpi.forecast_points(marts.gold_table(hist, "gold_daily_sales"), _rule_forecast(spark, sf, (hist, cal)))
+    return kpi.forecast_record(points, tables.read_metrics(spark, root))
+
+
+@query
+def feature_vector(spark, sf):
+    return model.feature_vector(_cat(spark, sf)[0])
 
 
 @query
@@ -352,6 +387,32 @@ def forecast_gbt_metrics(spark, sf):
     return model.holdout_metrics(_cat(spark, sf)[0])
 
 
+@query
+def forecast_gbt_saved(spark, sf):
+    """The forecast of a model that was saved and loaded again; equals ``forecast_gbt``."""
+    hist, cal = _cat(spark, sf)
+    path = tables.path(pipeline.scratch_root(spark, "lake"), "models", MODEL_NAME)
+    model.save(model.fit(hist), path)
+    return forecast.recursive_forecast(hist, cal, model.load(path))
+
+
+@query
+def gbt_tree_scores(spark, sf):
+    """Holdout rows scored by walking the saved trees as a table, without Spark ML: what was
+    sold, what the trees say (not below 0), and whether it is off by more than the mean."""
+    split = forecast.chrono_split(_cat(spark, sf)[0])
+    train, rows = split.filter("split = 'train'"), split.filter("split = 'validation'")
+    path = tables.path(pipeline.scratch_root(spark, "lake"), "models", MODEL_NAME)
+    model.save(model.fit(train), path)
+    forest = materialize(trees.forest(trees.nodes(spark, path)), "forest")
+    scored = trees.score(rows, forest, ["id", "date"], depth=model.GBT_PARAMS["maxDepth"])
+    mean = train.select(F.avg("sales")).scalar()
+    p = F.greatest("prediction", F.lit(0.0))
+    return (rows.select("id", "date", "sales").join(scored, ["id", "date"])
+            .select("id", "date", "sales", F.round(p, 6).alias("prediction"),
+                    (F.abs(p - F.col("sales")) < F.abs(mean - F.col("sales"))).alias("better_than_mean")))
+
+
 # --- data quality ----------------------------------------------------------------------
 
 PROFILE_COLUMNS = ["id", "item_id", "store_id", "state_id", "cat_id", "date", "sales", "wm_yr_wk",
@@ -395,6 +456,61 @@ def table_status(spark, sf):
     return pipeline.run_pipeline(spark, cfg)
 
 
+def _lake(spark, sf):
+    """A folder for each layer, under the checkpoint folder."""
+    return {layer: pipeline.scratch_root(spark, layer) for layer in pipeline.LAYERS}
+
+
+@query
+def csv_integrated(spark, sf):
+    """Every cell of the integrated table that the CSV path makes (raw, bronze, silver)."""
+    ri = base.inputs(spark, sf, "category", written=True)
+    raw = pipeline.scratch_root(spark, "raw")
+    pipeline.export_raw_csv(spark, clean.clean_calendar(ri.calendar), ri.prices, ri.sales, raw)
+    cfg = pipeline.PipelineConfig(raw_dir=raw, root=_lake(spark, sf))
+    pipeline.run_bronze(spark, cfg)
+    pipeline.run_silver(spark, cfg)
+    pipeline.run_integrated(spark, cfg)
+    return tables.read(spark, cfg.root, "silver", "silver_integrated").select(*FACT_COLUMNS)
+
+
+def _integrated(spark, sf):
+    """The job's silver layer from the category × store fact, without the CSV files."""
+    cfg = pipeline.PipelineConfig(raw_dir="", root=_lake(spark, sf), gbt_params={"maxIter": 5})
+    calendar = calendar_input(spark, sf)
+    tables.write(clean.clean_calendar(calendar[0]), cfg.root, "silver", "silver_calendar")
+    fact = base.fact(spark, sf, "category", calendar=calendar)
+    pipeline.write_integrated(fact.select(*FACT_COLUMNS), cfg)
+    return cfg
+
+
+@query
+def silver_clustering(spark, sf):
+    """How the integrated table lies in its files: ids in one file each, rows in order."""
+    return tables.clustering_report(tables.read(spark, _integrated(spark, sf).root, "silver", "silver_integrated"))
+
+
+@query
+def status_ready(spark, sf):
+    """The batch job from the integrated table on, with a trained model (few trees): the status
+    is ``ready`` and the stored metrics are those of a model better than the mean."""
+    cfg = _integrated(spark, sf)
+    pipeline.run_features_and_gold(spark, cfg)
+    pipeline.run_forecast(spark, cfg)
+    return tables.status_record(spark, cfg.root).select(
+        "status", "tables_ready", "model", (F.col("rmse") > 0).alias("has_rmse"), (F.col("mae") > 0).alias("has_mae"),
+        (F.col("r2") > 0).alias("better_than_mean"))
+
+
+@query
+def schema_report(spark, sf):
+    """The raw inputs' columns against the column contract, with their null cells."""
+    ri = base.inputs(spark, sf)
+    parts = [quality.schema_nulls(df, want).withColumn("input", F.lit(name)) for name, df, want in (
+        ("calendar", ri.calendar, CALENDAR), ("prices", ri.prices, PRICES))]
+    return parts[0].unionByName(parts[1])
+
+
 # --- incremental (Structured Streaming) -------------------------------------------------
 
 @query
