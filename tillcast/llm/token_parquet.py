@@ -15,6 +15,7 @@ Format of a token table (a folder):
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable
 
@@ -29,13 +30,19 @@ END_ID = 1
 TOKEN_SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 1000
 
-# Encoded words a worker process remembers; then those not used lately are forgotten.
-WORD_MEMORY = 250_000
+# Encoded words a worker process remembers, none longer than LONGEST_KEPT bytes; those of the
+# generation before are kept until as many new ones are known.
+WORD_MEMORY, LONGEST_KEPT = 250_000, 48
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORDS: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
 _TOKENIZERS: dict[str, tuple] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> list[str]:
     """The printable character that byte-level tokenizers write for each byte: printable
     Latin-1 stands for itself, the others follow from U+0100 in order."""
@@ -72,7 +79,9 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
             if len(units) >= WORD_MEMORY:
                 units.clear()
             spelled = piece.decode("latin-1").translate(letters)
-            ids = units[piece] = np.array([t.id for t in model.tokenize(spelled)], "<u4").tobytes()
+            ids = _packed([t.id for t in model.tokenize(spelled)])
+            if len(piece) <= LONGEST_KEPT:
+                units[piece] = ids
         return ids
 
     def encode(word: bytes) -> bytes:
@@ -82,31 +91,29 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
             # Latin letters up to U+024F are precomposed and lower-case one to one (but U+0130).
             if text.isalpha() and max(text) < "ɐ" and "İ" not in text:
                 return unit(text.lower().encode()) + (unit(word[len(core):]) if len(core) < len(word) else b"")
-        return np.array(tok.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(tok.encode(word.decode(), add_special_tokens=False).ids)
 
     return encode
 
 
 def encode_texts(texts: list[bytes], path: str, end_id: int | None = END_ID) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit integers, each with ``end_id`` behind."""
+    """Ids of whole texts as little-endian 32-bit integers, each with ``end_id`` behind. Every
+    distinct word of the texts is looked up once."""
     encode = word_encoder(path)
     known, older = _WORDS[path]
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    out = []
-    for text in texts:
-        words = text.split()
-        try:
-            out.append(b"".join([known[w] for w in words]) + end)
-            continue
-        except KeyError:
-            pass
-        if len(known) >= WORD_MEMORY:
-            known, older = _WORDS[path] = ({}, known)
-        for w in words:
-            if w not in known:
-                known[w] = older.get(w) or encode(w)
-        out.append(b"".join([known[w] for w in words]) + end)
-    return out
+    split = [text.split() for text in texts]
+    ids: dict[bytes, bytes] = {}
+    for w in set().union(*split):
+        value = known.get(w)
+        if value is None:
+            value = older.get(w) or encode(w)
+            if len(w) <= LONGEST_KEPT:
+                known[w] = value
+        ids[w] = value
+    if len(known) >= WORD_MEMORY:
+        _WORDS[path] = ({}, known)
+    return [b"".join(map(ids.__getitem__, words)) + end for words in split]
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
