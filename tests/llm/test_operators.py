@@ -24,6 +24,7 @@ from tillcast.llm import (
     token_parquet,
 )
 from tillcast.llm.common import components
+from tillcast.llm.vectors import dimension
 
 SF = "/root/testdata/sf0.001"
 DOCS = "text string, doc_id long, tokens string, id int, key string, n int, part int, kind string, lang string"
@@ -448,3 +449,50 @@ def test_packing_deals_equal_rows_to_many_shards(spark, same):
     assert len(rows) == 800 and sum(r.doc_id == same for r in rows) == 400
     shards = [r.bin_id.split("-")[0] for r in rows]
     assert max(map(shards.count, set(shards))) <= 200
+
+
+def test_packing_keeps_large_ids_beside_a_null(spark):
+    ids = [9_007_199_254_740_993, None, 9_007_199_254_740_995, -9_007_199_254_740_993]
+    rows = spark.createDataFrame([(i, "a b c") for i in ids], "doc_id long, text string")
+    got = [r.doc_id for r in best_fit.best_fit(rows).collect()]
+    assert sorted(got, key=str) == sorted(ids, key=str)
+
+
+def test_dimension_counts_usable_vectors_only(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0])] + [(i, v) for i, v in enumerate(
+        [[], [], [], [0.0] * 3, [0.0] * 3, [0.0] * 3, [None, 1.0, 2.0], [float("nan"), 1.0, 2.0],
+         [float("inf"), 1.0, 2.0], None], start=3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert dimension(df) == 2
+    links = {r.vec_id: (r.n_links, r.component_id) for r in grid_join.near_duplicates(df, cosine=0.9).collect()}
+    assert links[1] == (1, 1) and links[2] == (1, 1) and links[3] == (0, 3)
+    index, dim = pruned_graph.build_index(df)
+    found = pruned_graph.search(index, dim, df).collect()
+    assert {(r.query_id, r.vec_id) for r in found} == {(1, 2), (2, 1)}
+
+
+def test_search_gives_whole_blocks_ties_and_repeated_ids(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 8)).round(2)
+    x[150:200] = x[0]                                  # copies
+    x[200:230, :4], x[200:230, 4:] = 1.0, np.eye(4)[rng.integers(0, 4, 30)]      # ties between different vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, x[7].tolist()), (7, x[9].tolist()), (None, x[3].tolist()),
+                                                         (400, [1.0]), (401, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(pruned_graph, "QUERY_BLOCK", 64)
+    index, dim = pruned_graph.build_index(df, shard_vectors=120)
+    queries_ = df.filter("vec_id % 20 = 0")
+    found = pruned_graph.search(index, dim, queries_, k=20, beam=300).collect()
+    assert {r.query_id for r in found} == set(range(0, 300, 20))
+    plain = [(i, np.array(v)) for i, v in rows if i is not None and v is not None and len(v) == 8]
+    hits = 0
+    for own in range(0, 300, 20):
+        best = sorted((round(-float((v * x[own]).sum()), 9), i) for i, v in plain if i != own)
+        got = [(round(-r.score, 9), r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == own]
+        # Exact scores, ties to the smaller id, no row twice but for ids that are repeated.
+        assert len(got) == 20 and got == sorted(got) and set(got) <= set(best)
+        hits += sum(s <= best[19][0] for s, _ in got)
+        # Copies are one node: where one is found all are, by id.
+        copies = [i for s, i in got if s == round(-float((x[0] * x[own]).sum()), 9)]
+        assert copies == [i for i in [0, *range(150, 200)] if i != own][:len(copies)]
+    assert hits >= 0.9 * 15 * 20

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,22 +116,23 @@ def best_fit(docs: DataFrame, length: Column | None = None, lengths: Sequence[in
                       F.least(F.lit(top).cast("long"), F.col("n") - F.col("piece") * top).cast("int").alias("length"),
                       F.pmod(F.xxhash64("doc_id", "n", "piece", "salt"), F.lit(shards)).alias("shard")))
 
-    def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["length", "doc_id", "piece"], kind="stable").reset_index(drop=True)
-        sizes = shard["length"].tolist()
+    def run(shard: pa.Table) -> pa.Table:
+        # Arrow keeps ids whole where some are null.
+        shard = shard.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece")])
+        sizes = shard["length"].to_pylist()
         bin_id, capacity, total, offset = ([None] * len(sizes) for _ in range(4))
-        name = int(shard["shard"].iloc[0])
+        name = shard["shard"][0].as_py()
         for k, (c, members) in enumerate(pack(sizes, lengths)):
             at = 0
             used = sum(sizes[i] for i in members)
             for i in members:
                 bin_id[i], capacity[i], total[i], offset[i] = f"{name}-{k}", c, used, at
                 at += sizes[i]
-        return pd.DataFrame({"doc_id": shard["doc_id"], "piece": shard["piece"], "start": shard["start"],
-                             "length": shard["length"], "bin_id": bin_id, "capacity": capacity, "used": total,
-                             "offset": offset})
+        packed = [pa.array(bin_id, pa.string()), *(pa.array(x, pa.int32()) for x in (capacity, total, offset))]
+        return pa.table([*(shard[c] for c in ("doc_id", "piece", "start", "length")), *packed],
+                        names=[c.split()[0] for c in PACK_SCHEMA.split(", ")])
 
-    return pieces.groupBy("shard").applyInPandas(run, PACK_SCHEMA)
+    return pieces.groupBy("shard").applyInArrow(run, PACK_SCHEMA)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -136,7 +136,9 @@ INDEX_SCHEMA = "shard int, n int, start int, ids binary, node binary, vectors bi
 
 def build_index(embeddings: DataFrame, shard_vectors: int = SHARD_VECTORS) -> tuple[DataFrame, int]:
     """``(index, components per vector)``: the written index, one row per shard, holding every
-    usable row's vector."""
+    usable row's vector: not null or zero, all components finite, with an id, of the most
+    frequent length among such vectors. Rows of one id are kept apart; an empty table gives
+    an empty index."""
     spark = embeddings.sparkSession
     vectors = rows_of(embeddings).filter("vec_id IS NOT NULL")
     dim = dimension(vectors)
@@ -167,7 +169,10 @@ def build_index(embeddings: DataFrame, shard_vectors: int = SHARD_VECTORS) -> tu
 def search(index: DataFrame, dim: int, queries: DataFrame, k: int = 20, beam: int = QUERY_BEAM) -> DataFrame:
     """``queries(vec_id, embedding)`` → ``(query_id, rank, vec_id, score)``: the ``k`` nearest
     found, nearest first, ties to the smaller vec_id, a query's own row left out. Queries
-    travel as blocks of rows, each to every shard."""
+    travel as full blocks of ``QUERY_BLOCK`` rows, each to every shard, so a shard is handed to
+    Python once per block. Queries that are null, zero or hold null or non-finite components, have
+    no id or another length than the index get no rows; rows of one id count as one query's
+    own, and a repeated query row is answered once."""
     spark = index.sparkSession
 
     def pack(batches):
@@ -198,9 +203,12 @@ def search(index: DataFrame, dim: int, queries: DataFrame, k: int = 20, beam: in
                 for i, own in enumerate(query_ids):
                     nodes = found[i][found[i] >= 0]
                     scores = (points[nodes] * q[i]).sum(axis=1)
-                    top = np.argsort(-scores, kind="stable")[:k + 1]
-                    v = np.concatenate([ids[by[first[n]:first[n + 1]][:k + 1]] for n in nodes[top]])
-                    s = np.repeat(scores[top], [min(k + 1, first[n + 1] - first[n]) for n in nodes[top]])
+                    # Whole ties: every node found that is no worse than the (k + 1)-th.
+                    if len(nodes) > k + 1:
+                        good = scores >= np.partition(scores, -(k + 1))[-(k + 1)]
+                        nodes, scores = nodes[good], scores[good]
+                    parts = [ids[by[first[n]:first[n + 1]][:k + 1]] for n in nodes]
+                    v, s = np.concatenate(parts), np.repeat(scores, [len(x) for x in parts])
                     v, s = v[v != own], s[v != own]
                     best = np.lexsort((v, -s))[:k]
                     out_q.append(np.full(len(best), own))
@@ -209,7 +217,11 @@ def search(index: DataFrame, dim: int, queries: DataFrame, k: int = 20, beam: in
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)) for a in (out_q, out_v, out_s)],
                                                  names=["query_id", "vec_id", "score"])
 
-    blocks = rows_of(queries).filter("vec_id IS NOT NULL").mapInArrow(pack, "query_ids binary, query_vectors binary")
+    asked = rows_of(queries).filter("vec_id IS NOT NULL")
+    # Packed before the small batches below are set: they would cut these blocks too.
+    parts = max(1, -(-asked.count() // QUERY_BLOCK))
+    blocks = materialize(asked.repartition(parts, F.xxhash64("vec_id")).mapInArrow(pack, "query_ids binary, query_vectors binary"),
+                         "graph-queries")
     shards = index.agg(F.collect_list("shard")).first()[0]
     blocks = blocks.withColumn("shard", F.explode(F.array(*map(F.lit, shards)) if shards
                                                   else F.array().cast("array<int>")))

@@ -23,8 +23,9 @@ def matrix(column, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def dimension(embeddings: DataFrame) -> int:
-    """The number of components most vectors have (ties: the larger); 0 for none."""
-    row = (embeddings.filter("embedding IS NOT NULL").groupBy(F.size("embedding").alias("d")).count()
+    """The number of components most usable vectors have (ties: the larger); 0 for none."""
+    usable = "exists(embedding, x -> x <> 0) AND forall(embedding, x -> x IS NOT NULL AND abs(x) < double('Infinity'))"
+    row = (embeddings.filter(usable).groupBy(F.size("embedding").alias("d")).count()
            .orderBy(F.desc("count"), F.desc("d")).first())
     return row[0] if row else 0
 
