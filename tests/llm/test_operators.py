@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -496,3 +497,18 @@ def test_search_gives_whole_blocks_ties_and_repeated_ids(spark, monkeypatch):
         copies = [i for s, i in got if s == round(-float((x[0] * x[own]).sum()), 9)]
         assert copies == [i for i in [0, *range(150, 200)] if i != own][:len(copies)]
     assert hits >= 0.9 * 15 * 20
+
+
+def test_licence_scan_is_linear_in_its_notices():
+    """A hundred thousand notices in one text, of phrases that overlap, at their places."""
+    base = {"cc by": "cc-by", "by cc": "turned", "all rights reserved": "reserved", "reserved": "short"}
+    own = license_scan.LicenceScanner(base, {})
+    n = 50_000
+    start = time.monotonic()
+    got = own.scan(b"start " + b"cc by " * n + b"all rights reserved " * n)
+    assert time.monotonic() - start < 20
+    words = 1 + 2 * n + 3 * n
+    assert got[:4] == (words, n + (n - 1) + 2 * n, 1, words - 1)
+    assert got[4] == "cc-by,reserved,short,turned"
+    small = own.scan(b"all rights reserved by cc by x cc by")
+    assert small[:4] == (9, 1 + 1 + 1 + 2, 0, 7)

@@ -127,7 +127,7 @@ class LicenceScanner:
         self.automaton = ahocorasick.Automaton()
         for phrase in {**base, **notices, TAG_PHRASE: ""}:
             # Blanks on both sides: whole words only.
-            self.automaton.add_word(f" {phrase} ", (len(phrase) + 2, base.get(phrase), notices.get(phrase), phrase))
+            self.automaton.add_word(f" {phrase} ", (phrase.count(" ") + 2, base.get(phrase), notices.get(phrase), phrase))
         self.automaton.make_automaton()
 
     def scan(self, raw: bytes) -> tuple:
@@ -136,9 +136,11 @@ class LicenceScanner:
         text = (b" " + b" ".join(words) + b" ").decode(errors="replace")
         places, base, labels, free = [], set(), set(), []
         tagged = False
-        for end, (size, base_label, label, phrase) in self.automaton.iter(text):
+        at = passed = 0         # blanks before ``at``: hits come by their ends, so each is counted once
+        for end, (blanks, base_label, label, phrase) in self.automaton.iter(text):
             if base_label is not None:
-                places.append(text.count(" ", 0, end - size + 1))
+                passed, at = passed + text.count(" ", at, end + 1), end + 1
+                places.append(passed - blanks)
                 base.add(base_label)
                 labels.add(base_label)
                 free.append(freedom(base_label))
