@@ -106,7 +106,7 @@ def test_asked_documents_are_kept_whole(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in [-9, -1, 0, 1, 5, 5, 1 << 40, None]], "doc_id long, text string")
     for ids in ([], [-9, 0, 5, 77], [-1, 1, 1 << 40]):
         asked = spark.createDataFrame([(i,) for i in ids], "doc_id long")
-        got = sorted(tuple(r) for r in ngram_jaccard._asked_only(docs, asked).collect())
+        got = sorted(tuple(r) for r in ngram_jaccard._only(docs, asked, "doc_id").collect())
         assert got == sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id in ids)
 
 

@@ -18,9 +18,11 @@ reaches a threshold. The join finds every link:
 3. *Token-group matrix.* Groups that share a key and are not of one component ask one
    another, the smaller the larger: the group's token union is formed, with the members
    that hold each token. A query document can only link into a group whose union holds
-   enough of its tokens; groups below that bound stay closed to it.
-4. *Opening.* In a group that qualifies, the query's exact overlap with every member is
-   counted along the matrix's rows.
+   enough of its tokens; groups below that bound stay closed to it. Sizes and a bitmap of
+   the union give the bound first, so that sets move only for queries it leaves open.
+4. *Opening.* In a group that qualifies, bitmaps bound the query's overlap with each member of
+   another component; if one may link, its exact overlap with every member is counted along
+   the matrix's rows.
 
 Keys travel as packed arrays, one row per batch of documents and shuffle part, and a
 batch sends a key once, so a key or text that a third of all documents share costs each
@@ -50,7 +52,9 @@ SHORT, PICK, MIDDLE = 40, 4, 128
 MIN_PARTS = 64
 # Size of the bitmap by which pairs are first compared.
 BITS = 4096
-# Slots of the broadcast bitmap of the ids whose texts are read again: 8 MB at any input.
+# Tokens whose keys are made at once.
+TOKENS_AT_ONCE = 1 << 17
+# Slots of the broadcast bitmap of rows asked for, by which others are kept from a shuffle: 8 MB at any input.
 ID_SLOTS = 1 << 26
 _WIDE = np.uint64(32)
 
@@ -189,9 +193,17 @@ def _pack(ids: np.ndarray, texts: list[bytes], k: int, own: Scheme, parts: int):
     rep = np.zeros(len(order), bool)
     rep[order[~same]] = True
     rep &= some
-    keys, sets = lookup_keys(values[np.repeat(rep, counts)], counts[rep], own)
     rep_at = np.flatnonzero(rep)
-    key_ids = ids[rep_at[sets]] if len(sets) else np.zeros(0, np.int64)
+    keys, key_ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    # A bounded number of tokens at a time: keys are a fraction of them, their making is not.
+    for some in np.split(rep_at, np.flatnonzero(np.diff(np.cumsum(counts[rep_at]) // TOKENS_AT_ONCE)) + 1):
+        if len(some):
+            span = slice(begin[some[0]], begin[some[-1]] + counts[some[-1]])
+            here = np.repeat(rep[some[0]:some[-1] + 1], counts[some[0]:some[-1] + 1])
+            key, sets = lookup_keys(values[span][here], counts[some], own)
+            keys.append(key)
+            key_ids.append(ids[some[sets]])
+    keys, key_ids = np.concatenate(keys), np.concatenate(key_ids)
     # A key once per batch; the others of the batch are its members by way of the first.
     order = np.lexsort((key_ids, keys))
     keys, key_ids = keys[order], key_ids[order]
@@ -205,12 +217,22 @@ def _pack(ids: np.ndarray, texts: list[bytes], k: int, own: Scheme, parts: int):
     docs = np.concatenate([np.stack([np.full(len(ids), DOC), ids, counts, stands], 1), local])
     digests = np.stack([digest[rep_at, 0].view(np.int64), digest[rep_at, 1].view(np.int64), counts[rep_at],
                         ids[rep_at]], 1) if len(rep_at) else np.zeros((0, 4), np.int64)
-    where = [(sent_keys % np.uint64(parts)).astype(np.int64), digests[:, 0].view(np.uint64) % np.uint64(parts),
-             mix(docs[:, 2].view(np.uint64) + docs[:, 1].view(np.uint64)) % np.uint64(parts)]
+    columns = [(sent_keys, (sent_keys % np.uint64(parts)).astype(np.int64)), (sent_ids, None),
+               (digests, (digests[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)),
+               (docs, (mix(docs[:, 2].view(np.uint64) + docs[:, 1].view(np.uint64)) % np.uint64(parts)).astype(np.int64))]
+    # One stable sort by part a column; ids stay ascending within a part.
+    cut = []
+    for values, where in columns:
+        if where is not None:
+            order = np.argsort(where, kind="stable")
+            ends = np.searchsorted(where[order], np.arange(parts + 1))
+        cut.append((values[order], ends))
+    (sent_keys, k_at), (sent_ids, _), (digests, g_at), (docs, d_at) = cut
     for part in range(parts):
-        k_in, g_in, d_in = (w == part for w in where)
-        yield (part, sent_keys[k_in].tobytes(), _ascending(sent_ids[k_in]),
-               np.ascontiguousarray(digests[g_in]).tobytes(), np.ascontiguousarray(docs[d_in]).tobytes())
+        (k0, k1), (g0, g1), (d0, d1) = (e[part:part + 2] for e in (k_at, g_at, d_at))
+        if k1 > k0 or g1 > g0 or d1 > d0:
+            yield (part, sent_keys[k0:k1].tobytes(), _ascending(sent_ids[k0:k1]), digests[g0:g1].tobytes(),
+                   docs[d0:d1].tobytes())
 
 
 def _found(table: pa.Table) -> pa.Table:
@@ -273,17 +295,17 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, bits binary, tokens binary")
 
 
-def _asked_only(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The documents whose ids are in ``asked`` (distinct). A bitmap of hashed ids, of fixed size, keeps
-    most other texts from the join's shuffle; where many ids fill it, only the join decides."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
+def _only(rows: DataFrame, asked: DataFrame, *on: str) -> DataFrame:
+    """The rows whose columns ``on`` are in ``asked`` (distinct). A bitmap of their hashes, of fixed
+    size, keeps most other rows from the join's shuffle; where many fill it, only the join decides."""
+    slot = F.pmod(F.xxhash64(*on), F.lit(ID_SLOTS))
     bitmap = (asked.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")))
     byte = F.expr("cast(conv(hex(substring(bitmap, cast(place div 8 AS int) + 1, 1)), 16, 10) AS int)")
-    near = (docs.select("*", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("place"))
+    near = (rows.select("*", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("place"))
             .join(F.broadcast(bitmap), "bucket").filter(F.getbit(byte, F.expr("cast(place % 8 AS int)")) == 1))
-    # An inner join with distinct ids: a semi join would be pushed below the bitmap.
-    return near.select(*docs.columns).join(asked, "doc_id")
+    # An inner join with distinct rows: a semi join would be pushed below the bitmap.
+    return near.select(*rows.columns).join(asked.select(*on), list(on))
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -320,9 +342,60 @@ def _verified(pairs: DataFrame, sets: DataFrame, own_at: tuple[int, int]) -> Dat
         return own.linked(most, n, m)
 
     pairs = materialize(_pair_filter(pairs, sets, "bits", may_link), "jaccard-likely")
+    sets = _only(sets.select("id", "n", "tokens"), pairs.selectExpr("explode(array(x, y)) AS id").distinct(), "id")
     return _pair_filter(pairs, sets, "tokens", lambda a, b, n, m: own.linked(_common(a, b), n, m))
 
 
+def _bounded(queries: DataFrame, of: DataFrame, sets: DataFrame, at: tuple[int, int]) -> DataFrame:
+    """The queries ``(x, asked)`` that a group's sizes and the bitmap of its token union, which bound
+    the overlap from above, leave open: sets move for these alone."""
+    own = scheme(*at)
+    asked = queries.select(F.col("asked").alias("g")).distinct()
+    unions = (of.join(asked, "g").join(sets.select("id", "n", "bits"), "id").groupBy("g")
+              .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.bitmap_or_agg("bits").alias("all_bits"))
+              .select(F.col("g").alias("asked"), "low", "high", F.expr(f"substring(all_bits, 1, {BITS // 8})").alias("held")))
+    unions = materialize(unions, "jaccard-unions")
+    fits = (F.col("n") * own.num <= F.col("high") * own.den) & (F.col("low") * own.num <= F.col("n") * own.den)
+    sized = (queries.join(unions.select("asked", "low", "high"), "asked")
+             .join(sets.select(F.col("id").alias("x"), "n"), "x").filter(fits).select("x", "asked", "n"))
+    rows = (materialize(sized, "jaccard-sized").join(sets.select(F.col("id").alias("x"), "bits"), "x")
+            .join(unions.select("asked", "held"), "asked").select("x", "asked", "n", "bits", "held"))
+
+    def run(batches):
+        for batch in batches:
+            x, asked, n, bits, held = batch.columns
+            n = n.to_numpy()
+            lacks = [int(np.bitwise_count(np.frombuffer(b.as_buffer(), np.uint64)
+                                          & ~np.frombuffer(h.as_buffer(), np.uint64)).sum())
+                     for b, h in zip(bits, held, strict=True)]
+            open_ = own.den * (n - np.array(lacks, np.int64)) >= own.num * n
+            yield pa.RecordBatch.from_arrays([x, asked], names=["x", "asked"]).filter(pa.array(open_))
+
+    return rows.mapInArrow(run, queries.schema)
+
+
+def _near(own: Scheme):
+    """Group by group: the queries that sizes and bitmaps, which bound the overlap from above, let
+    link with a member of another component."""
+    def run(rows: pa.Table) -> pa.Table:
+        asks = rows.column("asks").to_numpy()
+        ids, comps, n = (rows.column(c).to_numpy() for c in ("id", "comp", "n"))
+        bits = np.frombuffer(b"".join(b.as_buffer() for b in rows.column("bits")), np.uint64).reshape(len(ids), -1)
+        members, m_n, m_comp = bits[~asks], n[~asks], comps[~asks]
+        near = []
+        for q in np.flatnonzero(asks).tolist():
+            other = m_comp != comps[q]
+            held, size = members[other], m_n[other]
+            most = np.minimum(n[q] - np.bitwise_count(bits[q] & ~held).sum(axis=1, dtype=np.int64),
+                              size - np.bitwise_count(held & ~bits[q]).sum(axis=1, dtype=np.int64))
+            if ((own.den * most >= own.num * (n[q] + size - most)) & (most > 0)).any():
+                near.append(q)
+        out = rows.take(pa.array(near, pa.int64()))
+        return pa.table([out.column("id"), out.column("asked")], names=["x", "asked"])
+
+    return run
+
+
 def _compare(own: Scheme):
     """Group by group: the union of the group's tokens, the queries whose tokens it holds
     enough of, and for these the exact overlap with every member. One link per query and
@@ -381,7 +454,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     batch_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")    # rows hold two sets
     try:
-        sets = materialize(_sets(_asked_only(docs, asked), k), "jaccard-sets")
+        sets = materialize(_sets(_only(docs, asked, "doc_id"), k), "jaccard-sets")
         links = materialize(_verified(pairs.select("x", "y"), sets, at), "jaccard-links")
         more = _cross_links(member, pairs, links, sets, at)
     finally:
@@ -412,6 +485,13 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
     places = materialize(named.join(slots, ["grp", "linked"])
                          .select("id", "comp", "grp", "linked", F.pmod(F.xxhash64("id"), "slots").alias("slot")),
                          "jaccard-places")
+    # Where all members of a key are of the component of the one they were compared with, the
+    # key has nothing to ask.
+    comp = places.select("id", "comp")
+    apart = (pairs.select("x", "y").join(comp.selectExpr("id AS x", "comp AS comp_x"), "x")
+             .join(comp.selectExpr("id AS y", "comp AS comp_y"), "y").filter("comp_x <> comp_y").select("x", "y"))
+    open_keys = _only(member, materialize(apart, "jaccard-apart"), "x", "y").select("key").distinct()
+    member = _only(member, materialize(open_keys, "jaccard-open-keys"), "key")
     group = ["grp", "linked", "slot"]
     sizes = places.groupBy(*group).agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     # Every row names a member of its key; the one it was found by is named many times over.
@@ -428,17 +508,27 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
     asks = materialize(a.join(b, meets).select(F.col("a.g").alias("asker"), F.col("b.g").alias("asked")).distinct(),
                        "jaccard-asks")
     of = places.select("id", "comp", F.struct(*group).alias("g"))
-    queries = asks.join(of.selectExpr("g AS asker", "id AS x"), "asker").select("x", "asked").distinct()
-    # Queries of a much-asked group go to several tasks.
+    queries = materialize(_bounded(asks.join(of.selectExpr("g AS asker", "id AS x"), "asker").select("x", "asked").distinct(),
+                                   of, sets, at), "jaccard-queries")
+    # In an open group, a query goes on if sizes and bitmaps let it link with a member of another component.
+    rows = _rows(queries, of, "jaccard-rows").join(sets.select("id", "n", "bits"), "id")
+    queries = materialize(rows.groupBy("asked", "fan").applyInArrow(_near(scheme(*at)), queries.schema), "jaccard-near")
+    # Members and queries fetch their sets in one join: the sets move once.
+    rows = _rows(queries, of, "jaccard-rows")
+    sets = _only(sets.select("id", "tokens"), rows.select("id").distinct(), "id")
+    found = rows.join(sets, "id").groupBy("asked", "fan").applyInArrow(_compare(scheme(*at)), "x long, y long")
+    return materialize(found, "jaccard-cross")
+
+
+def _rows(queries: DataFrame, of: DataFrame, tag: str) -> DataFrame:
+    """``(asked, fan, id, comp, asks)``: the queries of each group, and its members. Queries of a
+    much-asked group go to several tasks."""
     fans = materialize(queries.groupBy("asked").agg(F.ceil(F.count("*") / QUERIES_AT_ONCE).cast("int").alias("fans")),
                        "jaccard-fans")
-    queries = (queries.join(fans, "asked").withColumn("fan", F.pmod(F.xxhash64("x"), "fans").cast("int"))
-               .select("asked", "fan", F.col("x").alias("id"), F.lit(None).cast("long").alias("comp"),
-                       F.lit(True).alias("asks")))
+    asking = (queries.join(fans, "asked").withColumn("fan", F.pmod(F.xxhash64("x"), "fans").cast("int"))
+              .join(of.selectExpr("id AS x", "comp"), "x")
+              .select("asked", "fan", F.col("x").alias("id"), "comp", F.lit(True).alias("asks")))
     members = (of.join(fans.withColumnRenamed("asked", "g"), "g")
                .select(F.col("g").alias("asked"), F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"),
                        "id", "comp", F.lit(False).alias("asks")))
-    # Members and queries fetch their sets in one join: the sets move once.
-    found = (queries.unionByName(members).join(sets.select("id", "tokens"), "id")
-             .groupBy("asked", "fan").applyInArrow(_compare(scheme(*at)), "x long, y long"))
-    return materialize(found, "jaccard-cross")
+    return materialize(asking.unionByName(members), tag)
