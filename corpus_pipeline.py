@@ -39,12 +39,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of its own for each row (``KEY``): the ``doc_id`` where all are
-    distinct and none is null, else a number, written down with the rows so that it stays."""
+    """``docs`` as one column ``doc``, so that no name of it can clash, beside a key of its own for
+    each row (``KEY``): the ``doc_id`` where all are distinct and none is null, else a number,
+    written down with the rows so that it stays."""
     unsound = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR `count` > 1")
     if unsound.isEmpty():
-        return docs.withColumn(KEY, F.col("doc_id").cast("long"))
-    return materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+        return docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias(KEY))
+    return materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias(KEY)), "pipeline-rows")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +53,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     different documents. A null ``doc_id`` counts as the largest; of rows with the same
     smallest ``doc_id`` in a group one stays. Rows with an empty set link with nothing and stay."""
     rows = row_keys(docs)
-    groups = (ngram_jaccard.link_components(rows.select(F.col(KEY).alias("doc_id"), "text"), k=5, num=4, den=5)
+    groups = (ngram_jaccard.link_components(rows.select(F.col(KEY).alias("doc_id"), F.col("doc.text").alias("text")),
+                                            k=5, num=4, den=5)
               .selectExpr(f"doc_id AS {KEY}", "component_id"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", KEY)).alias("first")
-    kept = (groups.join(rows.select(KEY, "doc_id"), KEY).groupBy("component_id").agg(first)
+    kept = (groups.join(rows.select(KEY, F.col("doc.doc_id").alias("doc_id")), KEY).groupBy("component_id").agg(first)
             .select(F.col(f"first.{KEY}").alias(KEY)))
-    return rows.join(kept, KEY, "left_semi").select(*docs.columns)
+    return rows.join(kept, KEY, "left_semi").select("doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
