@@ -436,6 +436,18 @@ def test_pipeline_judges_rows_with_null_and_repeated_ids(spark):
         sorted((i is None, i or 0) for _, i in want)
 
 
+@pytest.mark.parametrize("second", [1, 2])
+def test_pipeline_keeps_columns_named_like_its_own(spark, second):
+    """With distinct ids and with a repeated one, clashing columns come back as they went in."""
+    import corpus_pipeline
+    words = [" ".join(f"{stem}{i}" for i in range(30)) for stem in ("a", "b", "a")]
+    rows = [(1, words[0], 70, "x"), (second, words[1], 80, "y"), (3, words[2], 90, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pipeline_row long, doc string")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.collect()) == rows[:2]
+
+
 def test_language_sample_is_bounded_when_an_id_repeats(spark):
     docs = spark.createDataFrame([(t, 5, "t", 1, "k", 2, 3, "q", "en") for t in sentences("en", 40)] +
                                  [(t, 6, "t", 1, "k", 2, 3, "q", "fr") for t in sentences("fr", 3)], DOCS)

@@ -477,10 +477,14 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
     # A group: a component, or the lone documents that share most keys with one partner.
     both = pairs.selectExpr("x AS id", "y AS hub", "votes").unionByName(pairs.selectExpr("y AS id", "x AS hub", "votes"))
     hubs = both.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub"))
+    # A partner is often the first of its batch only: its own partner, if smaller, is the first of all.
+    hubs = materialize(hubs, "jaccard-hubs")
+    upper = hubs.select(F.col("id").alias("hub"), F.least("id", "hub").alias("first"))
     named = (hubs.join(comps.selectExpr("node AS id", "component AS comp"), "id", "left")
-             .join(comps.selectExpr("node AS hub", "component AS hub_comp"), "hub", "left")
+             .join(upper, "hub").join(comps.selectExpr("node AS hub", "component AS hub_comp"), "hub", "left")
+             .join(comps.selectExpr("node AS first", "component AS first_comp"), "first", "left")
              .select("id", F.coalesce("comp", "id").alias("comp"), F.col("comp").isNotNull().alias("linked"),
-                     F.coalesce("comp", "hub_comp", "hub").alias("grp")))
+                     F.coalesce("comp", "hub_comp", "first_comp", "first").alias("grp")))
     slots = named.groupBy("grp", "linked").agg(F.ceil(F.count("*") / GROUP_SIZE).alias("slots"))
     places = materialize(named.join(slots, ["grp", "linked"])
                          .select("id", "comp", "grp", "linked", F.pmod(F.xxhash64("id"), "slots").alias("slot")),
