@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import components, text_slices, utf8
+from tillcast.llm.common import SLICE_BYTES, components, text_slices, utf8
 from tillcast.llm.shingles import mix, shingle_sets
 from tillcast.session import materialize
 
@@ -442,7 +442,13 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     at = (num, den)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(MIN_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = materialize(_keyed(docs.filter("doc_id IS NOT NULL"), k, at, parts), "jaccard-found")
+    # Batches of one slice: what a task holds does not follow the length of its texts.
+    batch_bytes = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
+    try:
+        found = materialize(_keyed(docs.filter("doc_id IS NOT NULL"), k, at, parts), "jaccard-found")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
     rows = found.filter(F.col("kind") == DOC).selectExpr("a AS doc_id", "b AS n_shingles", "c AS stands")
     # Equal sets of several batches.
     copies = found.filter(F.col("kind") == COPY).selectExpr("a AS id", "b AS of")
