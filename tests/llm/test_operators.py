@@ -296,6 +296,24 @@ def test_personal_data_base_equals_brute_force(spark):
     assert pii.detect(empty(spark)).count() == 0 and pii.mask_documents(empty(spark)).columns == empty(spark).columns
 
 
+def test_personal_data_with_very_many_matches(spark):
+    """Positions over many blocks, and masks with overlaps (a card number in an address)."""
+    texts = ["é😀 a.4111111111111111@b.example.com 1.2.3.4 " * 12_500, "z" * 5000 + " a@b.de " + "😀" * 3000,
+             "a@b.de" * 127, "x 1.2.3.4 " * 128, "x 1.2.3.4 " * 129]
+    rows = {r.doc_id: r for r in pii.detect(frame(spark, texts)).collect()}
+    masked = {r.doc_id: r.text for r in pii.mask_documents(frame(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        spans, at, out = brute_spans(t), 0, []
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert rows[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and rows[i].spans == listed
+        assert rows[i].n_spans == len(spans) and rows[i].has_personal_data == bool(spans)
+        for a, k, b in spans:
+            if a >= at:
+                out.append(t[at:a] + f"[{pii.KINDS[k].upper()}]")
+            at = max(at, b)
+        assert masked[i] == "".join(out) + t[at:]
+
+
 def test_packing_keeps_everything_within_capacity(spark):
     texts = [*ODD, *("w " * n for n in range(1, 400, 7)), "w " * 20_000]
     rows = best_fit.best_fit(frame(spark, texts), shard_pieces=25).collect()

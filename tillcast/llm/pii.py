@@ -82,6 +82,8 @@ CONTEXT_CHARS = 40
 LABELERS = ("form", "gazetteer", "context", "border")
 EM_ROUNDS, TOLERANCE, PRIOR, SMOOTHING = 20, 1e-3, 0.7, 1.0
 ACCEPT = 0.5
+# Matches of one block of running sums, and code points of one chunk of a text to cut pieces from.
+BLOCK, CHUNK = 128, 1024
 
 
 @dataclass(frozen=True)
@@ -124,44 +126,93 @@ def _vote(value: Column, rules: tuple[str, str]) -> Column:
     return F.when(value.rlike(rules[1]), -1).when(value.rlike(rules[0]), 1).otherwise(0)
 
 
-def _kind_spans(text: Column, kind: str) -> Column:
-    """Candidates of one kind: ``array<struct<start, kind, end, form, gazetteer, context,
-    border>>``, in order; places in code points, end exclusive."""
-    number = KINDS.index(kind)
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    between = F.split(text, PATTERNS[kind], -1)
-
-    def step(state, i):
-        value, before = F.get(state["m"], i), F.get(state["b"], i)
-        start = state["at"] + F.length(before)
-        end = start + F.length(value)
-        after = F.get(state["b"], i + 1)
-        around = F.when(before.rlike(r"[A-Za-z0-9_]$") | after.rlike("^[A-Za-z0-9_]"), -1).otherwise(1)
-        span = F.struct(
-            start.alias("start"), F.lit(number).alias("kind"), end.alias("end"),
+def _with_blocks(df: DataFrame, arrays: list[str], join) -> DataFrame:
+    """``df`` with ``<name>_before`` for each ``array<int>`` column: what ``join`` makes of all
+    elements before each block of ``BLOCK`` elements. With ``_running`` the places of n matches
+    cost n * BLOCK / 2 + (n / BLOCK) ** 2 / 2 steps: an ``aggregate`` over all of them would copy
+    its state, which grows, at each step."""
+    def blocks(a):
+        of = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int"))
+        each = F.transform(of, lambda b: F.aggregate(F.slice(a, b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), join))
+        return F.when(F.size(a) > 0, each).alias(f"{a}_before")
+
+    def before(a):
+        c = f"{a}_before"
+        return F.transform(c, lambda _, b: F.aggregate(F.slice(c, F.lit(1), b), F.lit(0), join)).alias(c)
+
+    rest = df.columns
+    return df.select(*rest, *map(blocks, arrays)).select(*rest, *map(before, arrays))
+
+
+def _running(a: str, j: Column, join) -> Column:
+    """What ``join`` makes of the elements of ``a`` before place ``j``."""
+    b = F.floor(j / BLOCK).cast("int")
+    inside = F.aggregate(F.slice(a, b * BLOCK + 1, j % BLOCK), F.lit(0), join)
+    return join(F.get(f"{a}_before", b), inside)
+
+
+def _votes(kind: str) -> Column:
+    """The matches of a kind (columns ``m`` and ``b`` of it) with their votes; null without one."""
+    m, b = f"m_{kind}", f"b_{kind}"
+
+    def vote(x):
+        value, left, right = x["m"], x["l"], x["r"]
+        around = F.when(left.rlike(r"[A-Za-z0-9_]$") | right.rlike("^[A-Za-z0-9_]"), -1).otherwise(1)
+        return F.struct(
+            F.length(left).alias("gap"), F.length(value).alias("length"), _valid(kind, value).alias("valid"),
             F.when(value.rlike(_STRICT[kind]), 1).otherwise(-1).alias("form"),
             _vote(value, _GAZETTEER[kind]).alias("gazetteer"),
-            _vote(F.right(before, F.lit(CONTEXT_CHARS)), _CONTEXT[kind]).alias("context"), around.alias("border"))
-        kept = F.when(_valid(kind, value), F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(end.alias("at"), state["m"].alias("m"), state["b"].alias("b"), kept.alias("out"))
+            _vote(F.right(left, F.lit(CONTEXT_CHARS)), _CONTEXT[kind]).alias("context"), around.alias("border"))
 
-    empty = F.from_json(F.lit("[]"), SPANS_TYPE)
-    zero = F.struct(F.lit(0).alias("at"), found.alias("m"), between.alias("b"), empty.alias("out"))
-    spans = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda s: s["out"])
-    return F.when(_HINTS[kind](text), F.when(F.size(found) > 0, spans)).otherwise(F.lit(None))
+    sides = F.arrays_zip(F.col(m).alias("m"), F.slice(b, F.lit(1), F.size(m)).alias("l"),
+                         F.slice(b, F.lit(2), F.size(m)).alias("r"))
+    return F.when(F.size(m) > 0, F.transform(sides, vote))
 
 
 SPANS_TYPE = ("array<struct<start:int,kind:int,end:int,form:int,gazetteer:int,context:int,border:int>>")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` → ``(doc_id, spans)``, all kinds by start, then kind; null text
-    is empty text."""
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def with_spans(docs: DataFrame) -> DataFrame:
+    """``docs`` (``text`` and other columns, none of them named as below) with ``spans``:
+    ``array<struct<start, kind, end, form, gazetteer, context, border>>``, all kinds by start,
+    then kind; places in code points, end exclusive; null text is empty text."""
+    rest = docs.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    empty = F.from_json(F.lit("[]"), SPANS_TYPE)
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-            .select("doc_id", *(F.coalesce(_kind_spans(F.col("text"), k), empty).alias(k) for k in KINDS))
-            .select("doc_id", F.array_sort(F.concat(*KINDS)).alias("spans")))
+    some = docs.select(*rest, *(F.when(_HINTS[k](text), F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0)))
+                                .alias(f"m_{k}") for k in KINDS))
+    some = some.select(*rest, *(f"m_{k}" for k in KINDS), *(
+        F.when(F.size(f"m_{k}") > 0, F.split(text, PATTERNS[k], -1)).alias(f"b_{k}") for k in KINDS))
+    some = some.select(*rest, *(_votes(k).alias(f"v_{k}") for k in KINDS))
+    steps = (F.transform(f"v_{k}", lambda v: v["gap"] + v["length"]).alias(f"n_{k}") for k in KINDS)
+    some = _with_blocks(some.select(*rest, *(f"v_{k}" for k in KINDS), *steps), [f"n_{k}" for k in KINDS], _add)
+
+    def spans(k):
+        def span(v, j):
+            start = _running(f"n_{k}", j, _add) + v["gap"]
+            return F.struct(start.alias("start"), F.lit(KINDS.index(k)).alias("kind"), v["length"].alias("end"),
+                            *(v[x].alias(x) for x in LABELERS), v["valid"].alias("valid"))
+
+        # The test for null also keeps the blocks a column of their own: they are read twice.
+        found = F.when(F.col(f"n_{k}_before").isNotNull(), F.transform(f"v_{k}", span))
+        whole = F.transform(F.filter(found, lambda s: s["valid"]), lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), (s["start"] + s["end"]).alias("end"),
+            *(s[x].alias(x) for x in LABELERS)))
+        return F.coalesce(whole, F.from_json(F.lit("[]"), SPANS_TYPE))
+
+    return some.select(*rest, F.array_sort(F.concat(*map(spans, KINDS))).alias("spans"))
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` → ``(doc_id, spans)``, see ``with_spans``."""
+    return with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "spans")
 
 
 def patterns(found: DataFrame) -> DataFrame:
@@ -256,7 +307,7 @@ def _written(spans: Column) -> Column:
 
 def detect(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, …)`` → one row per input row: ``doc_id, n_email, n_ip, n_card,
-    n_phone, base_sha256, spans``.
+    n_phone, base_sha256, spans``, and over all kinds ``n_spans`` and ``has_personal_data``.
 
     Null and empty texts have no spans. Spans of different kinds may overlap. Repeated
     rows are found repeatedly; a null doc_id stays null."""
@@ -265,24 +316,39 @@ def detect(docs: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < BASE_KINDS)
     counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(BASE_KINDS)]
     return kept.select("doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"),
-                       _written(F.col("spans")).alias("spans"))
-
-
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; of overlapping spans the
-    first gives the kind and all are covered."""
+                       _written(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
+                       (F.size("spans") > 0).alias("has_personal_data"))
+
+
+def _between(chunks: str, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in chunks: reads only the chunks they lie in."""
+    first = F.floor(start / CHUNK).cast("int")
+    n = F.floor((end - 1) / CHUNK).cast("int") - first + 1
+    near = F.array_join(F.slice(chunks, first + 1, n), "")
+    return F.when(end > start, F.substring(near, start - first * CHUNK + 1, end - start)).otherwise("")
+
+
+def with_masked(found: DataFrame) -> DataFrame:
+    """``found(text, spans, …)`` with every span of ``text`` replaced by its kind in brackets; of
+    overlapping spans the first gives the kind and all are covered. Pieces are cut from short
+    chunks of the text and joined once."""
+    rest = found.columns
+    some = F.size("spans") > 0
+    cut = found.select(
+        *rest, F.when(some, F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{CHUNK}}}+"), F.lit(0))).alias("chunks"),
+        F.when(some, F.transform("spans", lambda s: s["end"])).alias("ends"))
+    cut = _with_blocks(cut, ["ends"], _larger)
+    covered = F.transform("ends", lambda _, j: _running("ends", j, _larger))
+    cut = cut.select(*rest, "chunks", F.when(F.col("ends_before").isNotNull(), covered).alias("covered"))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
 
-    def step(state, s):
-        inside = s["start"] < state["at"]
-        out = F.when(inside, state["out"]).otherwise(
-            F.concat(state["out"], F.substring(state["t"], state["at"] + 1, s["start"] - state["at"]),
-                     F.element_at(names, s["kind"] + 1)))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["t"].alias("t"), out.alias("out"))
+    def piece(s, at):
+        return F.when(s["start"] >= at, F.concat(_between("chunks", at, s["start"]), F.element_at(names, s["kind"] + 1)))
 
-    zero = F.struct(F.lit(0).alias("at"), text.alias("t"), F.lit("").alias("out"))
-    rest = lambda st: F.concat(st["out"], F.substring(st["t"], st["at"] + 1, F.length(st["t"])))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, rest)).otherwise(text)
+    last = F.array_max(F.transform("spans", lambda s: s["end"]))
+    whole = F.concat(F.array_join(F.zip_with("spans", "covered", piece), ""),
+                     _between("chunks", last, F.length("text")))
+    return cut.select(*(F.when(some, whole).otherwise(F.col("text")).alias(c) if c == "text" else c for c in rest))
 
 
 def mask_documents(docs: DataFrame) -> DataFrame:
@@ -291,14 +357,10 @@ def mask_documents(docs: DataFrame) -> DataFrame:
     masking, so no text is shuffled."""
     found = materialize(candidates(docs), "pii-candidates")
     model = train(found)
-    text = F.col("text").cast("string")
-    empty = F.from_json(F.lit("[]"), SPANS_TYPE)
-    spans = F.array_sort(F.concat(*(F.coalesce(_kind_spans(F.coalesce(text, F.lit("")), k), empty) for k in KINDS)))
     # The input as one column, so that no name of it can clash.
-    whole = docs.select(F.struct("*").alias("doc"), "text").select("doc", spans.alias("spans"))
-    kept = accepted(whole, model)
-    out = kept.select(*(masked(F.col("doc.text").cast("string"), F.col("spans")).alias(c) if c == "text"
-                        else F.col("doc").getField(c).alias(c) for c in docs.columns))
+    whole = with_spans(docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text")))
+    kept = with_masked(accepted(whole, model))
+    out = kept.select(*(F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
