@@ -31,9 +31,9 @@ batch one entry. Equal sets of a batch are one node.
 
 from __future__ import annotations
 
-import math
+from contextlib import contextmanager
 from functools import lru_cache
-from itertools import combinations
+from itertools import batched, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import SLICE_BYTES, components, text_slices, utf8
+from tillcast.llm.common import SLICE_BYTES, components, release, text_slices, utf8
 from tillcast.llm.shingles import mix, shingle_sets
 from tillcast.session import materialize
 
@@ -54,6 +54,12 @@ MIN_PARTS = 64
 BITS = 4096
 # Tokens whose keys are made at once.
 TOKENS_AT_ONCE = 1 << 17
+# Rows of a batch that travel as one Arrow batch, and sub-ranges of a part's keys sorted one at a time.
+ROWS_AT_ONCE, KEY_RANGE_BITS = 8, 3
+# Tokens of members that a query's tokens are looked up in at once.
+PLACES_AT_ONCE = 1 << 18
+# Bytes of a group's rows from which on a worker gives back the memory that the group took.
+LARGE_GROUP = 2 << 20
 # Slots of the broadcast bitmap of rows asked for, by which others are kept from a shuffle: 8 MB at any input.
 ID_SLOTS = 1 << 26
 _WIDE = np.uint64(32)
@@ -245,12 +251,19 @@ def _found(table: pa.Table) -> pa.Table:
     out = [joined("docs", np.int64, 4)]
     keys = joined("keys", np.uint64)
     ids = np.concatenate([_ids(v.as_buffer()) for v in table.column("key_ids")])
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    again = np.zeros(len(keys), bool)
-    again[1:] = keys[1:] == keys[:-1]
-    at = np.maximum.accumulate(np.where(again, 0, np.arange(len(keys)))) if len(keys) else order
-    out.append(np.stack([np.full(int(again.sum()), MEMBER), keys[again].view(np.int64), ids[again], ids[at][again]], 1))
+    # The keys of a part are many: a sub-range at a time, which has all of a key.
+    sub = (keys >> np.uint64(64 - KEY_RANGE_BITS)).astype(np.uint8)
+    for i in range(1 << KEY_RANGE_BITS):
+        here = sub == i
+        some, owner = keys[here], ids[here]
+        order = np.lexsort((owner, some))
+        some, owner = some[order], owner[order]
+        again = np.zeros(len(some), bool)
+        again[1:] = some[1:] == some[:-1]
+        at = np.maximum.accumulate(np.where(again, 0, np.arange(len(some)))) if len(some) else order
+        out.append(np.stack([np.full(int(again.sum()), MEMBER), some[again].view(np.int64), owner[again],
+                             owner[at[again]]], 1))
+    del keys, ids, sub
     g = joined("digests", np.int64, 4)
     order = np.lexsort((g[:, 3], g[:, 2], g[:, 1], g[:, 0]))
     g = g[order]
@@ -268,11 +281,25 @@ def _keyed(docs: DataFrame, k: int, own_at: tuple[int, int], parts: int) -> Data
         own = scheme(*own_at)
         for batch in text_slices(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = list(zip(*_pack(ids, utf8(batch), k, own, parts), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])],
-                                             names=["part", "keys", "key_ids", "digests", "docs"])
+            for rows in batched(_pack(ids, utf8(batch), k, own, parts), ROWS_AT_ONCE):
+                part, *rest = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array(c, pa.binary()) for c in rest)],
+                                                 names=["part", "keys", "key_ids", "digests", "docs"])
+            release()
+
+    return docs.mapInArrow(run, PACKED_SCHEMA).groupBy("part").applyInArrow(_trimmed(_found), FOUND_SCHEMA)
+
 
-    return docs.mapInArrow(run, PACKED_SCHEMA).groupBy("part").applyInArrow(_found, FOUND_SCHEMA)
+def _trimmed(run):
+    """``run`` over a group's rows; the memory that a large group took is given back."""
+    def trimmed(rows: pa.Table) -> pa.Table:
+        try:
+            return run(rows)
+        finally:
+            if rows.nbytes > LARGE_GROUP:
+                release()
+
+    return trimmed
 
 
 # -- comparison ---------------------------------------------------------------------------
@@ -291,6 +318,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts), pa.array([b.tobytes() for b in np.packbits(bits, axis=1)]),
                  pa.array(packed, pa.binary())], names=["id", "n", "bits", "tokens"])
+        release()
 
     return docs.mapInArrow(run, "id long, n long, bits binary, tokens binary")
 
@@ -325,6 +353,7 @@ def _pair_filter(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFr
             hit = [keep(a.as_buffer(), b.as_buffer(), n, m)
                    for a, b, n, m in zip(vx, vy, nx.to_pylist(), ny.to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([x, y], names=["x", "y"]).filter(pa.array(hit, pa.bool_()))
+        release()
 
     return (pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "ny", "vx", "vy")
             .mapInArrow(run, "x long, y long"))
@@ -370,6 +399,7 @@ def _bounded(queries: DataFrame, of: DataFrame, sets: DataFrame, at: tuple[int,
                      for b, h in zip(bits, held, strict=True)]
             open_ = own.den * (n - np.array(lacks, np.int64)) >= own.num * n
             yield pa.RecordBatch.from_arrays([x, asked], names=["x", "asked"]).filter(pa.array(open_))
+        release()
 
     return rows.mapInArrow(run, queries.schema)
 
@@ -409,17 +439,25 @@ def _compare(own: Scheme):
         if len(ids) and queries.num_rows:
             tokens = np.concatenate(arrays)
             order = np.argsort(tokens, kind="stable")
-            union, start, held = np.unique(tokens[order], return_index=True, return_counts=True)
-            holder = np.repeat(np.arange(len(ids)), sizes)[order]
+            tokens = tokens[order]
+            new = np.ones(len(tokens), bool)
+            new[1:] = tokens[1:] != tokens[:-1]
+            start = np.flatnonzero(new)
+            union, held = tokens[start], np.diff(np.append(start, len(tokens)))
+            holder = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)[order]
+            del tokens, order, new
             for q, raw in zip(queries.column("id").to_pylist(), queries.column("tokens"), strict=True):
                 asked = np.frombuffer(raw.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(union, asked), len(union) - 1)
                 at = at[union[at] == asked]
                 if own.den * len(at) < own.num * len(asked):
                     continue                                    # the group stays closed
-                n = held[at]
-                places = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                common = np.bincount(holder[places], minlength=len(ids))
+                common = np.zeros(len(ids), np.int64)
+                # A bounded number of places at a time (a token has at most one place a member).
+                for some in np.split(at, np.flatnonzero(np.diff(np.cumsum(held[at]) // PLACES_AT_ONCE)) + 1):
+                    n = held[some]
+                    places = np.repeat(start[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    common += np.bincount(holder[places], minlength=len(ids))
                 hit = (own.den * common >= own.num * (sizes + len(asked) - common)) & (ids != q) & (common > 0)
                 if hit.any():
                     _, one = np.unique(comps[hit], return_index=True)
@@ -430,6 +468,17 @@ def _compare(own: Scheme):
     return run
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    """The setting has this value meanwhile."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """``docs(doc_id, text, …)`` → ``(doc_id, n_shingles, component_id)``, one row per input row.
 
@@ -443,12 +492,8 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(MIN_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Batches of one slice: what a task holds does not follow the length of its texts.
-    batch_bytes = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
-    try:
+    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES)):
         found = materialize(_keyed(docs.filter("doc_id IS NOT NULL"), k, at, parts), "jaccard-found")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
     rows = found.filter(F.col("kind") == DOC).selectExpr("a AS doc_id", "b AS n_shingles", "c AS stands")
     # Equal sets of several batches.
     copies = found.filter(F.col("kind") == COPY).selectExpr("a AS id", "b AS of")
@@ -457,14 +502,12 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
              .groupBy("x", "y").agg(F.count("*").alias("votes")))
     pairs = materialize(pairs, "jaccard-pairs")
     asked = pairs.selectExpr("explode(array(x, y)) AS doc_id").distinct()
-    batch_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")    # rows hold two sets
-    try:
+    # Rows hold two sets.
+    with (_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "500"),
+          _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))):
         sets = materialize(_sets(_only(docs, asked, "doc_id"), k), "jaccard-sets")
         links = materialize(_verified(pairs.select("x", "y"), sets, at), "jaccard-links")
         more = _cross_links(member, pairs, links, sets, at)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     own_copies = rows.filter("doc_id <> stands AND n_shingles > 0").selectExpr("doc_id AS src", "stands AS dst")
     edges = (links.selectExpr("x AS src", "y AS dst").unionByName(more.selectExpr("x AS src", "y AS dst"))
              .unionByName(own_copies).unionByName(copies.selectExpr("id AS src", "of AS dst")))
@@ -522,11 +565,11 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
                                    of, sets, at), "jaccard-queries")
     # In an open group, a query goes on if sizes and bitmaps let it link with a member of another component.
     rows = _rows(queries, of, "jaccard-rows").join(sets.select("id", "n", "bits"), "id")
-    queries = materialize(rows.groupBy("asked", "fan").applyInArrow(_near(scheme(*at)), queries.schema), "jaccard-near")
+    queries = materialize(rows.groupBy("asked", "fan").applyInArrow(_trimmed(_near(scheme(*at))), queries.schema), "jaccard-near")
     # Members and queries fetch their sets in one join: the sets move once.
     rows = _rows(queries, of, "jaccard-rows")
     sets = _only(sets.select("id", "tokens"), rows.select("id").distinct(), "id")
-    found = rows.join(sets, "id").groupBy("asked", "fan").applyInArrow(_compare(scheme(*at)), "x long, y long")
+    found = rows.join(sets, "id").groupBy("asked", "fan").applyInArrow(_trimmed(_compare(scheme(*at))), "x long, y long")
     return materialize(found, "jaccard-cross")
 
 
