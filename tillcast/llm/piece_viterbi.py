@@ -31,12 +31,24 @@ WORD_MEMORY = 250_000
 _CODERS: dict[str, PieceCoder] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+class _Raw(dict):
+    """Id → bytes of its piece; other ids stand for nothing."""
+
+    def __missing__(self, _) -> bytes:
+        return b""
+
+
 class PieceCoder:
     """Encoder and decoder over one SentencePiece model file (read, never trained)."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
-        self.border: dict[tuple[str, str], bool] = {}
+        self.border: dict[str, dict[str, bool]] = {}
+        self.borders = 0
         self.model = sp = SentencePieceProcessor(model_file=path)
         ids = range(sp.get_piece_size())
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
@@ -57,15 +69,18 @@ class PieceCoder:
         # Most texts split at single marks alone; the pattern is for the others.
         self.simple = not inner and CUT not in chars
         self.unknown_score = min(self.score.values()) - 10.0
-        # Pieces that merging can make, and the lengths of those with a given ending, long first.
+        # Pieces that merging can make.
         self.whole = {p for p in self.piece_id if self.merged(p) == [p]} if self.merges else set()
-        lengths: dict[str, set[int]] = {}
-        for p in self.whole:
-            if len(p) > 1:
-                lengths.setdefault(p[-2:], {1}).add(len(p))
-        self.tails = {t: tuple(sorted(n, reverse=True)) for t, n in lengths.items()}
-        self.raw = {i: p.replace(MARK, " ").encode() for p, i in self.piece_id.items()}
-        self.raw |= {i: bytes([b]) for b, i in self.byte_id.items()}
+        # The states of the trie of these pieces are their beginnings: a text's state is its longest
+        # ending among them, with the pieces of several characters that end there, long first. The
+        # steps between states are noted when first taken.
+        self.starts = {p[:i] for p in self.whole for i in range(1, len(p) + 1)} | {""}
+        self.endings: dict[str, tuple] = {}
+        self.noted = 0
+        self.root = self._state("")
+        self.raw = _Raw({i: p.replace(MARK, " ").encode() for p, i in self.piece_id.items()})
+        self.raw.update({i: bytes([b]) for b, i in self.byte_id.items()})
+        self.packed = {p: _packed([i]) for p, i in self.piece_id.items()}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.dummy = sp.normalize("a").startswith(MARK)
@@ -91,22 +106,45 @@ class PieceCoder:
         return parts
 
     def holds(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.border.get(key)
-        if known is None:
-            if len(self.border) >= 4 * WORD_MEMORY:
-                self.border.clear()
-            known = self.border[key] = self.merged(left + right) == [left, right]
+        if self.borders >= 4 * WORD_MEMORY:
+            self.border.clear()
+            self.borders = 0
+        self.borders += 1
+        known = self.border.setdefault(left, {})[right] = self.merged(left + right) == [left, right]
         return known
 
+    # -- the trie of the pieces ---------------------------------------------------------
+
+    def _state(self, start: str) -> tuple:
+        """``(beginning, its steps by character, pieces that end it as (size, piece))``."""
+        state = self.endings.get(start)
+        if state is None:
+            ends = (start[i:] for i in range(len(start) - 1))
+            state = self.endings[start] = (start, {}, tuple((len(p), p) for p in ends if p in self.whole))
+        return state
+
+    def _step(self, state: tuple, char: str) -> tuple:
+        longer = state[0] + char
+        at = next(i for i in range(len(longer) + 1) if longer[i:] in self.starts)
+        to = self._state(longer[at:])
+        if longer[at:]:
+            # Characters in no piece lead back to the root; they are not noted, as there are many.
+            if self.noted >= 2 * WORD_MEMORY:
+                for _, noted, _ in self.endings.values():
+                    noted.clear()
+                self.noted = 0
+            state[1][char] = to
+            self.noted += 1
+        return to
+
     # -- the shared forward pass ------------------------------------------------------
 
-    def encode_words(self, words) -> dict[str, list[int]]:
-        """Distinct words → ids, walking their trie depth-first."""
-        out: dict[str, list[int]] = {}
+    def encode_words(self, words) -> dict[str, bytes]:
+        """Distinct words → ids as little-endian 32-bit integers, walking their trie depth-first."""
+        out: dict[str, bytes] = {}
         before = ""
         last: list[str] = [""]          # piece that ends the best path to each position
-        best: list[float] = [0.0]       # its score (unigram models)
+        best: list = [self.root if self.merges else 0.0]    # state of the trie, or the path's score
         step = self._step_merges if self.merges else self._step_unigram
         for word in sorted(words):
             keep, most = 0, min(len(word), len(before))
@@ -118,23 +156,25 @@ class PieceCoder:
             before = word
         return out
 
-    def _step_merges(self, word: str, begin: int, last: list[str], best: list[float]) -> None:
-        tails, whole, ids, border = self.tails, self.whole, self.piece_id, self.border
+    def _step_merges(self, word: str, begin: int, last: list[str], best: list[tuple]) -> None:
+        ids, border = self.piece_id, self.border
+        state = best[begin - 1]
         for end in range(begin, len(word) + 1):
-            for size in tails.get(word[max(0, end - 2):end], (1,)):
-                if size > end:
-                    continue
-                piece = word[end - size:end]
-                if size > 1 and piece not in whole:
-                    continue
+            char = word[end - 1]
+            state = state[1].get(char) or self._step(state, char)
+            for size, piece in state[2]:
                 left = last[end - size]
                 # A character without a piece merges with nothing.
-                if not left or piece not in ids or left not in ids:
+                if not left or left not in ids:
                     break
-                holds = border.get((left, piece))
+                known = border.get(left)
+                holds = known.get(piece) if known else None
                 if self.holds(left, piece) if holds is None else holds:
                     break
+            else:
+                piece = char
             last.append(piece)
+            best.append(state)
 
     def _step_unigram(self, word: str, begin: int, last: list[str], best: list[float]) -> None:
         for end in range(begin, len(word) + 1):
@@ -147,19 +187,17 @@ class PieceCoder:
             last.append(top_piece)
             best.append(top)
 
-    def _back(self, word: str, last: list[str]) -> list[int]:
+    def _back(self, word: str, last: list[str]) -> bytes:
         ids, at = [], len(word)
         while at:
             piece = last[at]
-            known = self.piece_id.get(piece)
-            if known is not None:
-                ids.append(known)
-            elif self.byte_id:
-                ids.extend(self.byte_id[b] for b in reversed(piece.encode()))
-            else:
-                ids.append(self.unknown)
+            known = self.packed.get(piece)
+            if known is None:
+                known = _packed([self.byte_id[b] for b in piece.encode()] if self.byte_id else [self.unknown])
+            ids.append(known)
             at -= len(piece)
-        return ids[::-1]
+        ids.reverse()
+        return b"".join(ids)
 
     # -- whole texts -------------------------------------------------------------------
 
@@ -181,14 +219,12 @@ class PieceCoder:
         for word in [w for w in new if w in older]:
             known[word] = older[word]
             new.remove(word)
-        for word, ids in self.encode_words(new).items():
-            known[word] = np.array(ids, "<i4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        known.update(self.encode_words(new))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode_ids(self, ids) -> str:
         """Text of a sequence of ids; control ids stand for nothing."""
-        raw = self.raw
-        text = b"".join([raw.get(i, b"") for i in ids]).decode(errors="replace")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
