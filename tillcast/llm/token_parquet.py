@@ -30,11 +30,11 @@ END_ID = 1
 TOKEN_SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 1000
 
-# Encoded words a worker process remembers, none longer than LONGEST_KEPT bytes; those of the
-# generation before are kept until as many new ones are known.
+# Encoded words a worker process remembers, none longer than LONGEST_KEPT bytes (those are kept for
+# a slice); those of the generation before are kept until as many new ones are known.
 WORD_MEMORY, LONGEST_KEPT = 250_000, 48
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_WORDS: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
+_WORDS: dict[str, Words] = {}
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -70,7 +70,7 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
         if probe != apart:
             raise ValueError("this tokenizer keeps white space; words cannot be encoded apart")
         letters = str.maketrans(dict(enumerate(_byte_letters())))
-        _TOKENIZERS[path], _WORDS[path] = (tok, tok.model, letters, {}), ({}, {})
+        _TOKENIZERS[path] = (tok, tok.model, letters, {})
     tok, model, letters, units = _TOKENIZERS[path]
 
     def unit(piece: bytes) -> bytes:
@@ -78,7 +78,8 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
         if ids is None:
             if len(units) >= WORD_MEMORY:
                 units.clear()
-            spelled = piece.decode("latin-1").translate(letters)
+            # ASCII letters stand for themselves.
+            spelled = piece.decode() if piece.isalpha() else piece.decode("latin-1").translate(letters)
             ids = _packed([t.id for t in model.tokenize(spelled)])
             if len(piece) <= LONGEST_KEPT:
                 units[piece] = ids
@@ -87,33 +88,57 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
     def encode(word: bytes) -> bytes:
         core = word.rstrip(_PUNCTUATION)
         if core:
-            text = core.decode()
-            # Latin letters up to U+024F are precomposed and lower-case one to one (but U+0130).
-            if text.isalpha() and max(text) < "ɐ" and "İ" not in text:
-                return unit(text.lower().encode()) + (unit(word[len(core):]) if len(core) < len(word) else b"")
+            if core.isalpha():                                  # ASCII letters only
+                lower = core.lower()
+            else:
+                text = core.decode()
+                # Latin letters up to U+024F are precomposed and lower-case one to one (but U+0130).
+                plain = text.isalpha() and max(text) < "ɐ" and "İ" not in text
+                lower = text.lower().encode() if plain else None
+            if lower is not None:
+                return unit(lower) + unit(word[len(core):]) if len(core) < len(word) else unit(lower)
         return _packed(tok.encode(word.decode(), add_special_tokens=False).ids)
 
     return encode
 
 
+class Words(dict):
+    """Word → its ids. A missing word comes from the generation before, or is encoded."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode, self.older, self.long = encode, {}, []
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+            if len(word) > LONGEST_KEPT:
+                self.long.append(word)
+        self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        """Long words, and the generation before once there are enough new words."""
+        for word in self.long:
+            del self[word]
+        self.long = []
+        if len(self) >= WORD_MEMORY:
+            self.older = dict(self)
+            self.clear()
+
+
 def encode_texts(texts: list[bytes], path: str, end_id: int | None = END_ID) -> list[bytes]:
     """Ids of whole texts as little-endian 32-bit integers, each with ``end_id`` behind. Every
-    distinct word of the texts is looked up once."""
-    encode = word_encoder(path)
-    known, older = _WORDS[path]
+    distinct word of the texts is encoded once."""
+    if path not in _WORDS:
+        _WORDS[path] = Words(word_encoder(path))
+    words = _WORDS[path]
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    split = [text.split() for text in texts]
-    ids: dict[bytes, bytes] = {}
-    for w in set().union(*split):
-        value = known.get(w)
-        if value is None:
-            value = older.get(w) or encode(w)
-            if len(w) <= LONGEST_KEPT:
-                known[w] = value
-        ids[w] = value
-    if len(known) >= WORD_MEMORY:
-        _WORDS[path] = ({}, known)
-    return [b"".join(map(ids.__getitem__, words)) + end for words in split]
+    try:
+        return [b"".join(map(words.__getitem__, text.split())) + end for text in texts]
+    finally:
+        words.forget()
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
