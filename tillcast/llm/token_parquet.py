@@ -30,9 +30,9 @@ END_ID = 1
 TOKEN_SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 1000
 
-# Encoded words a worker process remembers, none longer than LONGEST_KEPT bytes (those are kept for
+# Encoded words and units of words a worker process remembers, none longer than LONGEST_KEPT bytes (those are kept for
 # a slice); those of the generation before are kept until as many new ones are known.
-WORD_MEMORY, LONGEST_KEPT = 250_000, 48
+WORD_MEMORY, UNIT_MEMORY, LONGEST_KEPT = 500_000, 125_000, 48
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORDS: dict[str, Words] = {}
 _TOKENIZERS: dict[str, tuple] = {}
@@ -70,20 +70,16 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
         if probe != apart:
             raise ValueError("this tokenizer keeps white space; words cannot be encoded apart")
         letters = str.maketrans(dict(enumerate(_byte_letters())))
-        _TOKENIZERS[path] = (tok, tok.model, letters, {})
-    tok, model, letters, units = _TOKENIZERS[path]
+        model = tok.model
 
-    def unit(piece: bytes) -> bytes:
-        ids = units.get(piece)
-        if ids is None:
-            if len(units) >= WORD_MEMORY:
-                units.clear()
+        def spelled(piece: bytes) -> bytes:
             # ASCII letters stand for themselves.
-            spelled = piece.decode() if piece.isalpha() else piece.decode("latin-1").translate(letters)
-            ids = _packed([t.id for t in model.tokenize(spelled)])
-            if len(piece) <= LONGEST_KEPT:
-                units[piece] = ids
-        return ids
+            text = piece.decode() if piece.isalpha() else piece.decode("latin-1").translate(letters)
+            return _packed([t.id for t in model.tokenize(text)])
+
+        _TOKENIZERS[path] = (tok, Words(spelled, UNIT_MEMORY))
+    tok, units = _TOKENIZERS[path]
+    unit = units.__getitem__
 
     def encode(word: bytes) -> bytes:
         core = word.rstrip(_PUNCTUATION)
@@ -105,9 +101,9 @@ def word_encoder(path: str) -> Callable[[bytes], bytes]:
 class Words(dict):
     """Word → its ids. A missing word comes from the generation before, or is encoded."""
 
-    def __init__(self, encode: Callable[[bytes], bytes]):
+    def __init__(self, encode: Callable[[bytes], bytes], memory: int):
         super().__init__()
-        self.encode, self.older, self.long = encode, {}, []
+        self.encode, self.memory, self.older, self.long = encode, memory, {}, []
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
@@ -123,7 +119,8 @@ class Words(dict):
         for word in self.long:
             del self[word]
         self.long = []
-        if len(self) >= WORD_MEMORY:
+        if len(self) >= self.memory:
+            self.older = {}                                     # not three at a time
             self.older = dict(self)
             self.clear()
 
@@ -132,13 +129,14 @@ def encode_texts(texts: list[bytes], path: str, end_id: int | None = END_ID) ->
     """Ids of whole texts as little-endian 32-bit integers, each with ``end_id`` behind. Every
     distinct word of the texts is encoded once."""
     if path not in _WORDS:
-        _WORDS[path] = Words(word_encoder(path))
+        _WORDS[path] = Words(word_encoder(path), WORD_MEMORY)
     words = _WORDS[path]
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     try:
         return [b"".join(map(words.__getitem__, text.split())) + end for text in texts]
     finally:
         words.forget()
+        _TOKENIZERS[path][-1].forget()
 
 
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
