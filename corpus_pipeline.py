@@ -56,10 +56,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = (ngram_jaccard.link_components(rows.select(F.col(KEY).alias("doc_id"), F.col("doc.text").alias("text")),
                                             k=5, num=4, den=5)
               .selectExpr(f"doc_id AS {KEY}", "component_id"))
+    groups = materialize(groups.join(rows.select(KEY, F.col("doc.doc_id").alias("doc_id")), KEY), "pipeline-groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", KEY)).alias("first")
-    kept = (groups.join(rows.select(KEY, F.col("doc.doc_id").alias("doc_id")), KEY).groupBy("component_id").agg(first)
-            .select(F.col(f"first.{KEY}").alias(KEY)))
-    return rows.join(kept, KEY, "left_semi").select("doc.*")
+    stays = (groups.groupBy("component_id").agg(first, F.count("*").alias("n")).filter("n > 1")
+             .select("component_id", F.col(f"first.{KEY}").alias("stays")))
+    dropped = materialize(groups.join(stays, "component_id").filter(f"{KEY} <> stays").select(KEY), "pipeline-dropped")
+    return ngram_jaccard.without(rows, dropped, KEY).select("doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

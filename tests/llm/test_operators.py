@@ -7,6 +7,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -372,6 +373,62 @@ def test_chat_trees_round_trip_and_share(spark, scratch):
 
 
 @needs_data
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    rows = spark.range(2000).selectExpr("id AS doc_id", "repeat('x', 50) AS text")
+    dropped = rows.filter("doc_id % 7 = 0").select("doc_id")
+    kept = ngram_jaccard.without(rows, dropped, "doc_id")
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(2000) if i % 7]
+    assert ngram_jaccard._near_only(rows, dropped, "doc_id").count() >= dropped.count()
+    assert not re.search(r"Exchange hashpartitioning\(doc_id", plan_of(ngram_jaccard._near_only(rows, dropped, "doc_id")))
+
+
+def test_equal_sets_of_several_batches_are_one_node(spark):
+    pairs = spark.createDataFrame([(2, 1, 3), (3, 1, 1), (3, 2, 2), (9, 3, 1)], "x long, y long, votes long")
+    same = spark.createDataFrame([(2, 1)], "id long, of long")
+    got = sorted(tuple(r) for r in ngram_jaccard._merged(pairs, same).collect())
+    assert got == [(3, 1, 3), (9, 3, 1)]
+    places = spark.createDataFrame([(1, 5), (3, 6)], "id long, comp long")
+    assert sorted(tuple(r) for r in ngram_jaccard._with_same(places, same).collect()) == [(1, 5), (2, 5), (3, 6)]
+
+
+def test_rows_of_one_id_with_several_sets_keep_all_links(spark):
+    long = [" ".join(f"w{i}{j}" for j in range(80)) for i in range(3)]
+    rows = [(1, long[0]), (2, long[0]), (2, long[1]), (3, long[1] + " more"), (4, long[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard.link_components(docs, 5, 4, 5).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_only_members_that_a_query_may_link_with_go_on():
+    one, other = np.zeros(ngram_jaccard.BITS, bool), np.zeros(ngram_jaccard.BITS, bool)
+    one[:100], other[2000:2100] = True, True
+    pack = lambda b: np.packbits(b).tobytes()
+    rows = pa.table({"asked": [0] * 3, "fan": [0] * 3, "id": [1, 2, 3], "comp": [1, 2, 3], "asks": [True, False, False],
+                     "n": [100] * 3, "bits": [pack(one), pack(one), pack(other)]})
+    got = ngram_jaccard._near(ngram_jaccard.scheme(4, 5))(rows).to_pylist()
+    assert [(r["id"], r["asks"]) for r in got] == [(1, True), (2, False)]
+
+
+def test_filter_on_masked_text_has_a_short_plan(spark):
+    docs = spark.createDataFrame([(1, "mail to ann@site.example now"), (2, None)], "doc_id long, text string")
+    clean = pii.mask_documents(docs)
+    assert clean.filter("text RLIKE '[a-z]@'").count() == 0
+    assert clean.filter("text RLIKE 'EMAIL'").count() == 1
+    assert pii.mask_documents(docs.select("text")).count() == 2
+
+
+def test_small_sums_of_expectation_maximisation(spark):
+    counted = spark.createDataFrame([(0, 1, 1, 0, 1, 5), (2, -1, 0, 0, -1, 3)],
+                                    "kind int, form int, gazetteer int, context int, border int, n long")
+    prior, votes = pii.reliabilities(counted, 3)
+    assert prior[0] > prior[2] and abs(prior[1] - pii.PRIOR) < 1e-9
+    assert votes["form"][1][0] > votes["form"][1][1]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -21,12 +21,13 @@ reaches a threshold. The join finds every link:
    enough of its tokens; groups below that bound stay closed to it. Sizes and a bitmap of
    the union give the bound first, so that sets move only for queries it leaves open.
 4. *Opening.* In a group that qualifies, bitmaps bound the query's overlap with each member of
-   another component; if one may link, its exact overlap with every member is counted along
-   the matrix's rows.
+   another component; if some may link, its exact overlap with them is counted along the
+   matrix's rows. Members that no query may link with take no part, so their sets stay.
 
 Keys travel as packed arrays, one row per batch of documents and shuffle part, and a
 batch sends a key once, so a key or text that a third of all documents share costs each
-batch one entry. Equal sets of a batch are one node.
+batch one entry. Equal sets of a batch are one node; those of several batches become one
+before any set moves.
 """
 
 from __future__ import annotations
@@ -60,8 +61,8 @@ ROWS_AT_ONCE, KEY_RANGE_BITS = 8, 3
 PLACES_AT_ONCE = 1 << 18
 # Bytes of a group's rows from which on a worker gives back the memory that the group took.
 LARGE_GROUP = 2 << 20
-# Slots of the broadcast bitmap of rows asked for, by which others are kept from a shuffle: 8 MB at any input.
-ID_SLOTS = 1 << 26
+# Slots of the broadcast bitmap of rows asked for, by which others are kept from a shuffle: 4 MB at any input.
+ID_SLOTS = 1 << 25
 _WIDE = np.uint64(32)
 
 
@@ -323,17 +324,37 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, bits binary, tokens binary")
 
 
-def _only(rows: DataFrame, asked: DataFrame, *on: str) -> DataFrame:
-    """The rows whose columns ``on`` are in ``asked`` (distinct). A bitmap of their hashes, of fixed
-    size, keeps most other rows from the join's shuffle; where many fill it, only the join decides."""
+def _marked(rows: DataFrame, asked: DataFrame, *on: str) -> DataFrame:
+    """``rows`` with ``maybe``: whether the hash of the columns ``on`` is in a broadcast bitmap of those of
+    ``asked``. The bitmap's size is fixed; true for all that are asked for and, as it fills, for others."""
     slot = F.pmod(F.xxhash64(*on), F.lit(ID_SLOTS))
     bitmap = (asked.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")))
     byte = F.expr("cast(conv(hex(substring(bitmap, cast(place div 8 AS int) + 1, 1)), 16, 10) AS int)")
-    near = (rows.select("*", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("place"))
-            .join(F.broadcast(bitmap), "bucket").filter(F.getbit(byte, F.expr("cast(place % 8 AS int)")) == 1))
+    maybe = F.coalesce(F.getbit(byte, F.expr("cast(place % 8 AS int)")) == 1, F.lit(False))
+    return (rows.select("*", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("place"))
+            .join(F.broadcast(bitmap), "bucket", "left").select(*rows.columns, maybe.alias("maybe")))
+
+
+def _near_only(rows: DataFrame, asked: DataFrame, *on: str) -> DataFrame:
+    """The rows whose columns ``on`` are in ``asked``, and some others: for steps that others only cost."""
+    return _marked(rows, asked, *on).filter("maybe").select(*rows.columns)
+
+
+def _only(rows: DataFrame, asked: DataFrame, *on: str) -> DataFrame:
+    """The rows whose columns ``on`` are in ``asked`` (distinct). A bitmap of their hashes, of fixed
+    size, keeps most other rows from the join's shuffle; where many fill it, only the join decides."""
     # An inner join with distinct rows: a semi join would be pushed below the bitmap.
-    return near.select(*rows.columns).join(asked.select(*on), list(on))
+    return _near_only(rows, asked, *on).join(asked.select(*on), list(on))
+
+
+def without(rows: DataFrame, dropped: DataFrame, on: str) -> DataFrame:
+    """The rows whose column ``on`` (never null) is not in ``dropped``. Rows that the bitmap of
+    ``dropped`` rules out stay where they are; only the others move, for the join to decide."""
+    marked = _marked(rows, dropped, on)
+    unsure = marked.filter("maybe").join(dropped.select(F.col(on), F.lit(True).alias("dropped")).distinct(), on, "left")
+    return (marked.filter("NOT maybe").select(*rows.columns)
+            .unionByName(unsure.filter("dropped IS NULL").select(*rows.columns)))
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -375,53 +396,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, own_at: tuple[int, int]) -> Dat
     return _pair_filter(pairs, sets, "tokens", lambda a, b, n, m: own.linked(_common(a, b), n, m))
 
 
-def _bounded(queries: DataFrame, of: DataFrame, sets: DataFrame, at: tuple[int, int]) -> DataFrame:
-    """The queries ``(x, asked)`` that a group's sizes and the bitmap of its token union, which bound
-    the overlap from above, leave open: sets move for these alone."""
+def _sized(queries: DataFrame, of: DataFrame, sets: DataFrame, at: tuple[int, int]) -> DataFrame:
+    """The queries ``(x, asked)`` that the sizes of a group's members leave open."""
     own = scheme(*at)
-    asked = queries.select(F.col("asked").alias("g")).distinct()
-    unions = (of.join(asked, "g").join(sets.select("id", "n", "bits"), "id").groupBy("g")
-              .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.bitmap_or_agg("bits").alias("all_bits"))
-              .select(F.col("g").alias("asked"), "low", "high", F.expr(f"substring(all_bits, 1, {BITS // 8})").alias("held")))
-    unions = materialize(unions, "jaccard-unions")
+    n = sets.select("id", "n")
+    bounds = of.join(n, "id").groupBy(F.col("g").alias("asked")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     fits = (F.col("n") * own.num <= F.col("high") * own.den) & (F.col("low") * own.num <= F.col("n") * own.den)
-    sized = (queries.join(unions.select("asked", "low", "high"), "asked")
-             .join(sets.select(F.col("id").alias("x"), "n"), "x").filter(fits).select("x", "asked", "n"))
-    rows = (materialize(sized, "jaccard-sized").join(sets.select(F.col("id").alias("x"), "bits"), "x")
-            .join(unions.select("asked", "held"), "asked").select("x", "asked", "n", "bits", "held"))
-
-    def run(batches):
-        for batch in batches:
-            x, asked, n, bits, held = batch.columns
-            n = n.to_numpy()
-            lacks = [int(np.bitwise_count(np.frombuffer(b.as_buffer(), np.uint64)
-                                          & ~np.frombuffer(h.as_buffer(), np.uint64)).sum())
-                     for b, h in zip(bits, held, strict=True)]
-            open_ = own.den * (n - np.array(lacks, np.int64)) >= own.num * n
-            yield pa.RecordBatch.from_arrays([x, asked], names=["x", "asked"]).filter(pa.array(open_))
-        release()
-
-    return rows.mapInArrow(run, queries.schema)
+    return queries.join(bounds, "asked").join(n.withColumnRenamed("id", "x"), "x").filter(fits).select("x", "asked")
 
 
 def _near(own: Scheme):
-    """Group by group: the queries that sizes and bitmaps, which bound the overlap from above, let
-    link with a member of another component."""
+    """Group by group: the queries that a bitmap of the group's token union leaves open and that sizes
+    and bitmaps, which bound the overlap from above, let link with members of another component; and
+    these members."""
     def run(rows: pa.Table) -> pa.Table:
         asks = rows.column("asks").to_numpy()
         ids, comps, n = (rows.column(c).to_numpy() for c in ("id", "comp", "n"))
         bits = np.frombuffer(b"".join(b.as_buffer() for b in rows.column("bits")), np.uint64).reshape(len(ids), -1)
         members, m_n, m_comp = bits[~asks], n[~asks], comps[~asks]
-        near = []
-        for q in np.flatnonzero(asks).tolist():
-            other = m_comp != comps[q]
+        union = np.bitwise_or.reduce(members, axis=0)
+        asking = np.flatnonzero(asks)
+        lacks = np.bitwise_count(bits[asking] & ~union).sum(axis=1, dtype=np.int64)
+        near, wanted = [], np.zeros(len(members), bool)
+        for q in asking[own.den * (n[asking] - lacks) >= own.num * n[asking]].tolist():
+            other = np.flatnonzero(m_comp != comps[q])
             held, size = members[other], m_n[other]
             most = np.minimum(n[q] - np.bitwise_count(bits[q] & ~held).sum(axis=1, dtype=np.int64),
                               size - np.bitwise_count(held & ~bits[q]).sum(axis=1, dtype=np.int64))
-            if ((own.den * most >= own.num * (n[q] + size - most)) & (most > 0)).any():
+            may = (own.den * most >= own.num * (n[q] + size - most)) & (most > 0)
+            if may.any():
                 near.append(q)
-        out = rows.take(pa.array(near, pa.int64()))
-        return pa.table([out.column("id"), out.column("asked")], names=["x", "asked"])
+                wanted[other[may]] = True
+        out = np.concatenate([np.array(near, np.int64), np.flatnonzero(~asks)[wanted]])
+        return rows.select(["asked", "fan", "id", "comp", "asks"]).take(pa.array(out))
 
     return run
 
@@ -501,13 +508,19 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     pairs = (member.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
              .groupBy("x", "y").agg(F.count("*").alias("votes")))
     pairs = materialize(pairs, "jaccard-pairs")
-    asked = pairs.selectExpr("explode(array(x, y)) AS doc_id").distinct()
+    # A document that equals one of another batch goes as that one: it has the same keys and links.
+    # Not so where rows of its doc_id hold several sets.
+    once = rows.groupBy("doc_id").count().filter("`count` = 1").select(F.col("doc_id").alias("id"))
+    same = materialize(copies.join(once, "id"), "jaccard-same")
+    merged = materialize(_merged(pairs, same), "jaccard-merged")
+    asked = merged.selectExpr("explode(array(x, y)) AS doc_id").distinct()
     # Rows hold two sets.
     with (_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "500"),
           _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))):
-        sets = materialize(_sets(_only(docs, asked, "doc_id"), k), "jaccard-sets")
-        links = materialize(_verified(pairs.select("x", "y"), sets, at), "jaccard-links")
-        more = _cross_links(member, pairs, links, sets, at)
+        # Sets of a few others too: the exact join would move whole texts.
+        sets = materialize(_sets(_near_only(docs, asked, "doc_id"), k), "jaccard-sets")
+        links = materialize(_verified(merged.select("x", "y"), sets, at), "jaccard-links")
+        more = _cross_links(member, pairs, same, merged, links, sets, at)
     own_copies = rows.filter("doc_id <> stands AND n_shingles > 0").selectExpr("doc_id AS src", "stands AS dst")
     edges = (links.selectExpr("x AS src", "y AS dst").unionByName(more.selectExpr("x AS src", "y AS dst"))
              .unionByName(own_copies).unionByName(copies.selectExpr("id AS src", "of AS dst")))
@@ -519,12 +532,21 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     return out.unionByName(unnamed)
 
 
-def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: DataFrame,
-                 at: tuple[int, int]) -> DataFrame:
-    """Links between different components of ``links`` that share a key."""
+def _merged(pairs: DataFrame, same: DataFrame) -> DataFrame:
+    """The pairs ``(x, y, votes)`` with each ``id`` of ``same`` replaced by what it equals."""
+    a, b = same.selectExpr("id AS x", "of AS as_x"), same.selectExpr("id AS y", "of AS as_y")
+    x, y = F.coalesce("as_x", "x"), F.coalesce("as_y", "y")
+    return (pairs.join(a, "x", "left").join(b, "y", "left").select(F.greatest(x, y).alias("x"), F.least(x, y).alias("y"), "votes")
+            .filter("x <> y").groupBy("x", "y").agg(F.sum("votes").alias("votes")))
+
+
+def _cross_links(member: DataFrame, pairs: DataFrame, same: DataFrame, merged: DataFrame, links: DataFrame,
+                 sets: DataFrame, at: tuple[int, int]) -> DataFrame:
+    """Links between different components of ``links`` that share a key. ``member`` and ``pairs`` name
+    documents, ``merged`` and ``links`` only what they equal (``same``)."""
     comps = components(links.selectExpr("x AS src", "y AS dst"), "jaccard-groups")
     # A group: a component, or the lone documents that share most keys with one partner.
-    both = pairs.selectExpr("x AS id", "y AS hub", "votes").unionByName(pairs.selectExpr("y AS id", "x AS hub", "votes"))
+    both = merged.selectExpr("x AS id", "y AS hub", "votes").unionByName(merged.selectExpr("y AS id", "x AS hub", "votes"))
     hubs = both.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub"))
     # A partner is often the first of its batch only: its own partner, if smaller, is the first of all.
     hubs = materialize(hubs, "jaccard-hubs")
@@ -540,18 +562,18 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
                          "jaccard-places")
     # Where all members of a key are of the component of the one they were compared with, the
     # key has nothing to ask.
-    comp = places.select("id", "comp")
+    comp = _with_same(places.select("id", "comp"), same)
     apart = (pairs.select("x", "y").join(comp.selectExpr("id AS x", "comp AS comp_x"), "x")
              .join(comp.selectExpr("id AS y", "comp AS comp_y"), "y").filter("comp_x <> comp_y").select("x", "y"))
     open_keys = _only(member, materialize(apart, "jaccard-apart"), "x", "y").select("key").distinct()
     member = _only(member, materialize(open_keys, "jaccard-open-keys"), "key")
     group = ["grp", "linked", "slot"]
     sizes = places.groupBy(*group).agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    sized = places.join(sizes, group).select("id", F.struct(*group).alias("g"), "size", "low", "high")
     # Every row names a member of its key; the one it was found by is named many times over.
+    sized = _with_same(sized, same)
     holders = member.selectExpr("key", "x AS id").unionByName(member.selectExpr("key", "y AS id").distinct())
-    held = (holders.join(places, "id")
-            .select("key", *group).distinct().join(sizes, group))
-    held = materialize(held.select("key", F.struct(*group).alias("g"), "size", "low", "high"), "jaccard-held")
+    held = materialize(holders.join(sized, "id").select("key", "g", "size", "low", "high").distinct(), "jaccard-held")
     # Groups that share a key: the smaller asks the larger; a group of several components
     # asks itself. Two groups of one and the same component have nothing to ask.
     a, b = held.alias("a"), held.alias("b")
@@ -561,18 +583,25 @@ def _cross_links(member: DataFrame, pairs: DataFrame, links: DataFrame, sets: Da
     asks = materialize(a.join(b, meets).select(F.col("a.g").alias("asker"), F.col("b.g").alias("asked")).distinct(),
                        "jaccard-asks")
     of = places.select("id", "comp", F.struct(*group).alias("g"))
-    queries = materialize(_bounded(asks.join(of.selectExpr("g AS asker", "id AS x"), "asker").select("x", "asked").distinct(),
-                                   of, sets, at), "jaccard-queries")
-    # In an open group, a query goes on if sizes and bitmaps let it link with a member of another component.
-    rows = _rows(queries, of, "jaccard-rows").join(sets.select("id", "n", "bits"), "id")
-    queries = materialize(rows.groupBy("asked", "fan").applyInArrow(_trimmed(_near(scheme(*at))), queries.schema), "jaccard-near")
-    # Members and queries fetch their sets in one join: the sets move once.
+    queries = asks.join(of.selectExpr("g AS asker", "id AS x"), "asker").select("x", "asked")
+    queries = materialize(_sized(queries, of, sets, at), "jaccard-queries")
+    # In an open group, a query goes on if sizes and bitmaps let it link with a member of another
+    # component, and with it the members that it may link with.
     rows = _rows(queries, of, "jaccard-rows")
-    sets = _only(sets.select("id", "tokens"), rows.select("id").distinct(), "id")
+    near = (rows.join(sets.select("id", "n", "bits"), "id").groupBy("asked", "fan")
+            .applyInArrow(_trimmed(_near(scheme(*at))), rows.schema))
+    rows = materialize(near, "jaccard-near")
+    # Members and queries fetch their sets in one join: the sets move once.
+    sets = _near_only(sets.select("id", "tokens"), rows.select("id").distinct(), "id")
     found = rows.join(sets, "id").groupBy("asked", "fan").applyInArrow(_trimmed(_compare(scheme(*at))), "x long, y long")
     return materialize(found, "jaccard-cross")
 
 
+def _with_same(places: DataFrame, same: DataFrame) -> DataFrame:
+    """``places(id, …)`` and, for each ``id`` of ``same``, the place of what it equals."""
+    return places.unionByName(same.join(places.withColumnRenamed("id", "of"), "of").drop("of"))
+
+
 def _rows(queries: DataFrame, of: DataFrame, tag: str) -> DataFrame:
     """``(asked, fan, id, comp, asks)``: the queries of each group, and its members. Queries of a
     much-asked group go to several tasks."""

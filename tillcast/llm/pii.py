@@ -241,17 +241,17 @@ def reliabilities(counted: DataFrame, rounds: int = EM_ROUNDS) -> tuple[dict, di
     for _ in range(rounds):
         before = list(prior.values())
         p = 1 / (1 + F.exp(-_odds(prior, votes)))
-        yes, no = (F.col("n") * p), (F.col("n") * (1 - p))
-        sums = [F.sum(x) for x in (yes, no)]
-        sums += [F.sum(F.when(F.col("kind") == k, x)) for k in range(len(KINDS)) for x in (yes, no)]
-        sums += [F.sum(F.when(F.col(v) == x, w)) for v in LABELERS for x in (-1, 0, 1) for w in (yes, no)]
-        got = iter([x or 0.0 for x in counted.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()])
-        all_yes, all_no = next(got) + 3 * SMOOTHING, next(got) + 3 * SMOOTHING
+        # One row for the whole, the kind and each vote of a pattern: a short plan, however many sums.
+        of = F.array(F.lit("all"), *(F.concat_ws(":", F.lit(c), F.col(c)) for c in ("kind", *LABELERS)))
+        each = counted.select(F.explode(of).alias("of"), (F.col("n") * p).alias("yes"), (F.col("n") * (1 - p)).alias("no"))
+        sums = {r["of"]: (r["yes"], r["no"]) for r in each.groupBy("of").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()}
+        all_yes, all_no = (x + 3 * SMOOTHING for x in sums.get("all", (0.0, 0.0)))
         for k in range(len(KINDS)):
-            a, b = next(got) + SMOOTHING * PRIOR, next(got) + SMOOTHING * (1 - PRIOR)
+            a, b = sums.get(f"kind:{k}", (0.0, 0.0))
+            a, b = a + SMOOTHING * PRIOR, b + SMOOTHING * (1 - PRIOR)
             prior[k] = a / (a + b)
-        votes = {v: {x: ((next(got) + SMOOTHING) / all_yes, (next(got) + SMOOTHING) / all_no) for x in (-1, 0, 1)}
-                 for v in LABELERS}
+        votes = {v: {x: tuple((s + SMOOTHING) / t for s, t in zip(sums.get(f"{v}:{x}", (0.0, 0.0)), (all_yes, all_no), strict=True))
+                     for x in (-1, 0, 1)} for v in LABELERS}
         if max(abs(a - b) for a, b in zip(before, prior.values(), strict=True)) < TOLERANCE:
             break
     return prior, votes
@@ -353,13 +353,13 @@ def with_masked(found: DataFrame) -> DataFrame:
 
 def mask_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with its own columns, personal data in ``text`` masked (``n_chars``, where
-    there is one, follows). The candidates are found once for training and once for
-    masking, so no text is shuffled."""
-    found = materialize(candidates(docs), "pii-candidates")
-    model = train(found)
-    # The input as one column, so that no name of it can clash.
-    whole = with_spans(docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text")))
-    kept = with_masked(accepted(whole, model))
+    there is one, follows). The candidates are found once and written down beside the rows, for
+    training and for masking: no text is shuffled, and a filter on the masked text does not take
+    the search into its condition."""
+    # The other columns as one, so that no name of them can clash.
+    other = F.struct(*([c for c in docs.columns if c != "text"] or [F.lit(0).alias("none")])).alias("doc")
+    found = materialize(with_spans(docs.select(other, F.col("text").cast("string").alias("text"))), "pii-spans")
+    kept = with_masked(accepted(found, train(found)))
     out = kept.select(*(F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
