@@ -10,7 +10,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 from public_tokenizers import path as tokenizer  # noqa: E402
 
-from tillcast.llm import ngram_jaccard, piece_viterbi, token_parquet  # noqa: E402
+from tillcast.llm import kernel_langid, ngram_jaccard, piece_viterbi, token_parquet  # noqa: E402
 
 
 def peak(run):
@@ -117,3 +117,28 @@ def test_known_words_are_looked_up_without_python():
     finally:
         sys.setprofile(None)
     assert len(calls) < len(words) and len(set(again)) == 1
+
+
+def test_language_table_grows_with_the_grams():
+    rng = np.random.default_rng(5)
+    text = bytes(rng.integers(97, 123, 200_000).astype(np.uint8))
+    grams = np.unique(kernel_langid.gram_codes(text)).astype(np.int32)[::3]
+    kernel_langid._TABLES.clear()
+    table, most = peak(lambda: kernel_langid._table(grams))
+    codes = np.concatenate([kernel_langid.gram_codes(text), kernel_langid.gram_codes("Ünïcode, 12 ÿ".encode())])
+    at = np.minimum(np.searchsorted(grams, codes), len(grams) - 1)
+    assert table[codes].tolist() == np.where(grams[at] == codes, at, len(grams)).tolist()
+    assert most < 8 << 20
+    none = kernel_langid._table(grams[:0])
+    assert none[codes].tolist() == [0] * len(codes)
+
+
+def test_language_verdicts_take_only_the_texts_to_python(spark):
+    docs = spark.createDataFrame([(i, lang, text, "x" * 100) for i, (lang, text) in enumerate(
+        [("en", "the house of the rising sun and the sea"), ("de", "das Haus am See und der alte Mann"), (None, None), (None, "12 !?")] * 3)],
+        "doc_id long, lang string, text string, source string")
+    kept = kernel_langid.claimed(docs, kernel_langid.fit(docs))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 4, 5, 8, 9]

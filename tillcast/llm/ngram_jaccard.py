@@ -32,7 +32,6 @@ before any set moves.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import lru_cache
 from itertools import batched, combinations
 
@@ -42,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import SLICE_BYTES, components, release, text_slices, utf8
+from tillcast.llm.common import SLICE_BYTES, components, release, setting, text_slices, utf8
 from tillcast.llm.shingles import mix, shingle_sets
 from tillcast.session import materialize
 
@@ -475,17 +474,6 @@ def _compare(own: Scheme):
     return run
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    """The setting has this value meanwhile."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """``docs(doc_id, text, …)`` → ``(doc_id, n_shingles, component_id)``, one row per input row.
 
@@ -499,7 +487,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(MIN_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Batches of one slice: what a task holds does not follow the length of its texts.
-    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES)):
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES)):
         found = materialize(_keyed(docs.filter("doc_id IS NOT NULL"), k, at, parts), "jaccard-found")
     rows = found.filter(F.col("kind") == DOC).selectExpr("a AS doc_id", "b AS n_shingles", "c AS stands")
     # Equal sets of several batches.
@@ -515,8 +503,8 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     merged = materialize(_merged(pairs, same), "jaccard-merged")
     asked = merged.selectExpr("explode(array(x, y)) AS doc_id").distinct()
     # Rows hold two sets.
-    with (_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "500"),
-          _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))):
+    with (setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "500"),
+          setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))):
         # Sets of a few others too: the exact join would move whole texts.
         sets = materialize(_sets(_near_only(docs, asked, "doc_id"), k), "jaccard-sets")
         links = materialize(_verified(merged.select("x", "y"), sets, at), "jaccard-links")
