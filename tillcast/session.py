@@ -26,6 +26,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # The driver's status store holds past queries, their plans and tasks even with the web
+        # page off: in a long session it keeps only the newest.
+        "spark.sql.ui.retainedExecutions": "20",
+        "spark.ui.retainedJobs": "100",
+        "spark.ui.retainedStages": "100",
+        "spark.ui.retainedTasks": "2000",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:
