@@ -1,8 +1,10 @@
 """The operators against brute force, exact round trips and odd inputs."""
 
+import contextlib
 import hashlib
 import os
 import re
+import threading
 import time
 import zlib
 
@@ -25,8 +27,9 @@ from tillcast.llm import (
     queries,
     token_parquet,
 )
-from tillcast.llm.common import components
-from tillcast.llm.vectors import dimension
+from tillcast.llm.common import components, setting
+from tillcast.llm.vectors import dimension, matrix
+from tillcast.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 DOCS = "text string, doc_id long, tokens string, id int, key string, n int, part int, kind string, lang string"
@@ -154,6 +157,80 @@ def test_grid_join_equals_brute_force(spark):
     assert grid_join.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_grid_join_takes_disk_in_proportion_to_its_vectors(spark, scratch, monkeypatch):
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(6000, 64))
+    x[2000:2600] = x[rng.integers(0, 50, 600)] + 0.2 * rng.normal(size=(600, 64))
+    x[2600:3000] = x[7] + 0.25 * rng.normal(size=(400, 64))
+    x = x[rng.permutation(6000)].astype(np.float32)
+    path = f"{scratch}/v"
+    vectors(spark, [(i // 2 if i < 60 else i, v.tolist()) for i, v in enumerate(x)]).write.parquet(path)
+    # Small blocks and intervals: as many of them as a large table has.
+    for name, value in (("BLOCK", 64), ("LEAST_VECTORS", 1), ("LEAST_ROUND", 1)):
+        monkeypatch.setattr(grid_join, name, value, raising=False)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    places = [checkpoint_dir(spark).removeprefix("file:"), *(d.getPath() for d in blocks)]
+
+    def used():
+        total = 0
+        for place in places:
+            for folder, _, names in os.walk(place):
+                for name in names:
+                    with contextlib.suppress(OSError):
+                        total += os.path.getsize(f"{folder}/{name}")
+        return total
+
+    ended, sizes, start = threading.Event(), [], used()
+
+    def watch():
+        while not ended.wait(0.05):
+            sizes.append(used() - start)
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):      # as with large tables
+            got = grid_join.near_duplicates(spark.read.parquet(path)).collect()
+    finally:
+        ended.set()
+        watching.join()
+    assert max(sizes) < 8 * x.nbytes            # the blocks, shuffles of two rounds and small tables
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    ids = np.array([i // 2 if i < 60 else i for i in range(6000)])
+    links = u @ u.T >= 0.9
+    np.fill_diagonal(links, False)
+    n = np.zeros(6000, int)
+    np.add.at(n, ids, links.sum(axis=1))
+    label = np.arange(6000)
+    a, b = np.nonzero(links)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, ids[a], label[ids[b]])
+        if (label == before).all():
+            break
+    assert sorted(tuple(r) for r in got) == sorted((i, n[i], label[i], label[i] == i) for i in ids.tolist())
+
+
+def test_bound_of_a_product_is_not_below_it():
+    rng = np.random.default_rng(22)
+    for dim, spread in ((5, 1.0), (64, 1.0), (64, 1e-6), (300, 0.05)):
+        x = rng.normal(size=dim) + spread * rng.normal(size=(200, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for head in {4, dim // 2, dim}:
+            heads = grid_join._heads(x, head)
+            assert (heads @ heads.T + grid_join._rounding(head) >= x @ x.T).all()
+
+
+def test_usable_vectors_of_a_column():
+    values = [None, [], [1.0, 2.0], [1.0, None], [0.0, 0.0], [float("nan"), 1.0], [float("inf"), 1.0], [3.0], [0.0, -4.0]]
+    for column in (pa.array(values), pa.array(values, pa.list_(pa.float32())), pa.array([[9.0, 9.0], *values]).slice(1)):
+        rows, x = matrix(column, 2)
+        assert rows.tolist() == [2, 8] and x.tolist() == [[1.0, 2.0], [0.0, -4.0]] and x.dtype == np.float64
+        assert matrix(column, 4)[1].shape == (0, 4)
+    assert matrix(pa.array([], pa.list_(pa.float64())), 2)[1].shape == (0, 2)
+
+
 def test_pruned_graph_recall_and_ties(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(700, 16)).astype(np.float32)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +14,13 @@ from pyspark.sql import functions as F
 def matrix(column, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """An Arrow list column as ``(row numbers, float64 matrix)`` of the usable vectors:
     ``dim`` components, all finite and not null, not all zero."""
-    rows, out = [], []
-    for i, v in enumerate(column.to_pylist()):
-        if v is not None and len(v) == dim and None not in v:
-            a = np.array(v, dtype=np.float64)
-            if np.isfinite(a).all() and a.any():
-                rows.append(i)
-                out.append(a)
-    return np.array(rows, dtype=np.int64), np.array(out).reshape(len(out), dim)
+    rows = np.flatnonzero(pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False) == dim)
+    if not dim or not len(rows):
+        return np.zeros(0, np.int64), np.zeros((0, dim))
+    # A null component becomes NaN.
+    x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    usable = np.isfinite(x).all(axis=1) & x.any(axis=1)
+    return rows[usable], x[usable]
 
 
 def dimension(embeddings: DataFrame) -> int:
